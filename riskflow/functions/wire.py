@@ -13,7 +13,7 @@ from riskflow.contract import CONTRACT_FIELDS, MONEY, WIRE_TIMESTAMP_FORMAT
 def utc_millis_text(ts: Column) -> Column:
     """UTC ISO-8601 text with three fraction digits (cut, not rounded) and ``Z``.
 
-    The session must be in UTC (``riskflow.session.use_utc``).
+    The session must be in UTC (``riskflow.session.configure``).
     """
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 

@@ -30,6 +30,7 @@ INVALID_COORDINATES = "INVALID_COORDINATES"
 UNEXPECTED_FIELD = "UNEXPECTED_FIELD"
 SCHEMA_VALIDATION = "SCHEMA_VALIDATION"
 NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+MONEY_TEXT = r"^[0-9]{1,10}\.[0-9]{2}$"
 WHOLE_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
 OFFSET_TIME_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
@@ -43,84 +44,97 @@ BLANKS = (
 EPOCH_SECONDS_LIMIT = 20_000_000_000
 # ----------------------------------------------------------------------------
 
-_PARSED = "struct<" + ",".join(f"{name}:variant" for name in CONTRACT_FIELDS) + ">"
+_TEXTS = "struct<" + ",".join(f"{name}:string" for name in CONTRACT_FIELDS) + ">"
+_VALUES = "map<string,variant>"
 
 
-def strict_json(text: Column) -> Column:
-    """VARIANT of a text that is one complete JSON value, else NULL.
+def _wrapped(text: Column) -> Column:
+    """VARIANT of the text inside an object that ends with a marker.
 
-    Spark's parser ignores anything after the first value. Wrapping the text in an
-    object that ends with a marker shows whether the value really ended there; the
-    marker is a hash of the text, so the text cannot contain it.
+    Spark's parser ignores anything after the first value, so the text alone would not
+    show whether it is one complete document. The marker is a hash of the text, which the text
+    itself cannot contain.
     """
-    marker = F.hex(F.xxhash64(text))
-    wrapped = F.try_parse_json(
-        F.concat(F.lit('{"v":'), text, F.lit(',"end":"'), marker, F.lit('"}'))
+    return F.try_parse_json(
+        F.concat(F.lit('{"v":'), text, F.lit(',"end":"'), _marker(text), F.lit('"}'))
     )
-    complete = F.try_variant_get(wrapped, "$.end", "string") == marker
-    return F.when(complete, F.try_variant_get(wrapped, "$.v", "variant"))
 
 
-class _Field:
-    """Expressions over one parsed contract field."""
+def _marker(text: Column) -> Column:
+    return F.hex(F.xxhash64(text))
 
-    def __init__(self, name: str) -> None:
-        self.name = name
-        self.raw = F.col(f"fields.{name}")
-        self.kind = F.schema_of_variant(self.raw)
-        self.text = F.try_variant_get(self.raw, "$", "string")
-        self.missing = self.raw.isNull()
 
-    @property
-    def is_text(self) -> Column:
-        return self.kind == "STRING"
+def computed(frame: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever is built on them.
 
-    @property
-    def is_flag(self) -> Column:
-        return self.kind == "BOOLEAN"
+    Plain projections would be merged, and everything built on a parsed value would then
+    repeat the parse. An expression that looks at the partition number counts as
+    non-deterministic, so Spark keeps it in its own projection; the value does not change.
+    """
+    always = F.spark_partition_id() >= 0
+    return frame.withColumns({name: F.when(always, column) for name, column in columns.items()})
+
+
+def with_strict_json(frame: DataFrame, text: Column) -> DataFrame:
+    """Add ``body``: the VARIANT of a text that is one complete JSON document, else NULL."""
+    wrapped = computed(frame, wrapped=F.when(F.is_valid_utf8(text), _wrapped(text)))
+    complete = F.try_variant_get("wrapped", "$.end", "string") == _marker(text)
+    body = F.when(complete, F.try_variant_get("wrapped", "$.v", "variant"))
+    return computed(wrapped, body=body).drop("wrapped")
 
-    @property
-    def is_number(self) -> Column:
-        return (self.kind == "BIGINT") | (self.kind == "DOUBLE") | self.kind.startswith("DECIMAL")
+
+class _Field:
+    """Expressions over one contract field: ``texts`` holds its text, ``values`` its VARIANT."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.text = F.col(f"texts.{name}")
+        self.trimmed = F.btrim(self.text, F.lit(BLANKS))
+        self.value = F.element_at("values", name)
+        self.kind = F.schema_of_variant(self.value)
+        self.missing = ~F.array_contains("keys", name)
 
     @property
-    def trimmed(self) -> Column:
-        return F.btrim(self.text, F.lit(BLANKS))
+    def flag(self) -> Column:
+        """1 or 0 for a JSON boolean; a string that reads "true" is not one."""
+        return F.when(
+            self.text.isin("true", "false") & (self.kind == "BOOLEAN"),
+            (self.text == "true").cast("int"),
+        )
 
     @property
     def number_text(self) -> Column:
         """Text of a number or of a numeric string, else NULL."""
-        return F.when(
-            self.is_number | (self.is_text & self.trimmed.rlike(NUMBER_TEXT)), self.trimmed
-        )
+        return F.when(self.trimmed.rlike(NUMBER_TEXT), self.trimmed)
 
 
 def _version(field: _Field) -> Column:
-    number = F.when(field.is_flag, F.when(field.text == "true", 1).otherwise(0)).when(
-        (field.is_number | field.is_text) & field.trimmed.rlike(WHOLE_TEXT),
-        field.trimmed.try_cast("decimal(38,9)").try_cast("int"),
+    number = F.coalesce(
+        F.when(field.trimmed.rlike(WHOLE_TEXT), field.trimmed.try_cast("decimal(38,9)").try_cast("int")),
+        field.flag,
     )
     return F.when(field.missing, 1).otherwise(F.when(number >= 1, number))
 
 
 def _identifier(field: _Field) -> Column:
-    return F.when(field.is_text & (F.length(field.trimmed) > 0), field.trimmed)
+    return F.when((F.length(field.trimmed) > 0) & (field.kind == "STRING"), field.trimmed)
 
 
 def _choice(field: _Field) -> Column:
-    return F.when(field.is_text & field.text.isin(*ALLOWED_VALUES[field.name]), field.text)
+    return F.when(field.text.isin(*ALLOWED_VALUES[field.name]), field.text)
 
 
 def _amount(field: _Field) -> Column:
     exact = field.number_text.try_cast("decimal(38,18)")
     fits = (exact > 0) & (exact == F.round(exact, 2)) & (exact < 10_000_000_000)
-    return F.when(fits, exact.try_cast(MONEY))
+    usual = field.text.try_cast(MONEY)
+    return F.when(field.text.rlike(MONEY_TEXT), F.when(usual > 0, usual)).otherwise(
+        F.when(fits, exact.try_cast(MONEY))
+    )
 
 
 def _degrees(field: _Field, limit: float) -> Column:
-    number = F.when(field.is_flag, F.when(field.text == "true", 1.0).otherwise(0.0)).otherwise(
-        field.number_text.try_cast("double")
-    )
+    number = F.coalesce(field.number_text.try_cast("double"), field.flag.cast("double"))
     return F.when(number.between(-limit, limit), number)
 
 
@@ -128,11 +142,14 @@ def _instant(field: _Field) -> Column:
     # Spark wants a dot, no blank before the offset, and seconds.
     tidy = F.regexp_replace(F.translate(field.trimmed, "tz_,", "TZ ."), " (?=[Z+-])", "")
     tidy = F.regexp_replace(tidy, "^(.{10}[T ][0-9]{2}:[0-9]{2})(?=[Z+-])", "$1:00")
-    from_text = F.when(field.is_text & field.trimmed.rlike(OFFSET_TIME_TEXT), tidy)
+    written = F.when(
+        field.trimmed.rlike(OFFSET_TIME_TEXT),
+        F.coalesce(field.trimmed.try_cast("timestamp"), tidy.try_cast("timestamp")),
+    )
     epoch = field.number_text.try_cast("decimal(38,9)")
     per_unit = F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, 1_000).otherwise(1_000_000)
-    from_epoch = F.timestamp_micros((epoch * per_unit).try_cast("bigint"))
-    return F.date_trunc("millisecond", F.coalesce(from_text.try_cast("timestamp"), from_epoch))
+    counted = F.timestamp_micros((epoch * per_unit).try_cast("bigint"))
+    return F.date_trunc("millisecond", F.coalesce(written, counted))
 
 
 def _typed(field: _Field) -> Column:
@@ -169,18 +186,17 @@ def validate_events(records: DataFrame) -> DataFrame:
     then an unexpected key; then the general schema error.
     """
     text = F.col("value").cast("string")
-    read = records.withColumn(
-        "body", F.when(F.is_valid_utf8(text), strict_json(text))
-    ).withColumns(
-        {
-            "fields": F.try_variant_get("body", "$", _PARSED),
-            "keys": F.map_keys(F.try_variant_get("body", "$", "map<string,variant>")),
-        }
-    )
+    read = computed(
+        with_strict_json(records, text),
+        values=F.try_variant_get("body", "$", _VALUES),
+        texts=F.from_json(text, _TEXTS),
+    ).withColumn("keys", F.map_keys("values"))
     fields = [_Field(name) for name in CONTRACT_FIELDS]
-    typed = read.withColumn(
-        "event", F.struct(*[_typed(field).alias(field.name) for field in fields])
-    ).withColumn("extras", F.array_except("keys", F.array(*[F.lit(n) for n in CONTRACT_FIELDS])))
+    typed = computed(
+        read,
+        event=F.struct(*[_typed(field).alias(field.name) for field in fields]),
+        extras=F.array_except("keys", F.array(*[F.lit(n) for n in CONTRACT_FIELDS])),
+    )
 
     first_error, notes = [], []
     for field in fields:
@@ -212,8 +228,8 @@ def validate_events(records: DataFrame) -> DataFrame:
         .when(F.col("keys").isNull(), "value is not a JSON object")
         .otherwise(F.concat_ws("; ", *notes, extra_note))
     )
-    version = F.col("fields.schema_version")
-    judged = typed.withColumn("error_type", error_type).withColumn(
+    version = F.element_at("values", "schema_version")
+    judged = computed(typed, error_type=error_type).withColumn(
         "is_valid", F.col("error_type").isNull()
     )
     return judged.select(
@@ -233,7 +249,7 @@ def validate_events(records: DataFrame) -> DataFrame:
 
 
 def _shown(field: _Field) -> Column:
-    return F.coalesce(F.to_json(field.raw), F.lit("null"))
+    return F.coalesce(F.to_json(field.value), F.lit("null"))
 
 
 def valid_events(validated: DataFrame) -> DataFrame:

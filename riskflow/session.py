@@ -18,12 +18,18 @@ def build_session(app_name: str = "riskflow", conf: dict[str, str] | None = None
     )
     for name, value in (conf or {}).items():
         builder = builder.config(name, value)
-    return use_utc(builder.getOrCreate())
+    return configure(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Windows, dates and hours are defined in UTC, so pin the session to it."""
+def configure(spark: SparkSession) -> SparkSession:
+    """Runtime settings this library relies on.
+
+    Windows, dates and hours are defined in UTC. The method limit is the size up to which
+    the JVM compiles a method to machine code: a wider fused stage, such as the one that
+    checks all contract fields, would run interpreted, so Spark should split it instead.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

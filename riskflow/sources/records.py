@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.contract import CONTRACT_FIELDS
 from riskflow.functions.wire import canonical_value, utc_millis_text
-from riskflow.operators.validate import strict_json
+from riskflow.operators.validate import with_strict_json
 from riskflow.settings import LogSettings
 
 # --- Fixed values: the known ways a test event is damaged -------------------
@@ -70,8 +70,6 @@ def readable_records(records: DataFrame) -> DataFrame:
 
     ``problem`` says why a value cannot be shown: it is empty, not JSON, or not an object.
     """
-    text = F.col("value").cast("string")
-    body = F.when(F.is_valid_utf8(text), strict_json(text))
     is_object = F.try_variant_get("body", "$", "map<string,variant>").isNotNull()
     problem = (
         F.when(F.col("value").isNull() | (F.length("value") == 0), "empty value")
@@ -79,7 +77,7 @@ def readable_records(records: DataFrame) -> DataFrame:
         .when(~is_object, "not an object")
     )
     return (
-        records.withColumn("body", body)
+        with_strict_json(records, F.col("value").cast("string"))
         .withColumn("problem", problem)
         .withColumns(
             {

@@ -164,11 +164,12 @@ def start_lake(
     return started
 
 
-def run_until(queries: list[StreamingQuery], timeout_seconds: int | None = None) -> None:
+def run_until(
+    spark: SparkSession, queries: list[StreamingQuery], timeout_seconds: int | None = None
+) -> None:
     """Wait for any query to end or the timeout, then stop them all."""
     try:
-        if queries:
-            queries[0].sparkSession.streams.awaitAnyTermination(timeout_seconds)
+        spark.streams.awaitAnyTermination(timeout_seconds)
     finally:
         for query in queries:
             query.stop()
