@@ -237,29 +237,30 @@ def over(key: str, frame: str = "") -> str:
 
 MONTH_PRIOR = "RANGE BETWEEN INTERVAL '30 days' PRECEDING AND INTERVAL '1 microsecond' PRECEDING"
 
+def half_up(value: str, digits: int) -> str:
+    """Rounding that both engines compute with the same floating-point steps."""
+    return f"floor(({value}) * 1e{digits}::DOUBLE + 0.5::DOUBLE) / 1e{digits}::DOUBLE"
+
+
 DEVIATION = f"""
 dev0 AS (
   SELECT transaction_id, CAST(amount AS DOUBLE) AS x,
     count(amount) {over("account_id", MONTH_PRIOR)} AS n,
-    avg(CAST(amount AS DOUBLE)) {over("account_id", MONTH_PRIOR)} AS mean,
+    CAST(sum(CAST(amount * 100 AS BIGINT)) {over("account_id", MONTH_PRIOR)} AS DOUBLE)
+      / count(amount) {over("account_id", MONTH_PRIOR)} / 100 AS mean,
     stddev_samp(CAST(amount AS DOUBLE)) {over("account_id", MONTH_PRIOR)} AS sd
   FROM tx
 ),
 deviation AS (
   SELECT transaction_id, n AS prior_txn_count_30d,
-    round(mean, 4) AS account_mean_amount_30d,
-    round(sd, 4) AS account_std_amount_30d,
-    round((x - mean) / greatest(sd, 0.01::DOUBLE), 4) AS amount_zscore,
-    round(CASE WHEN mean > 0 THEN x / mean END, 4) AS amount_vs_recent_average
+    {half_up("mean", 4)} AS account_mean_amount_30d,
+    {half_up("sd", 4)} AS account_std_amount_30d,
+    -- greatest() skips NULLs, so a missing deviation must not reach it
+    {half_up("CASE WHEN sd IS NOT NULL THEN (x - mean) / greatest(sd, 0.01::DOUBLE) END", 4)} AS amount_zscore,
+    {half_up("CASE WHEN mean > 0 THEN x / mean END", 4)} AS amount_vs_recent_average
   FROM (SELECT * REPLACE (CASE WHEN n > 1 THEN sd END AS sd) FROM dev0)
 )
 """
-# greatest() skips NULLs, so a missing deviation must not reach it.
-DEVIATION = DEVIATION.replace(
-    "round((x - mean) / greatest(sd, 0.01::DOUBLE), 4)",
-    "round(CASE WHEN sd IS NOT NULL THEN (x - mean) / greatest(sd, 0.01::DOUBLE) END, 4)",
-)
-
 TRAVEL = f"""
 trav0 AS (
   SELECT transaction_id, country, latitude, longitude, event_timestamp,
@@ -315,8 +316,8 @@ merchants AS (
   SELECT transaction_id,
     count(*) {over("merchant_id", PRIOR)} AS merchant_txn_count,
     count(*) {over("merchant_id", "RANGE BETWEEN INTERVAL '1 hour' PRECEDING AND INTERVAL '1 microsecond' PRECEDING")} AS merchant_txn_velocity_1h,
-    round(avg(CAST(amount AS DOUBLE)) {over("merchant_id", PRIOR)}, 6) AS merchant_avg_amount,
-    round(avg(CAST(is_fraud AS INTEGER)) {over("merchant_id", PRIOR)}, 6) AS merchant_fraud_rate
+    {half_up(f"""CAST(sum(CAST(amount * 100 AS BIGINT)) {over("merchant_id", PRIOR)} AS DOUBLE) / count(amount) {over("merchant_id", PRIOR)} / 100""", 6)} AS merchant_avg_amount,
+    {half_up(f"""avg(CAST(is_fraud AS INTEGER)) {over("merchant_id", PRIOR)}""", 6)} AS merchant_fraud_rate
   FROM lab
 )
 """
@@ -357,7 +358,7 @@ h AS (
   SELECT *, """
     + ", ".join(f"coalesce({c}, false) AS r{i}" for i, (_, c, _, _) in enumerate(RULES))
     + """,
-    round(1 / (1 + exp(-coalesce(amount_zscore, 0))), 6) AS model_probability
+    floor(1 / (1 + exp(-coalesce(amount_zscore, 0))) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS model_probability
   FROM j
 ),
 t AS (
@@ -368,11 +369,11 @@ t AS (
     )
     + " AS total, list_filter(["
     + ", ".join(f"CASE WHEN r{i} THEN '{code}' END" for i, (code, _, _, _) in enumerate(RULES))
-    + """], x -> x IS NOT NULL) AS codes
+    + """], lambda x: x IS NOT NULL) AS codes
   FROM h
 ),
 u AS (
-  SELECT *, round(least(1.0::DOUBLE, 0.75::DOUBLE * model_probability + CAST(total AS DOUBLE)), 6) AS risk_score FROM t
+  SELECT *, floor(least(1.0::DOUBLE, 0.75::DOUBLE * model_probability + CAST(total AS DOUBLE)) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS risk_score FROM t
 ),
 decided AS (
   SELECT *, CASE WHEN risk_score >= 0.8 THEN 'BLOCK' WHEN risk_score >= 0.5 THEN 'REVIEW' ELSE 'APPROVE' END AS decision
@@ -396,11 +397,11 @@ conf AS (
 ),
 metrics AS (
   SELECT threshold, tp, fp, fn, tn,
-    round(tp / nullif(tp + fp, 0), 6) AS "precision",
-    round(tp / nullif(tp + fn, 0), 6) AS recall,
-    round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1,
-    round(fp / nullif(fp + tn, 0), 6) AS false_positive_rate,
-    round(fn / nullif(fn + tp, 0), 6) AS false_negative_rate,
+    {half_up("tp / nullif(tp + fp, 0)", 6)} AS "precision",
+    {half_up("tp / nullif(tp + fn, 0)", 6)} AS recall,
+    {half_up("2 * tp / nullif(2 * tp + fp + fn, 0)", 6)} AS f1,
+    {half_up("fp / nullif(fp + tn, 0)", 6)} AS false_positive_rate,
+    {half_up("fn / nullif(fn + tp, 0)", 6)} AS false_negative_rate,
     fn * 500.0::DOUBLE + fp * 5.0::DOUBLE AS expected_cost
   FROM conf
 )
@@ -412,7 +413,7 @@ HALF = "event_timestamp < TIMESTAMP '2024-01-01 07:30:00'"
 
 def drift(feature: str, bin_sql: str) -> str:
     return f"""
-  SELECT '{feature}' AS feature, count(*) AS bins, round(sum((q - p) * ln(q / p)), 8) AS psi FROM (
+  SELECT '{feature}' AS feature, count(*) AS bins, {half_up("sum((q - p) * ln(q / p))", 8)} AS psi FROM (
     SELECT (o + 0.5) / (sum(o) OVER () + 0.5 * count(*) OVER ()) AS p,
            (n + 0.5) / (sum(n) OVER () + 0.5 * count(*) OVER ()) AS q
     FROM (SELECT {bin_sql} AS bin, CAST(count(*) FILTER (WHERE {HALF}) AS DOUBLE) AS o,
@@ -427,7 +428,7 @@ AMOUNT_BIN = " + ".join(
 
 def fraud_rate(column: str) -> str:
     return f"""WITH {TX}, {LABELLED} SELECT {column}, count(*) AS txn_count, count(is_fraud) AS labelled_count,
-  round(count(*) FILTER (WHERE is_fraud) / nullif(count(is_fraud), 0), 6) AS fraud_rate FROM lab GROUP BY 1"""
+  {half_up("count(*) FILTER (WHERE is_fraud) / nullif(count(is_fraud), 0)", 6)} AS fraud_rate FROM lab GROUP BY 1"""
 
 
 def signal(name: str) -> str:
@@ -522,7 +523,7 @@ ORACLE: dict[str, str] = {
     "device_activity": f"WITH {TX}, {DEVICES} SELECT * FROM devices",
     "merchant_history": f"WITH {TX}, {LABELLED}, {MERCHANTS} SELECT * FROM merchants",
     "merchant_category_risk": f"""WITH {TX}, {LABELLED}, risk AS (
-        SELECT merchant_category, round(avg(CAST(is_fraud AS INTEGER)), 6) AS merchant_category_risk FROM lab
+        SELECT merchant_category, {half_up("avg(CAST(is_fraud AS INTEGER))", 6)} AS merchant_category_risk FROM lab
         WHERE {HALF} AND is_fraud IS NOT NULL GROUP BY 1)
       SELECT transaction_id, merchant_category_risk FROM lab LEFT JOIN risk USING (merchant_category)""",
     "temporal_features": f"""WITH {TX}, h AS (SELECT *, CAST(hour(event_timestamp) AS INTEGER) AS hour_of_day FROM tx),
@@ -542,26 +543,26 @@ ORACLE: dict[str, str] = {
     + f"""SELECT transaction_id, account_id, event_timestamp, risk_score, decision FROM decided
         WHERE decision <> 'APPROVE' AND risk_score >= 0.6 AND NOT ({HALF})""",
     "score_by_channel": DECIDED
-    + """SELECT channel, count(*) AS txn_count, round(avg(risk_score), 6) AS avg_risk_score,
+    + f"""SELECT channel, count(*) AS txn_count, {half_up("avg(risk_score)", 6)} AS avg_risk_score,
         count(*) FILTER (WHERE decision = 'REVIEW') AS reviewed, count(*) FILTER (WHERE decision = 'BLOCK') AS blocked FROM decided GROUP BY 1""",
     "account_risk_summary": DECIDED
-    + """SELECT account_id, count(*) AS txn_count, count(*) FILTER (WHERE decision <> 'APPROVE') AS alert_count,
-        round(avg(risk_score), 6) AS avg_risk_score, max(risk_score) AS max_risk_score, max(event_timestamp) AS last_seen FROM decided GROUP BY 1""",
+    + f"""SELECT account_id, count(*) AS txn_count, count(*) FILTER (WHERE decision <> 'APPROVE') AS alert_count,
+        {half_up("avg(risk_score)", 6)} AS avg_risk_score, max(risk_score) AS max_risk_score, max(event_timestamp) AS last_seen FROM decided GROUP BY 1""",
     "false_positive_trend": DECIDED
-    + """SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) FILTER (WHERE NOT is_fraud) AS legitimate_count,
-        round(count(*) FILTER (WHERE NOT is_fraud AND decision <> 'APPROVE') / nullif(count(*) FILTER (WHERE NOT is_fraud), 0), 6) AS false_positive_rate
+    + f"""SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) FILTER (WHERE NOT is_fraud) AS legitimate_count,
+        {half_up("count(*) FILTER (WHERE NOT is_fraud AND decision <> 'APPROVE') / nullif(count(*) FILTER (WHERE NOT is_fraud), 0)", 6)} AS false_positive_rate
         FROM decided GROUP BY 1""",
     "threshold_metrics": METRICS + "SELECT * FROM metrics",
     "best_threshold": METRICS + "SELECT threshold, expected_cost FROM metrics ORDER BY expected_cost, threshold LIMIT 1",
     "curve_areas": DECIDED
-    + """, s AS (SELECT round(risk_score, 4) AS c, is_fraud FROM decided WHERE is_fraud IS NOT NULL),
+    + f""", s AS (SELECT round(risk_score, 4) AS c, is_fraud FROM decided WHERE is_fraud IS NOT NULL),
       pos AS (SELECT c, count(*) AS n FROM s WHERE is_fraud GROUP BY 1),
       neg AS (SELECT c, count(*) AS n FROM s WHERE NOT is_fraud GROUP BY 1),
       win AS (SELECT sum(pos.n * neg.n * CASE WHEN pos.c > neg.c THEN 1.0::DOUBLE WHEN pos.c = neg.c THEN 0.5::DOUBLE ELSE 0 END) AS w FROM pos, neg),
       ap AS (SELECT sum(n * (SELECT count(*) FILTER (WHERE is_fraud) / count(*) FROM s WHERE s.c >= pos.c)) / sum(n) AS a FROM pos)
       SELECT count(*) FILTER (WHERE is_fraud) AS frauds, count(*) FILTER (WHERE NOT is_fraud) AS others,
-        round((SELECT w FROM win) / (count(*) FILTER (WHERE is_fraud) * count(*) FILTER (WHERE NOT is_fraud)), 6) AS roc_auc,
-        round((SELECT a FROM ap), 6) AS pr_auc FROM s""",
+        {half_up("(SELECT w FROM win) / (count(*) FILTER (WHERE is_fraud) * count(*) FILTER (WHERE NOT is_fraud))", 6)} AS roc_auc,
+        {half_up("(SELECT a FROM ap)", 6)} AS pr_auc FROM s""",
     "quality_report": f"""WITH {TX}, d AS (SELECT * FROM tx UNION ALL SELECT * FROM tx WHERE event_id % 10 = 0),
       c AS (SELECT count(*) AS total, count(*) FILTER (WHERE amount <= 0) AS bad_amount,
         count(*) FILTER (WHERE event_timestamp > TIMESTAMP '2024-01-01 14:05:00') AS future,
@@ -573,12 +574,12 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'transaction_id_unique', repeated, total FROM c""",
     "pipeline_report": f"""WITH {TX}, {MS}, {OUTCOME}, c AS (SELECT CAST(count(*) AS DOUBLE) AS n, count(error_type) / count(*) AS dlq FROM judged)
       SELECT 'volume_in_range' AS check_name, n AS measured, n BETWEEN 1 AND 1e15 AS passed FROM c
-      UNION ALL SELECT 'dlq_ratio', round(dlq, 6), dlq <= 0.5 FROM c
+      UNION ALL SELECT 'dlq_ratio', {half_up("dlq", 6)}, dlq <= 0.5 FROM c
       UNION ALL SELECT 'score_in_bounds', 0.0::DOUBLE, true""",
     "psi_drift": f"WITH {TX} {drift('amount', AMOUNT_BIN)} UNION ALL {drift('merchant_category', 'merchant_category')} UNION ALL {drift('country', 'country')}",
     "ks_drift": f"""WITH {TX}, b AS (SELECT CASE WHEN amount < 0.01 THEN -1 WHEN amount >= 399 THEN 399 ELSE CAST(floor(amount) AS INTEGER) END AS bin,
         CAST(count(*) FILTER (WHERE {HALF}) AS DOUBLE) AS o, CAST(count(*) FILTER (WHERE NOT ({HALF})) AS DOUBLE) AS n FROM tx GROUP BY 1)
-      SELECT 'amount' AS feature, round(max(gap), 8) AS ks FROM (SELECT abs(sum(o) OVER w / sum(o) OVER () - sum(n) OVER w / sum(n) OVER ()) AS gap
+      SELECT 'amount' AS feature, {half_up("max(gap)", 8)} AS ks FROM (SELECT abs(sum(o) OVER w / sum(o) OVER () - sum(n) OVER w / sum(n) OVER ()) AS gap
         FROM b WINDOW w AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
     "daily_merchant_summary": f"""WITH {TX} SELECT CAST(event_timestamp AS DATE) AS event_date, merchant_id, count(*) AS txn_count,
       CAST(sum(amount) AS DOUBLE) AS amount_sum, CAST(max(amount) AS DOUBLE) AS amount_max, count(DISTINCT account_id) AS unique_accounts FROM tx GROUP BY 1, 2""",

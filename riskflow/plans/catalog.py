@@ -338,8 +338,14 @@ def q_rolling_velocity(spark, folder):
     return B.rolling_velocity(read_transactions(spark, folder))
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Half-up rounding by plain floating-point steps, which any engine repeats exactly."""
+    scale = F.lit(10.0**digits)
+    return F.floor(value * scale + 0.5) / scale
+
+
 def _rounded(frame: DataFrame, digits: int, *names: str) -> DataFrame:
-    return frame.withColumns({name: F.round(name, digits) for name in names})
+    return frame.withColumns({name: half_up(F.col(name), digits) for name in names})
 
 
 def q_amount_deviation(spark, folder):
@@ -387,23 +393,25 @@ def q_temporal(spark, folder):
 
 def _decided(spark: SparkSession, folder: str) -> DataFrame:
     """All features, rules, score and decision; the model is a fixed curve of the z-score."""
-    events = with_transaction_signals(_labelled(spark, folder), SETTINGS)
+    events = with_transaction_signals(read_transactions(spark, folder), SETTINGS)
+    labelled = _labelled(spark, folder)
     deviation = _rounded(B.amount_deviation(events), 4, "amount_zscore")
     features = B.with_features(
         events,
         [
+            labelled.select("transaction_id", "is_fraud"),
             B.rolling_velocity(events).select("transaction_id", "txn_count_5m"),
             deviation.select("transaction_id", "amount_zscore"),
             _travel(events).select("transaction_id", "impossible_travel"),
             B.new_pairs(events).select("transaction_id", "new_device_for_account"),
             B.device_activity(events).select("transaction_id", "device_account_count"),
-            B.merchant_history(events).select("transaction_id", "merchant_fraud_rate"),
+            B.merchant_history(labelled).select("transaction_id", "merchant_fraud_rate"),
             B.countries_seen(events, "30 minutes"),
         ],
     )
-    curve = F.round(1 / (1 + F.exp(-F.coalesce("amount_zscore", F.lit(0.0)))), 6)
+    curve = half_up(1 / (1 + F.exp(-F.coalesce("amount_zscore", F.lit(0.0)))), 6)
     scored = rules.apply_rules(features).withColumn("model_probability", curve)
-    score = F.round(rules.risk_score(F.col("model_probability"), F.col("rule_risk_total")), 6)
+    score = half_up(rules.risk_score(F.col("model_probability"), F.col("rule_risk_total")), 6)
     return rules.decide(scored.withColumn("risk_score", score))
 
 
@@ -510,7 +518,8 @@ def q_psi(spark, folder):
 
 def q_ks(spark, folder):
     old, new = _halves(spark, folder)
-    whole = quality.amount_bin([0.01, *range(1, 400)])
+    dollars = F.floor("amount").cast("int")
+    whole = F.when(F.col("amount") < 0.01, -1).otherwise(F.least(dollars, F.lit(399)))
     return _rounded(quality.kolmogorov_smirnov(old, new, whole, "amount"), 8, "ks")
 
 
