@@ -7,6 +7,9 @@ side. Nothing is dropped.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from riskflow.contract import (
     CONTRACT_FIELDS,
     ID_FIELDS,
     MONEY,
+    REQUIRED_FIELDS,
     VALIDATOR_VERSION,
 )
 from riskflow.functions.wire import canonical_value, utc_millis_text
@@ -30,7 +34,10 @@ INVALID_COORDINATES = "INVALID_COORDINATES"
 UNEXPECTED_FIELD = "UNEXPECTED_FIELD"
 SCHEMA_VALIDATION = "SCHEMA_VALIDATION"
 NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+VISIBLE_TEXT = "^[!-~]+$"
 MONEY_TEXT = r"^[0-9]{1,10}\.[0-9]{2}$"
+DEGREES_TEXT = r"^-?[0-9]{1,3}(\.[0-9]+)?$"
+CANONICAL_TIME_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{3})?Z$"
 WHOLE_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
 OFFSET_TIME_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
@@ -89,7 +96,10 @@ class _Field:
     def __init__(self, name: str) -> None:
         self.name = name
         self.text = F.col(f"texts.{name}")
-        self.trimmed = F.btrim(self.text, F.lit(BLANKS))
+        # Trimming by a set of blanks is slow, and texts of visible ASCII need none.
+        self.trimmed = F.when(self.text.rlike(VISIBLE_TEXT), self.text).otherwise(
+            F.btrim(self.text, F.lit(BLANKS))
+        )
         self.value = F.element_at("values", name)
         self.kind = F.schema_of_variant(self.value)
         self.missing = ~F.array_contains("keys", name)
@@ -108,16 +118,23 @@ class _Field:
         return F.when(self.trimmed.rlike(NUMBER_TEXT), self.trimmed)
 
 
+# The usual, canonical form of a value is tested first, as it is much cheaper to read.
+
+
 def _version(field: _Field) -> Column:
     number = F.coalesce(
         F.when(field.trimmed.rlike(WHOLE_TEXT), field.trimmed.try_cast("decimal(38,9)").try_cast("int")),
         field.flag,
     )
-    return F.when(field.missing, 1).otherwise(F.when(number >= 1, number))
+    return (
+        F.when(field.text == "1", 1)
+        .when(field.missing, 1)
+        .otherwise(F.when(number >= 1, number))
+    )
 
 
 def _identifier(field: _Field) -> Column:
-    return F.when((F.length(field.trimmed) > 0) & (field.kind == "STRING"), field.trimmed)
+    return F.when(field.kind == "STRING", F.nullif(field.trimmed, F.lit("")))
 
 
 def _choice(field: _Field) -> Column:
@@ -134,7 +151,9 @@ def _amount(field: _Field) -> Column:
 
 
 def _degrees(field: _Field, limit: float) -> Column:
-    number = F.coalesce(field.number_text.try_cast("double"), field.flag.cast("double"))
+    number = F.when(field.text.rlike(DEGREES_TEXT), field.text.try_cast("double")).otherwise(
+        F.coalesce(field.number_text.try_cast("double"), field.flag.cast("double"))
+    )
     return F.when(number.between(-limit, limit), number)
 
 
@@ -149,7 +168,10 @@ def _instant(field: _Field) -> Column:
     epoch = field.number_text.try_cast("decimal(38,9)")
     per_unit = F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, 1_000).otherwise(1_000_000)
     counted = F.timestamp_micros((epoch * per_unit).try_cast("bigint"))
-    return F.date_trunc("millisecond", F.coalesce(written, counted))
+    return F.coalesce(
+        F.when(field.text.rlike(CANONICAL_TIME_TEXT), field.text.try_cast("timestamp")),
+        F.date_trunc("millisecond", F.coalesce(written, counted)),
+    )
 
 
 def _typed(field: _Field) -> Column:
@@ -189,13 +211,17 @@ def validate_events(records: DataFrame) -> DataFrame:
     read = computed(
         with_strict_json(records, text),
         values=F.try_variant_get("body", "$", _VALUES),
-        texts=F.from_json(text, _TEXTS),
+        texts=F.when(F.col("body").isNotNull(), F.from_json(text, _TEXTS)),
     ).withColumn("keys", F.map_keys("values"))
     fields = [_Field(name) for name in CONTRACT_FIELDS]
     typed = computed(
-        read,
-        event=F.struct(*[_typed(field).alias(field.name) for field in fields]),
-        extras=F.array_except("keys", F.array(*[F.lit(n) for n in CONTRACT_FIELDS])),
+        read, event=F.struct(*[_typed(field).alias(field.name) for field in fields])
+    )
+    extras = F.array_except("keys", F.array(*[F.lit(name) for name in CONTRACT_FIELDS]))
+    # All fields are good and there are no more keys than fields: nothing else to look at.
+    expected = F.lit(len(REQUIRED_FIELDS)) + F.array_contains("keys", "schema_version").cast("int")
+    good = reduce(and_, [F.col(f"event.{name}").isNotNull() for name in CONTRACT_FIELDS]) & (
+        F.size("keys") == expected
     )
 
     first_error, notes = [], []
@@ -210,13 +236,14 @@ def validate_events(records: DataFrame) -> DataFrame:
                 bad, F.concat(F.lit(f"{field.name}: not allowed: "), _shown(field))
             )
         )
-    unexpected = F.size("extras") > 0
+    unexpected = F.size(extras) > 0
     general = F.when(F.concat_ws("", *notes) != "", SCHEMA_VALIDATION)
     extra_note = F.when(
-        unexpected, F.concat(F.lit("unexpected field: "), F.array_join("extras", ", "))
+        unexpected, F.concat(F.lit("unexpected field: "), F.array_join(extras, ", "))
     )
     error_type = (
-        F.when(F.col("value").isNull(), EMPTY_PAYLOAD)
+        F.when(good, F.lit(None))
+        .when(F.col("value").isNull(), EMPTY_PAYLOAD)
         .when(F.col("body").isNull(), MALFORMED_JSON)
         .when(F.col("keys").isNull(), SCHEMA_VALIDATION)
         .otherwise(F.coalesce(*first_error, F.when(unexpected, UNEXPECTED_FIELD), general))

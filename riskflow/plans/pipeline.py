@@ -11,6 +11,7 @@ from riskflow.operators.parse import deduplicate
 from riskflow.operators.validate import dead_letters, valid_events, validate_events
 from riskflow.operators.windows import account_window_features
 from riskflow.plans.lake import write_gold, write_silver
+from riskflow.session import shared_folder
 from riskflow.settings import FeatureSettings
 
 
@@ -36,12 +37,19 @@ def build_lake(
     dlq_path: str,
     settings: FeatureSettings = FeatureSettings(),
 ) -> None:
-    """Write all layers. Gold reads the Silver table back, so parsing and
-    de-duplication run once and Gold survives any lost executor by re-reading files."""
-    layers = refine(records, settings)
-    write_silver(layers.silver, silver_path)
+    """Write all layers, checking every record once.
+
+    The checked records are written first, split by outcome; Silver and the dead letters read
+    their part of them, and Gold reads Silver. A lost executor costs re-reading files, never
+    another pass over the raw records.
+    """
+    checked_path = shared_folder(spark, "checked")
+    checked = validate_events(records).drop("body")
+    checked.write.partitionBy("is_valid").parquet(checked_path)
+    checked = spark.read.parquet(checked_path)
+    write_silver(deduplicate(valid_events(checked)), silver_path)
     write_gold(account_window_features(spark.read.parquet(silver_path), settings), gold_path)
-    layers.dead_letters.write.mode("overwrite").parquet(dlq_path)
+    dead_letters(checked).write.mode("overwrite").parquet(dlq_path)
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str = "transaction_id") -> DataFrame:
