@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from riskflow.contract import GOLD_COLUMNS, GOLD_PARTITIONS, SILVER_COLUMNS, SILVER_PARTITIONS
 
@@ -88,7 +88,8 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # A folder without data files has no schema to infer.
+        if problem.getCondition() == "PATH_NOT_FOUND" or "infer schema" in str(problem):
             return None
         raise
 

@@ -46,7 +46,8 @@ def build_lake(
     checked_path = shared_folder(spark, "checked")
     checked = validate_events(records).drop("body")
     checked.write.partitionBy("is_valid").parquet(checked_path)
-    checked = spark.read.parquet(checked_path)
+    # The schema is given, since a Boolean partition value would be read back as text.
+    checked = spark.read.schema(checked.schema).parquet(checked_path)
     write_silver(deduplicate(valid_events(checked)), silver_path)
     write_gold(account_window_features(spark.read.parquet(silver_path), settings), gold_path)
     dead_letters(checked).write.mode("overwrite").parquet(dlq_path)
