@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.contract import COUNTRIES
+from riskflow.contract import COUNTRIES, MERCHANT_CATEGORIES
 from riskflow.functions.geo import haversine_km
 from riskflow.operators.carry import (
     DEFAULT_BUCKET,
@@ -244,8 +244,10 @@ def category_risk(events: DataFrame, cutoff: Column) -> DataFrame:
 
 
 def with_category_risk(events: DataFrame, risks: DataFrame) -> DataFrame:
-    """Join the category lookup; it has one row per category, so Spark may broadcast it."""
-    return events.join(risks, "merchant_category", "left")
+    """Join the category lookup. Only contract categories are kept in it, so it has at most
+    ten rows and is broadcast; a frequent category then needs no shuffle."""
+    bounded = risks.where(F.col("merchant_category").isin(*MERCHANT_CATEGORIES))
+    return events.join(F.broadcast(bounded), "merchant_category", "left")
 
 
 def temporal(
