@@ -288,10 +288,17 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """One state partition per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream_silver_table(spark: SparkSession, folder: str) -> str:
     base = shared_folder(spark, "stream-silver")
     values = _wire_values(_with_copies(_event_stream(spark, folder)))
-    query = start_silver(prepare_events(values), f"{base}/table", f"{base}/checkpoint", None)
+    query = start_silver(
+        prepare_events(values), f"{base}/table", f"{base}/checkpoint", None, _state_partitions(spark)
+    )
     query.awaitTermination()
     return f"{base}/table"
 
@@ -305,7 +312,9 @@ def q_stream_gold(spark, folder):
     base = shared_folder(spark, "stream-gold")
     values = _wire_values(_with_copies(_event_stream(spark, folder)))
     features = account_window_features(prepare_events(values), SETTINGS)
-    start_gold(features, f"{base}/table", f"{base}/checkpoint", None).awaitTermination()
+    start_gold(
+        features, f"{base}/table", f"{base}/checkpoint", None, _state_partitions(spark)
+    ).awaitTermination()
     return spark.read.parquet(f"{base}/table")
 
 
@@ -314,7 +323,9 @@ def q_stream_gold_from_silver(spark, folder):
     silver = _stream_silver_table(spark, folder)
     base = shared_folder(spark, "stream-gold")
     features = account_window_features(silver_stream(spark, silver, "10 minutes"), SETTINGS)
-    start_gold(features, f"{base}/table", f"{base}/checkpoint", None).awaitTermination()
+    start_gold(
+        features, f"{base}/table", f"{base}/checkpoint", None, _state_partitions(spark)
+    ).awaitTermination()
     return spark.read.parquet(f"{base}/table")
 
 

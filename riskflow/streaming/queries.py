@@ -21,7 +21,7 @@ from riskflow.settings import LogSettings, StreamSettings
 
 
 @contextmanager
-def _event_time_session(spark: SparkSession) -> Iterator[None]:
+def _event_time_session(spark: SparkSession, state_partitions: int | None) -> Iterator[None]:
     """Session settings a query copies when it starts.
 
     Exchange reuse is off: when two branches of one stream share an exchange, the second
@@ -35,6 +35,8 @@ def _event_time_session(spark: SparkSession) -> Iterator[None]:
         ),
         "spark.sql.session.timeZone": "UTC",
     }
+    if state_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
@@ -54,6 +56,7 @@ def _start(
     name: str,
     checkpoint: str,
     trigger_seconds: int | None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start now; without a trigger interval, read what is there and stop."""
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
@@ -61,14 +64,21 @@ def _start(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
-    with _event_time_session(spark):
+    with _event_time_session(spark, state_partitions):
         return writer.start()
 
 
 def start_silver(
-    events: DataFrame, path: str, checkpoint: str, trigger_seconds: int | None = 5
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger_seconds: int | None = 5,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append de-duplicated transactions, partitioned by event date and hour."""
+    """Append de-duplicated transactions, partitioned by event date and hour.
+
+    ``state_partitions`` replaces the session's number of shuffle partitions for this query.
+    """
     writer = (
         silver_transactions(events)
         .writeStream.outputMode("append")
@@ -76,11 +86,17 @@ def start_silver(
         .option("path", path)
         .partitionBy(*SILVER_PARTITIONS)
     )
-    return _start(writer, events.sparkSession, "silver-transactions", checkpoint, trigger_seconds)
+    return _start(
+        writer, events.sparkSession, "silver-transactions", checkpoint, trigger_seconds, state_partitions
+    )
 
 
 def start_gold(
-    features: DataFrame, path: str, checkpoint: str, trigger_seconds: int | None = 5
+    features: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger_seconds: int | None = 5,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append a window once the watermark has passed its end, never before."""
     writer = (
@@ -91,7 +107,12 @@ def start_gold(
         .partitionBy(*GOLD_PARTITIONS)
     )
     return _start(
-        writer, features.sparkSession, "gold-account-features", checkpoint, trigger_seconds
+        writer,
+        features.sparkSession,
+        "gold-account-features",
+        checkpoint,
+        trigger_seconds,
+        state_partitions,
     )
 
 
