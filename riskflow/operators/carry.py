@@ -31,7 +31,8 @@ def micros(span: str) -> int:
 
 
 def _bucket_of(at: Column, bucket: str) -> Column:
-    return F.floor(at / F.lit(micros(bucket))).cast("bigint")
+    """Start of the bucket, in whole microseconds."""
+    return at - F.pmod(at, F.lit(micros(bucket)))
 
 
 def _total_type(measure: T.DataType) -> T.DataType:
@@ -139,7 +140,7 @@ def running_totals(
     carry = per_bucket.select(
         *key,
         "carry_bucket",
-        (F.col("carry_bucket") * F.lit(micros(bucket)) - 1).alias("seen_at"),
+        (F.col("carry_bucket") - 1).alias("seen_at"),
         *[F.sum(column).over(earlier).alias(column) for column in added],
     )
     upto = (
