@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +22,23 @@ LOWER = UPPER.lower()
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they inherit a path that has it."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    inherited = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    if context.master.startswith("local") and root in [p.resolve() for p in inherited]:
+        return
+    if context.applicationId not in _shipped:
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-"), "riskflow"), "zip", root, "riskflow")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,3 +63,17 @@ def packed(docs: DataFrame, **columns: Column) -> DataFrame:
 
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words of Arrow texts (null: none): the text of each, its code, and the distinct words by code.
+
+    Arrow's split at ASCII white space uses the same six characters as ``WORD``.
+    """
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    coded = lists.flatten().dictionary_encode()
+    code, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    blank = distinct.index("") if "" in distinct else -1
+    filled = code != blank
+    return owner[filled], code[filled], distinct

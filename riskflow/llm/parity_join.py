@@ -4,19 +4,22 @@ A text is its set of distinct word shingles. Two texts link if their Jaccard sim
 a threshold, given as a whole percentage so that the test is exact integer arithmetic.
 
 *Sketch.* Each shingle flips one bit of a parity sketch, so the Hamming distance of two sketches
-is at most the size of the symmetric difference. Within a size band that difference is at
-most ``d`` for every linked pair; the sketch is cut into more than ``d`` segments, and by the
-pigeonhole principle a linked pair agrees on at least one whole segment. A segment's content is
-shuffled as a 64-bit digest (the XOR of a mixed value per set bit, which parity makes
-computable shingle by shingle). Empty segments say nothing, so they are left out where the other
-agreeing segments suffice, and kept where a text has too many of them: no link is lost.
+is at most the size of the symmetric difference. Within a size band that difference is at most
+``d`` for every linked pair. The sketch is cut into ``d + t`` segments; by the pigeonhole principle
+a linked pair agrees on at least ``t`` whole segments, so each text may leave out ``t - 1`` of
+its segments, the first of an order that all texts share. Left out first are those that say little:
+empty ones, then those made of shingles only that a bounded sample of texts shows to be common
+(the sample steers the order, never the result). A segment's content is shuffled as a
+64-bit digest: the XOR of a mixed value per set bit, which parity makes computable shingle by shingle.
 
 *Candidates.* Texts that agree on a segment form a bucket. Each task first joins its own members
 to the smallest one and sends on that one only, so a hot bucket is small before
 the shuffle; then the bucket's members are joined to its smallest member. Those pairs are
 verified on whole shingle sets and connected. Buckets that still hold several components
 are then compared pair by pair across components. Members of one component need no more comparing,
-so a large group of copies costs a star and not its square.
+so a large group of copies costs a star and not its square. A large bucket is compared in blocks, by
+the Hamming distance of short bit sketches of whole sets, and only pairs within the bound leave
+their task to be verified.
 
 * null, empty or blank text: empty set, linked with nothing; fewer words than ``n``: one shingle;
 * rows that repeat a key are one document, linked by whatever any of them is; a null key is never
@@ -30,17 +33,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import kept_table
+from riskflow.llm.common import kept_table, words_of
 
-BITS = 4096  # of each segment
-WORDS_REMEMBERED = 1_000_000
+BITS = 1 << 16  # of each segment
+SHORT = 2048  # bits of the short sketch of a whole set
+JOINED_BUCKET = 32  # members up to which a bucket's pairs are made by a join
+BLOCK = 1024  # members of a large bucket that one task holds twice at most
 EMPTY = np.uint64(0x5851F42D4C957F2D)
-LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
-_words: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -49,26 +52,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes of a whole text."""
+def shingles(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit shingle hashes of each whole text."""
     import xxhash
 
-    # bytes.split() without argument splits at exactly the six ASCII white-space characters
-    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    missing = set(words).difference(_words)
-    if missing:
-        if len(_words) > WORDS_REMEMBERED:
-            _words.clear()
-            missing = set(words)
-        _words.update((w, xxhash.xxh3_64_intdigest(w)) for w in missing)
-    codes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(words))
-    mixed = np.full(len(words) - size + 1, size, np.uint64)
-    for k in range(size):
-        mixed = _mix(mixed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(mixed)])
-    return np.unique(mixed)
+    owner, code, words = words_of(pc.ascii_lower(texts))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[code]
+    many = np.bincount(owner, minlength=len(texts))
+    ends = np.cumsum(many)
+    # Windows that run into the next text are cut off below.
+    padded = np.append(hashes, np.zeros(n, np.uint64))
+    mixed = np.full(len(hashes), n, np.uint64)
+    for k in range(n):
+        mixed = _mix(mixed * np.uint64(0x9E3779B97F4A7C15) + padded[k : k + len(hashes)])
+    out = []
+    for size, end in zip(many.tolist(), ends.tolist()):
+        if size >= n:
+            out.append(np.unique(mixed[end - size : end - n + 1]))
+        else:
+            whole = np.full(1 if size else 0, size, np.uint64)
+            for k in range(size):
+                whole = _mix(whole * np.uint64(0x9E3779B97F4A7C15) + hashes[end - size + k])
+            out.append(whole)
+    return out
 
 
 class Bands:
@@ -93,14 +99,18 @@ class Bands:
         return 2 * self.last[interval + 1] * (100 - self.percent) // (100 + self.percent)
 
     def segments(self, interval: int) -> tuple[int, int]:
-        """How many segments the interval's sketch has, and how many a text may have empty."""
+        """How many segments the interval's sketch has, and how many of them a text may leave out."""
         d = self.difference(interval)
-        spare = 0 if d == 0 else 1 + d // 16
+        spare = 0 if d == 0 else 1 + d // 3
         return d + 1 + spare, spare
 
 
-def segment_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Digests of the sketch segments of one text, for both of its intervals."""
+def segment_keys(hashes: np.ndarray, rare: np.ndarray, bands: Bands) -> np.ndarray:
+    """Digests of the sketch segments of one text, for both of its intervals.
+
+    ``rare`` tells which shingles are not common. What a segment says is a function of its
+    content alone, so two texts rank an equal segment equally.
+    """
     keys = []
     band = bands.band(len(hashes))
     for interval in range(max(band - 1, 0), band + 1):
@@ -109,13 +119,14 @@ def segment_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
         segment = (hashes >> np.uint64(32)) * np.uint64(many) >> np.uint64(32)
         bit = segment * np.uint64(BITS) + (hashes & np.uint64(BITS - 1))
         first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
-        content = np.zeros(many, np.uint64)
-        content[segment[first].astype(np.int64)] = np.bitwise_xor.reduceat(_mix(bit + np.uint64(1)), first)
-        empty = content == 0
-        content[empty] = EMPTY
-        place = _mix(np.arange(many, dtype=np.uint64) + np.uint64(interval << 32))
-        own = _mix(content ^ place)
-        keys.append(own if empty.sum() > spare else own[~empty])
+        place = segment[first].astype(np.int64)
+        content, says = np.zeros(many, np.uint64), np.zeros(many, np.uint64)
+        content[place] = np.bitwise_xor.reduceat(_mix(bit + np.uint64(1)), first)
+        says[place] = np.where(np.logical_or.reduceat(rare, first), np.uint64(2), np.uint64(1))
+        says[content == 0] = 0
+        content[content == 0] = EMPTY
+        own = _mix(content ^ _mix(np.arange(many, dtype=np.uint64) + np.uint64(interval << 32)))
+        keys.append(own[np.lexsort((own, says))[spare:]] if spare else own)
     return np.concatenate(keys)
 
 
@@ -128,29 +139,59 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return int(np.bitwise_xor.reduce(_mix(hashes ^ np.uint64(0x1234567)))), int(np.add.reduce(_mix(hashes + np.uint64(0x89ABCDE))))
 
 
-def shingle_sets(docs: DataFrame, n: int, with_sets: bool, key: str = "doc", text: str = "text") -> DataFrame:
-    """``doc``, ``n_shingles``, a 128-bit digest of the set, and the set itself if wanted."""
+def short_sketch(hashes: np.ndarray) -> bytes:
+    """Parity of the shingles per bit of a short sketch."""
+    odd = np.bincount(((hashes >> np.uint64(16)) % np.uint64(SHORT)).astype(np.int64), minlength=SHORT) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _parts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
+    """``doc`` and its set of shingle hashes (64 bits each, sorted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                sets = [shingles(t, n) for t in part.column(1).to_pylist()]
-                digests = np.array([_digest(s) for s in sets], np.uint64).reshape(-1, 2)
-                columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), _int64(digests[:, 0].copy()), _int64(digests[:, 1].copy())]
-                if with_sets:
-                    columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                yield pa.record_batch(columns, names=["doc", "n_shingles", "p", "q", "shingles"][: len(columns)])
+        for part in _parts(batches):
+            sets = [s.tobytes() for s in shingles(part.column(1), n)]
+            yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], names=["doc", "shingles"])
+
+    return docs.select("doc", "text").mapInArrow(run, "doc long, shingles binary")
+
+
+def common_shingles(docs: DataFrame, n: int, sample: int, least: float) -> np.ndarray:
+    """Shingles that at least ``least`` of about ``sample`` texts hold, sorted.
+
+    At most the sample's shingles divided by ``least * sample`` come to the driver.
+    """
+    total = docs.count()
+    share = min(1.0, sample / max(total, 1))
+    some = docs.where(F.pmod(F.xxhash64("doc", F.lit("common shingles")), F.lit(1 << 20)) < share * (1 << 20))
 
-    schema = "doc long, n_shingles long, p long, q long" + ", shingles binary" * with_sets
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            own, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(part.column(1), n)]), return_counts=True)
+            yield pa.record_batch([_int64(own), pa.array(many)], names=["shingle", "many"])
+
+    counted = some.select("doc", "text").mapInArrow(run, "shingle long, many long").groupBy("shingle").agg(F.sum("many").alias("many"))
+    found = counted.where(F.col("many") >= max(3, least * share * total)).select("shingle").toArrow()
+    return np.sort(found["shingle"].to_numpy().view(np.uint64))
 
 
-def _star_in_chunks(docs: DataFrame, n: int, percent: int, chunk: int) -> DataFrame:
-    """Rows (segment, doc, center): center null to go on to the shuffle, else a pair to verify.
+def _star_in_chunks(docs: DataFrame, n: int, percent: int, chunk: int, common: np.ndarray) -> DataFrame:
+    """One pass over the texts: rows (segment, doc, center, n_shingles, sketch) of three kinds.
 
-    Of equal sets in a chunk only the first is sent: the others are linked by their digests.
+    A segment on its way to its bucket has no center. A segment that met a smaller text in this
+    chunk names it as center. One row per text has ``n_shingles`` and the short sketch, with the
+    set's digest in the places of segment and center. Of equal sets in a chunk only the first is sent to
+    buckets: the others are linked by their digests.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+    names = ["segment", "doc", "center", "n_shingles", "sketch"]
 
     def flush(keys: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.concatenate(owners)
@@ -160,25 +201,35 @@ def _star_in_chunks(docs: DataFrame, n: int, percent: int, chunk: int) -> DataFr
         first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
         stays = new | np.append(True, doc[1:] != doc[:-1])
         center = pa.array(doc[first][stays], pa.int64(), mask=new[stays])
-        return pa.record_batch([_int64(key[stays]), pa.array(doc[stays]), center], names=["segment", "doc", "center"])
+        rows = int(stays.sum())
+        return pa.record_batch([_int64(key[stays]), pa.array(doc[stays]), center, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, keys, owners, held, seen = Bands(percent), [], [], 0, set()
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = shingles(text.as_py(), n)
-                if len(own) and (name := _digest(own)) not in seen:
-                    seen.add(name)
-                    keys.append(segment_keys(own, bands))
+        for part in _parts(batches):
+            sets = shingles(part.column(1), n)
+            marks = [_digest(s) for s in sets]
+            digests = np.array(marks, np.uint64).reshape(-1, 2)
+            columns = [_int64(digests[:, 0].copy()), part.column(0), _int64(digests[:, 1].copy()), pa.array([len(s) for s in sets], pa.int64())]
+            yield pa.record_batch([*columns, pa.array([short_sketch(s) for s in sets], pa.binary())], names=names)
+            every = np.concatenate([np.zeros(0, np.uint64), *sets])
+            at = np.minimum(np.searchsorted(sent.value, every), max(len(sent.value) - 1, 0))
+            rare = sent.value[at] != every if len(sent.value) else np.ones(len(every), bool)
+            start = 0
+            for doc, own, mark in zip(part.column(0).to_pylist(), sets, marks):
+                if len(own) and doc is not None and mark not in seen:
+                    seen.add(mark)
+                    keys.append(segment_keys(own, rare[start : start + len(own)], bands))
                     owners.append(np.full(len(keys[-1]), doc, np.int64))
                     held += len(keys[-1])
-                if held >= chunk:
-                    yield flush(keys, owners)
-                    keys, owners, held, seen = [], [], 0, set()
+                start += len(own)
+            if held >= chunk:
+                yield flush(keys, owners)
+                keys, owners, held, seen = [], [], 0, set()
         if held:
             yield flush(keys, owners)
 
-    return docs.select("doc", "text").mapInArrow(run, "segment long, doc long, center long")
+    return docs.select("doc", "text").mapInArrow(run, "segment long, doc long, center long, n_shingles long, sketch binary")
 
 
 def _of_classes(pairs: DataFrame, copies: DataFrame) -> DataFrame:
@@ -195,7 +246,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
     Only texts that occur in a pair are shingled again; the sets are joined by key.
     """
     wanted = kept_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "paired")
-    sets = kept_table(shingle_sets(docs.join(wanted, "doc", "left_semi"), n, True).select("doc", "n_shingles", "shingles"), "paired-sets")
+    sets = kept_table(shingle_sets(docs.join(wanted, "doc", "left_semi"), n), "paired-sets")
     left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y"))
 
@@ -218,6 +269,38 @@ def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _close_in_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots in one bucket whose short sketches are near enough to link.
+
+    ``members`` holds segment, held, a, root, n_shingles, sketch. Members are dealt into blocks and
+    every two blocks of a bucket meet in a task, so a task's memory doesn't follow the bucket.
+    """
+    blocks = F.ceil(F.col("held") / F.lit(BLOCK)).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("segment", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "a", "root", "n_shingles", "sketch")
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        doc, root, size, block = (group[c].to_numpy() for c in ("a", "root", "n_shingles", "block"))
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
+        one, two = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        left, right = [], []
+        for row in one:
+            others = two[(root[two] != root[row]) & (doc[two] != doc[row])]
+            if key[1] == key[2]:
+                others = others[doc[others] > doc[row]]
+            both = size[others] + size[row]
+            others, both = others[both > 0], both[both > 0]
+            near = np.bitwise_count(sketch[others] ^ sketch[row]).sum(axis=1) * (100 + percent) <= both * (100 - percent)
+            left.append(np.full(int(near.sum()), doc[row]))
+            right.append(doc[others[near]])
+        a, b = np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("segment", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``doc`` and ``root`` (smallest key reachable) for every end of the edges (a < b).
 
@@ -247,27 +330,30 @@ def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, chunk: int = 1_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, chunk: int = 1_000_000, sample: int = 20_000, common_share: float = 0.001) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every input row.
 
     ``chunk`` is the number of segment rows that a task compares before it sends them on; it
-    bounds memory and changes nothing in the result.
+    bounds memory. ``sample`` and ``common_share`` say how common shingles are found. None of
+    the three changes the result.
     """
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
-    sizes = kept_table(shingle_sets(docs, n, False), "shingle-sizes")
-    known = docs.where("doc is not null")
+    common = common_shingles(docs, n, sample, common_share)
+    rows = _star_in_chunks(docs, n, percent, chunk, common)
+    # A row that has its center already needs no company, so it is dealt out by its own key.
+    bucket = Window.partitionBy("segment", F.when(F.col("center").isNotNull(), F.col("doc")).otherwise(0))
+    rows = rows.withColumn("center", F.coalesce("center", F.min("doc").over(bucket))).where("n_shingles is not null or center < doc")
+    rows = kept_table(rows, "met")
+    met = rows.where("n_shingles is null").drop("n_shingles", "sketch")
 
     # Equal sets are one class, represented by the smallest key.
+    sizes = rows.where("n_shingles is not null").select("doc", "n_shingles", F.col("segment").alias("p"), F.col("center").alias("q"))
     classes = sizes.where("doc is not null and n_shingles > 0")
     smallest = kept_table(classes.groupBy("n_shingles", "p", "q").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")), "classes")
     copies = classes.join(smallest.where("rep < last"), ["n_shingles", "p", "q"]).where("rep < doc")
     copies = kept_table(copies.groupBy(F.col("doc").alias("b")).agg(F.min("rep").alias("a")), "copies")
 
-    # A row that has its center already needs no company, so it is dealt out by its own key.
-    bucket = Window.partitionBy("segment", F.when(F.col("center").isNotNull(), F.col("doc")).otherwise(0))
-    rows = _star_in_chunks(known, n, percent, chunk)
-    met = rows.withColumn("center", F.coalesce("center", F.min("doc").over(bucket))).where("center < doc")
-    met = kept_table(met, "met")
+    known = docs.where("doc is not null")
     pairs = kept_table(_of_classes(met.select(F.col("center").alias("a"), F.col("doc").alias("b")), copies), "pairs")
     links = kept_table(_linked(pairs, known, n, percent), "links")
     roots = kept_table(components(links.unionByName(copies)), "roots")
@@ -278,8 +364,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if mixed.limit(1).count():
         members = met.join(mixed, "segment", "left_semi").select("segment", F.explode(F.array("center", "doc")).alias("a")).distinct()
         members = kept_table(_rooted(members.withColumn("b", F.col("a")), roots).select("segment", "a", F.col("root_a").alias("root")), "members")
-        other = members.select("segment", F.col("a").alias("b"), F.col("root").alias("other"))
-        more = members.join(other, "segment").where("a < b and root != other").select("a", "b")
+        held = members.groupBy("segment").agg(F.count("*").alias("held"))
+        small = members.join(held.where(F.col("held") <= JOINED_BUCKET).select("segment"), "segment", "left_semi")
+        other = small.select("segment", F.col("a").alias("b"), F.col("root").alias("other"))
+        more = small.join(other, "segment").where("a < b and root != other").select("a", "b")
+        large = held.where(F.col("held") > JOINED_BUCKET)
+        sketches = rows.where("n_shingles is not null and doc is not null").select(F.col("doc").alias("a"), "n_shingles", "sketch")
+        # A repeated key may have several sets; all are compared.
+        more = more.unionByName(_close_in_blocks(members.join(large, "segment").join(sketches, "a"), percent))
         more = kept_table(_of_classes(more, copies).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
         if more.limit(1).count():
             found = kept_table(_linked(more, known, n, percent), "more-links")
