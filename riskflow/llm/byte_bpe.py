@@ -214,11 +214,12 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return _map(encoded, path, pattern, "doc_id long, data binary", "doc_id", "ids", make)
 
 
-def token_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts and digests of the ids and of the bytes decoded from them, without moving either.
+def token_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Counts and digests of the ids and of the bytes decoded from them, and the ids if wanted.
 
     The same ``Codec`` calls as the two functions above, in one pass over the texts.
     """
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def digests(values: pa.Array) -> pa.Array:
         return pa.array([hashlib.sha256(v.as_buffer() or b"").hexdigest() for v in values], pa.string())
@@ -226,6 +227,9 @@ def token_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
     def make(codec: Codec, keys: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         offsets, ids = codec.encode(texts)
         columns = [keys, pa.array(np.diff(offsets), pa.int64()), digests(codec.listed(offsets, ids)), digests(codec.decode(offsets, ids))]
-        return pa.record_batch(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        if with_ids:
+            columns.append(pa.ListArray.from_arrays(offsets.astype(np.int32), ids))
+        return pa.record_batch(columns, names=names)
 
-    return _map(docs, path, pattern, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", key, text, make)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _map(docs, path, pattern, schema, key, text, make)

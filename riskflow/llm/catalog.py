@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import byte_bpe, langid, line_dedup, parity_join, quality_forest
+from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, warc
 from riskflow.llm.common import kept_table, table
 
+#: Stands for the secret that a real run reads from its own configuration.
+SURROGATE_KEY = "surrogates"
 TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -23,6 +25,24 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, SURROGATE_KEY).select("row.doc_id", F.col("safe").alias("text"), "n_entities")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_tree.extract_text(pages, html_tree.learn(pages))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op7_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept_out = langid.held_out(F.col("doc_id"))
@@ -31,6 +51,10 @@ def op7_language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", langid.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_stable_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = kept_table(quality_forest.text_counts(table(spark, sf_dir, "documents")), "text-counts")
     forest = quality_forest.fit_forest(counts, table(spark, sf_dir, "labels"))
@@ -43,7 +67,18 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_byte_bpe, op2_line_dedup, op7_language_filter, op9_quality_forest, op10_parity_join)
+    found = (
+        op1_byte_bpe,
+        op2_line_dedup,
+        op3_surrogates,
+        op4_warc,
+        op5_html_tree,
+        op6_mixing,
+        op7_language_filter,
+        op8_stable_search,
+        op9_quality_forest,
+        op10_parity_join,
+    )
     return {query.__name__: query for query in found}
 
 

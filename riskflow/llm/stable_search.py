@@ -258,7 +258,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
             yield taken.set_column(taken.schema.get_field_index("region"), "region", pa.array(region.astype(np.int64)))
 
     asked = placed.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
-    # A repeated id asks once per row.
+    # Equal rows ask once; a repeated id with another vector asks for itself.
     asked = asked.withColumn("copy", F.xxhash64("vector")).withColumn("worst", F.lit(-3.0))
     asked = asked.select("query_id", "copy", "vector", "point", "region", "worst").dropDuplicates(["query_id", "copy"])
     asked = kept_table(asked, "queries")
