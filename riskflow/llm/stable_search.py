@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import kept_table
 
 LEAF = 32
+#: Squared distance that rounding may put between projections of equal vectors.
+ROUNDING = 1e-12
 
 
 def chi_square(x: np.ndarray, dims: int) -> np.ndarray:
@@ -154,7 +156,7 @@ def search(tree: Tree, vectors: np.ndarray, norms: np.ndarray, ids: np.ndarray,
     at, step = 0, 2
     while at < len(order):
         limit = max(worst, best[k - 1]) if len(best) >= k else worst
-        if limit > -2 and away[at] > 0 and away[at] >= stop * max(2 - 2 * limit, 0.0):
+        if limit > -2 and away[at] > 0 and away[at] >= stop * max(2 - 2 * limit, ROUNDING):
             break
         rows = np.concatenate([tree.rows[leaf] for leaf in order[at : at + step]])
         rows = rows[ids[rows] != own]
@@ -250,7 +252,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
         """Each query with every other region that may still hold a nearer neighbour."""
         for batch in batches:
             away = regions.distances(_matrix(batch.column("point"), dims))
-            limit = stop * np.maximum(2 - 2 * batch.column("worst").to_numpy(), 0.0)
+            limit = stop * np.maximum(2 - 2 * batch.column("worst").to_numpy(), ROUNDING)
             open_ = (away < limit[:, None]) | (away == 0)
             open_[np.arange(len(away)), batch.column("region").to_numpy()] = False
             query, region = np.nonzero(open_)
