@@ -52,6 +52,15 @@ def kept_table(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished work now.
+
+    It does so when the driver's JVM has collected the plans that own them, by default within
+    half an hour; long jobs whose steps are written tables would hold all of them until then.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def packed(docs: DataFrame, **columns: Column) -> DataFrame:
     """The input row as one struct ``row`` next to the given columns.
 

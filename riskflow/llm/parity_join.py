@@ -17,9 +17,10 @@ to the smallest one and sends on that one only, so a hot bucket is small before
 the shuffle; then the bucket's members are joined to its smallest member. Those pairs are
 verified on whole shingle sets and connected. Buckets that still hold several components
 are then compared pair by pair across components. Members of one component need no more comparing,
-so a large group of copies costs a star and not its square. A large bucket is compared in blocks, by
-the Hamming distance of short bit sketches of whole sets, and only pairs within the bound leave
-their task to be verified.
+so a large group of copies costs a star and not its square. All pairs are first held against the
+bound by the Hamming distance of short bit sketches of whole sets; a bucket is compared in blocks, and
+only pairs within the bound leave their task to be verified. An eighth of the buckets goes first: the
+links found there leave little to compare in the others.
 
 * null, empty or blank text: empty set, linked with nothing; fewer words than ``n``: one shingle;
 * rows that repeat a key are one document, linked by whatever any of them is; a null key is never
@@ -37,12 +38,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import kept_table, words_of
+from riskflow.llm.common import kept_table, release_shuffles, words_of
 
 BITS = 1 << 16  # of each segment
-SHORT = 2048  # bits of the short sketch of a whole set
-JOINED_BUCKET = 32  # members up to which a bucket's pairs are made by a join
+SHORT = 1024  # bits of the short sketch of a whole set
 BLOCK = 1024  # members of a large bucket that one task holds twice at most
+ROUNDS = (8, 1)  # of the mixed buckets, one in so many is compared in each round
 EMPTY = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -126,6 +127,8 @@ def segment_keys(hashes: np.ndarray, rare: np.ndarray, bands: Bands) -> np.ndarr
         says[content == 0] = 0
         content[content == 0] = EMPTY
         own = _mix(content ^ _mix(np.arange(many, dtype=np.uint64) + np.uint64(interval << 32)))
+        # The lowest bit tells the two intervals of a band apart.
+        own = own >> np.uint64(1) << np.uint64(1) | np.uint64(interval & 1)
         keys.append(own[np.lexsort((own, says))[spare:]] if spare else own)
     return np.concatenate(keys)
 
@@ -240,6 +243,23 @@ def _of_classes(pairs: DataFrame, copies: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _near(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and short sketches allow to link."""
+    left = sketches.select(F.col("doc").alias("a"), F.col("n_shingles").alias("m"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("doc").alias("b"), F.col("n_shingles").alias("n"), F.col("sketch").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(m), -1) for c in (4, 5))
+            near = np.bitwise_count(x ^ y).sum(axis=1) * (100 + percent) <= (m + n) * (100 - percent)
+            near &= 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near))
+
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
+    return joined.mapInArrow(run, "a long, b long").distinct()
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, tested on whole shingle sets.
 
@@ -284,6 +304,10 @@ def _close_in_blocks(members: DataFrame, percent: int) -> DataFrame:
         group = group.combine_chunks()
         doc, root, size, block = (group[c].to_numpy() for c in ("a", "root", "n_shingles", "block"))
         sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
+        # Two texts of one band meet in both of its intervals and are compared in the upper one.
+        bands = Bands(percent)
+        band = np.array([bands.band(int(n)) for n in size])
+        skipped = (band & 1) != (key[0].as_py() & 1)
         one, two = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
         left, right = [], []
         for row in one:
@@ -291,7 +315,8 @@ def _close_in_blocks(members: DataFrame, percent: int) -> DataFrame:
             if key[1] == key[2]:
                 others = others[doc[others] > doc[row]]
             both = size[others] + size[row]
-            others, both = others[both > 0], both[both > 0]
+            compare = ~(skipped[row] & (band[others] == band[row]))
+            others, both = others[compare], both[compare]
             near = np.bitwise_count(sketch[others] ^ sketch[row]).sum(axis=1) * (100 + percent) <= both * (100 - percent)
             left.append(np.full(int(near.sum()), doc[row]))
             right.append(doc[others[near]])
@@ -354,28 +379,31 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     copies = kept_table(copies.groupBy(F.col("doc").alias("b")).agg(F.min("rep").alias("a")), "copies")
 
     known = docs.where("doc is not null")
-    pairs = kept_table(_of_classes(met.select(F.col("center").alias("a"), F.col("doc").alias("b")), copies), "pairs")
-    links = kept_table(_linked(pairs, known, n, percent), "links")
+    sketches = rows.where("n_shingles > 0 and doc is not null").select("doc", "n_shingles", "sketch")
+    compared = kept_table(_of_classes(met.select(F.col("center").alias("a"), F.col("doc").alias("b")), copies), "pairs")
+    release_shuffles(docs.sparkSession)
+    links = kept_table(_linked(kept_table(_near(compared, sketches, percent), "near-pairs"), known, n, percent), "links")
+    release_shuffles(docs.sparkSession)
     roots = kept_table(components(links.unionByName(copies)), "roots")
 
     # Buckets with several components: every pair across them that is not compared yet.
-    open_pairs = _rooted(met.select(F.col("center").alias("a"), F.col("doc").alias("b"), "segment"), roots)
-    mixed = kept_table(open_pairs.where("root_a != root_b").select("segment").distinct(), "mixed")
-    if mixed.limit(1).count():
-        members = met.join(mixed, "segment", "left_semi").select("segment", F.explode(F.array("center", "doc")).alias("a")).distinct()
+    for one_in in ROUNDS:
+        some = met.where(F.pmod("segment", F.lit(one_in)) == 0)
+        open_pairs = _rooted(some.select(F.col("center").alias("a"), F.col("doc").alias("b"), "segment"), roots)
+        mixed = kept_table(open_pairs.where("root_a != root_b").select("segment").distinct(), "mixed")
+        members = some.join(mixed, "segment", "left_semi").select("segment", F.explode(F.array("center", "doc")).alias("a")).distinct()
         members = kept_table(_rooted(members.withColumn("b", F.col("a")), roots).select("segment", "a", F.col("root_a").alias("root")), "members")
         held = members.groupBy("segment").agg(F.count("*").alias("held"))
-        small = members.join(held.where(F.col("held") <= JOINED_BUCKET).select("segment"), "segment", "left_semi")
-        other = small.select("segment", F.col("a").alias("b"), F.col("root").alias("other"))
-        more = small.join(other, "segment").where("a < b and root != other").select("a", "b")
-        large = held.where(F.col("held") > JOINED_BUCKET)
-        sketches = rows.where("n_shingles is not null and doc is not null").select(F.col("doc").alias("a"), "n_shingles", "sketch")
         # A repeated key may have several sets; all are compared.
-        more = more.unionByName(_close_in_blocks(members.join(large, "segment").join(sketches, "a"), percent))
-        more = kept_table(_of_classes(more, copies).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+        dealt = members.join(held, "segment").join(sketches.withColumnRenamed("doc", "a"), "a")
+        more = _of_classes(_close_in_blocks(dealt, percent), copies).join(compared, ["a", "b"], "left_anti")
+        more = kept_table(more, "more-pairs")
+        release_shuffles(docs.sparkSession)
         if more.limit(1).count():
-            found = kept_table(_linked(more, known, n, percent), "more-links")
-            roots = components(links.unionByName(found).unionByName(copies))
+            links = kept_table(links.unionByName(_linked(more, known, n, percent)), "links")
+            compared = compared.unionByName(more)
+            release_shuffles(docs.sparkSession)
+            roots = kept_table(components(links.unionByName(copies)), "roots")
 
     named = roots.select(F.col("doc"), "root")
     return sizes.join(named, "doc", "left").select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("root", "doc").alias("component_id"))
