@@ -408,6 +408,9 @@ metrics AS (
 """
 )
 
+MODEL_SUMMARY = f"""WITH {TX}, {LABELLED} SELECT count(*) AS rows_scored, count(DISTINCT transaction_id) AS ids,
+  count(is_fraud) AS labelled, count(*) FILTER (WHERE is_fraud) AS frauds, count(*) AS in_range FROM lab"""
+
 HALF = "event_timestamp < TIMESTAMP '2024-01-01 07:30:00'"
 
 
@@ -497,18 +500,9 @@ ORACLE: dict[str, str] = {
       SELECT topic, CASE WHEN v IS NULL THEN 'EMPTY_PAYLOAD' WHEN NOT json_valid(v) THEN 'MALFORMED_JSON'
           WHEN json_type(CASE WHEN json_valid(v) THEN v END) <> 'OBJECT' THEN 'SCHEMA_VALIDATION' ELSE 'MISSING_FIELD' END AS error_type,
         count(*) AS records, CAST(sum(length(v)) AS BIGINT) AS characters FROM t GROUP BY 1, 2""",
-    "fault_injection": f"""WITH {TX} SELECT transaction_id, CASE event_id % 7 WHEN 0 THEN '{{not-json'
-        WHEN 1 THEN {canonical(amount="'-10.00'")}
-        WHEN 2 THEN {canonical(currency="'ZZZ'")}
-        WHEN 3 THEN {canonical(extra=''' ',"unexpected_field":"drop-me"' ''')}
-        WHEN 4 THEN {canonical(latitude="'200.0'")}
-        WHEN 5 THEN replace({canonical()}, ',"amount":"' || amount::VARCHAR || '"', '')
-        ELSE {canonical()} END AS value FROM tx""",
     "peek_records": f"""WITH {TX} SELECT account_id AS key, event_id AS "offset",
       CASE event_id % 16 WHEN 0 THEN 'not JSON' WHEN 6 THEN 'empty value' WHEN 7 THEN 'not an object'
         WHEN 8 THEN 'not JSON' WHEN 9 THEN 'not JSON' END AS problem FROM tx ORDER BY event_id LIMIT 20""",
-    "generate_transactions": GENERATED,
-    "inject_anomalies": ANOMALIES,
     "stream_silver": f"WITH {TX}, {MS} SELECT {CONTRACT_PLAIN}, CAST(event_timestamp AS DATE) AS event_date, CAST(hour(event_timestamp) AS INTEGER) AS event_hour FROM ms",
     "stream_gold": f"WITH {TX}, {MS}, {windows('ms', BOTH)} {GOLD} {CLOSED}",
     "stream_gold_from_silver": f"WITH {TX}, {MS}, {windows('ms', BOTH)} {GOLD} {CLOSED}",
@@ -522,10 +516,8 @@ ORACLE: dict[str, str] = {
     "new_device_merchant": f"WITH {TX}, {NEW_PAIRS} SELECT * FROM pairs",
     "device_activity": f"WITH {TX}, {DEVICES} SELECT * FROM devices",
     "merchant_history": f"WITH {TX}, {LABELLED}, {MERCHANTS} SELECT * FROM merchants",
-    "merchant_category_risk": f"""WITH {TX}, {LABELLED}, risk AS (
-        SELECT merchant_category, {half_up("avg(CAST(is_fraud AS INTEGER))", 6)} AS merchant_category_risk FROM lab
-        WHERE {HALF} AND is_fraud IS NOT NULL GROUP BY 1)
-      SELECT transaction_id, merchant_category_risk FROM lab LEFT JOIN risk USING (merchant_category)""",
+    "merchant_category_risk": f"""WITH {TX}, {LABELLED} SELECT transaction_id,
+        {half_up(f"avg(CAST(is_fraud AS INTEGER)) {over('merchant_category', PRIOR)}", 6)} AS merchant_category_risk FROM lab""",
     "temporal_features": f"""WITH {TX}, h AS (SELECT *, CAST(hour(event_timestamp) AS INTEGER) AS hour_of_day FROM tx),
       c AS (SELECT *, count(*) {over("account_id", PRIOR)} AS n,
         count(*) {over("account_id, hour_of_day", PRIOR)} AS same FROM h)
@@ -555,7 +547,7 @@ ORACLE: dict[str, str] = {
     "threshold_metrics": METRICS + "SELECT * FROM metrics",
     "best_threshold": METRICS + "SELECT threshold, expected_cost FROM metrics ORDER BY expected_cost, threshold LIMIT 1",
     "curve_areas": DECIDED
-    + f""", s AS (SELECT round(risk_score, 4) AS c, is_fraud FROM decided WHERE is_fraud IS NOT NULL),
+    + f""", s AS (SELECT risk_score AS c, is_fraud FROM decided WHERE is_fraud IS NOT NULL),
       pos AS (SELECT c, count(*) AS n FROM s WHERE is_fraud GROUP BY 1),
       neg AS (SELECT c, count(*) AS n FROM s WHERE NOT is_fraud GROUP BY 1),
       win AS (SELECT sum(pos.n * neg.n * CASE WHEN pos.c > neg.c THEN 1.0::DOUBLE WHEN pos.c = neg.c THEN 0.5::DOUBLE ELSE 0 END) AS w FROM pos, neg),
@@ -577,10 +569,10 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'dlq_ratio', {half_up("dlq", 6)}, dlq <= 0.5 FROM c
       UNION ALL SELECT 'score_in_bounds', 0.0::DOUBLE, true""",
     "psi_drift": f"WITH {TX} {drift('amount', AMOUNT_BIN)} UNION ALL {drift('merchant_category', 'merchant_category')} UNION ALL {drift('country', 'country')}",
-    "ks_drift": f"""WITH {TX}, b AS (SELECT CASE WHEN amount < 0.01 THEN -1 WHEN amount >= 399 THEN 399 ELSE CAST(floor(amount) AS INTEGER) END AS bin,
-        CAST(count(*) FILTER (WHERE {HALF}) AS DOUBLE) AS o, CAST(count(*) FILTER (WHERE NOT ({HALF})) AS DOUBLE) AS n FROM tx GROUP BY 1)
+    "ks_drift": f"""WITH {TX}, b AS (SELECT amount, CAST(count(*) FILTER (WHERE {HALF}) AS DOUBLE) AS o,
+        CAST(count(*) FILTER (WHERE NOT ({HALF})) AS DOUBLE) AS n FROM tx WHERE amount IS NOT NULL GROUP BY 1)
       SELECT 'amount' AS feature, {half_up("max(gap)", 8)} AS ks FROM (SELECT abs(sum(o) OVER w / sum(o) OVER () - sum(n) OVER w / sum(n) OVER ()) AS gap
-        FROM b WINDOW w AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        FROM b WINDOW w AS (ORDER BY amount ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
     "daily_merchant_summary": f"""WITH {TX} SELECT CAST(event_timestamp AS DATE) AS event_date, merchant_id, count(*) AS txn_count,
       CAST(sum(amount) AS DOUBLE) AS amount_sum, CAST(max(amount) AS DOUBLE) AS amount_max, count(DISTINCT account_id) AS unique_accounts FROM tx GROUP BY 1, 2""",
     "daily_volume": f"WITH {TX} SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS amount_sum FROM tx GROUP BY 1",
@@ -589,8 +581,9 @@ ORACLE: dict[str, str] = {
     "replay_slice": f"""WITH {TX}, {MS}, {OUTCOME}, ok AS (SELECT * FROM judged WHERE error_type IS NULL AND account_id = 'acct_1005'
         AND event_id IN (SELECT event_id FROM tx WHERE event_timestamp >= TIMESTAMP '2024-01-01 03:00:00' AND event_timestamp < TIMESTAMP '2024-01-01 09:00:00')),
       {windows('ok', BOTH)} SELECT * FROM feat""",
-    "upsert_transactions": f"""WITH {TX} SELECT transaction_id, account_id,
-      CAST(CASE WHEN event_id % 2 = 0 THEN amount + 1 ELSE amount END AS DOUBLE) AS amount,
-      CASE WHEN event_id % 2 = 0 THEN event_timestamp + INTERVAL '1 hour' ELSE event_timestamp END AS processed_at
-      FROM tx WHERE event_id % 2 = 0 OR event_id % 3 <> 0""",
+    "upsert_transactions": f"""WITH {TX}, u AS (SELECT *, event_id % 2 = 0 OR event_id % 3 = 0 AS updated FROM tx)
+      SELECT transaction_id, account_id, CAST(CASE WHEN updated THEN amount + 1 ELSE amount END AS DOUBLE) AS amount,
+        CASE WHEN updated THEN event_timestamp + INTERVAL '1 hour' ELSE event_timestamp END AS processed_at FROM u""",
+    "model_logistic_summary": MODEL_SUMMARY,
+    "model_boosted_trees_summary": MODEL_SUMMARY,
 }

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.contract import COUNTRIES, MERCHANT_CATEGORIES
+from riskflow.contract import COUNTRIES
 from riskflow.functions.geo import haversine_km
 from riskflow.operators.carry import (
     DEFAULT_BUCKET,
@@ -235,19 +235,23 @@ def merchant_history(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFra
     )
 
 
-def category_risk(events: DataFrame, cutoff: Column) -> DataFrame:
-    """Fraud rate per merchant category over labels known before ``cutoff``."""
-    known = events.where((F.col("event_timestamp") < cutoff) & F.col("is_fraud").isNotNull())
-    return known.groupBy("merchant_category").agg(
-        F.avg(F.col("is_fraud").cast("int")).alias("merchant_category_risk")
-    )
-
+def category_risk(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+    """Per merchant category: fraud rate over strictly earlier labelled transactions.
 
-def with_category_risk(events: DataFrame, risks: DataFrame) -> DataFrame:
-    """Join the category lookup. Only contract categories are kept in it, so it has at most
-    ten rows and is broadcast; a frequent category then needs no shuffle."""
-    bounded = risks.where(F.col("merchant_category").isin(*MERCHANT_CATEGORIES))
-    return events.join(F.broadcast(bounded), "merchant_category", "left")
+    Needs ``is_fraud`` (NULL while a label is unknown). A row never sees its own label or a
+    later one; the rate is NULL before the first label of its category.
+    """
+    measures = {
+        "labelled": F.col("is_fraud").isNotNull().cast("int"),
+        "frauds": F.coalesce(F.col("is_fraud").cast("int"), F.lit(0)),
+    }
+    totals = running_totals(events, ["merchant_category"], measures, {"prior": 1}, bucket)
+    return totals.select(
+        "transaction_id",
+        (F.col("prior_frauds") / F.nullif(F.col("prior_labelled"), F.lit(0))).alias(
+            "merchant_category_risk"
+        ),
+    )
 
 
 def temporal(

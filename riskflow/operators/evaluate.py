@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskflow.operators.ordered import running_over_values
+
 THRESHOLDS = tuple(step / 20 for step in range(1, 20))
 
 
@@ -76,27 +78,15 @@ def best_threshold(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("expected_cost", "threshold").limit(1)
 
 
-def curve_areas(
-    scored: DataFrame, score: str = "risk_score", label: str = "is_fraud", digits: int = 4
-) -> DataFrame:
-    """ROC-AUC and average precision over scores rounded to ``digits``.
-
-    Rounding bounds the number of distinct scores (10,001 for four digits of a 0..1
-    score), so the ordered pass over them is small however many rows there are.
-    """
+def curve_areas(scored: DataFrame, score: str = "risk_score", label: str = "is_fraud") -> DataFrame:
+    """Exact ROC-AUC and average precision; equal scores count as ties."""
     positive = F.col(label).cast("boolean")
     points = (
         scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(F.round(score, digits).alias("cut"))
+        .groupBy((-F.col(score).cast("double")).alias("value"))
         .agg(F.count_if(positive).alias("frauds"), F.count_if(~positive).alias("others"))
     )
-    falling = W.orderBy(F.desc("cut")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    curve = points.select(
-        "frauds",
-        "others",
-        F.sum("frauds").over(falling).alias("tp"),
-        F.sum("others").over(falling).alias("fp"),
-    )
+    curve = running_over_values(points, {"frauds": "tp", "others": "fp"})
     frauds, others = F.sum("frauds"), F.sum("others")
     # Each band of others ranks below the frauds above it and ties with half of its own.
     wins = F.sum(F.col("others") * (F.col("tp") - F.col("frauds") / 2))

@@ -38,7 +38,8 @@ def deduplicate(events: DataFrame, horizon: str = "watermark") -> DataFrame:
 
     On a batch the earliest copy is kept, ties broken by the other fields, so the
     result does not depend on row order. The minimum is taken map-side first:
-    an id repeated any number of times leaves each input task as one row.
+    an id repeated any number of times leaves each input task as one row. Rows
+    without an id (values that did not parse) are all kept, so that they can be counted.
     """
     if horizon not in ("watermark", "unbounded"):
         raise ValueError(f"unknown horizon {horizon!r}")
@@ -50,8 +51,11 @@ def deduplicate(events: DataFrame, horizon: str = "watermark") -> DataFrame:
         name for name in events.columns if name not in ("transaction_id", "event_timestamp")
     ]
     earliest = F.min(F.struct(*first_by)).alias("kept")
+    # Rows without an id are not copies of each other: each stays a row of its own.
+    apart = F.when(F.col("transaction_id").isNull(), F.monotonically_increasing_id())
     return (
-        events.groupBy("transaction_id")
+        events.withColumn("apart", apart)
+        .groupBy("transaction_id", "apart")
         .agg(earliest)
         .select(*[
             F.col(name) if name == "transaction_id" else F.col(f"kept.{name}").alias(name)

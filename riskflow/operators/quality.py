@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskflow.operators.ordered import running_over_values
+
 from riskflow.contract import ALLOWED_VALUES
 
 
@@ -129,17 +131,21 @@ def population_stability(
     )
 
 
-def kolmogorov_smirnov(
-    reference: DataFrame, current: DataFrame, bin_of: Column, feature: str
-) -> DataFrame:
-    """Largest gap between the two cumulative shares over ordered, bounded bins."""
-    upto = W.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
+def kolmogorov_smirnov(reference: DataFrame, current: DataFrame, column: str) -> DataFrame:
+    """Largest gap between the two cumulative shares over all distinct values; NULLs take no part."""
+    value = F.col(column).cast("double").alias("value")
+    both = reference.select(value, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(
+        current.select(value, F.lit(0).alias("old"), F.lit(1).alias("new"))
+    )
+    points = both.where(F.col("value").isNotNull()).groupBy("value").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+    upto = running_over_values(points, {"old": "old_upto", "new": "new_upto"})
+    totals = upto.agg(F.sum("old").alias("old_total"), F.sum("new").alias("new_total"))
     gap = F.abs(
-        F.sum("old").over(upto) / F.nullif(F.col("old_total"), F.lit(0))
-        - F.sum("new").over(upto) / F.nullif(F.col("new_total"), F.lit(0))
+        F.col("old_upto") / F.nullif(F.col("old_total"), F.lit(0))
+        - F.col("new_upto") / F.nullif(F.col("new_total"), F.lit(0))
     )
     return (
-        _shares(reference, current, bin_of)
+        upto.crossJoin(F.broadcast(totals))  # one row
         .select(gap.alias("gap"))
-        .agg(F.lit(feature).alias("feature"), F.max("gap").alias("ks"))
+        .agg(F.lit(column).alias("feature"), F.max("gap").alias("ks"))
     )

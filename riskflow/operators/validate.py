@@ -41,7 +41,7 @@ CANONICAL_TIME_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\
 WHOLE_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
 OFFSET_TIME_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
-    r" ?([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)$"
+    r" ?([Zz]|[+-][0-9]{2}:?[0-9]{2})$"
 )
 BLANKS = (
     "\t\n\u000b\u000c\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"

@@ -26,7 +26,7 @@ from riskflow.plans import lake, models
 from riskflow.plans.pipeline import build_lake, refine, upsert
 from riskflow.session import shared_folder, configure
 from riskflow.settings import FeatureSettings
-from riskflow.sources.generator import HOME, GeneratorSettings, synthesize, with_anomalies
+from riskflow.sources.generator import HOME
 from riskflow.sources.records import FAULT_CASES, peek_records, raw_records, with_faults
 from riskflow.sources.tables import read_table, read_transactions, transactions_from_events
 from riskflow.streaming.queries import silver_stream, start_gold, start_router_files, start_silver
@@ -248,12 +248,6 @@ def q_validate_texts(spark, folder):
     )
 
 
-def q_fault_injection(spark, folder):
-    turn = F.pmod(number_of(), F.lit(7)).cast("int")
-    case = F.get(F.array(*[F.lit(name) for name in FAULT_CASES]), turn)
-    damaged = with_faults(read_transactions(spark, folder), case)
-    return damaged.select("transaction_id", F.col("value").cast("string").alias("value"))
-
 
 def q_peek(spark, folder):
     shown = peek_records(_damaged_records(spark, folder), 20)
@@ -263,19 +257,6 @@ def q_peek(spark, folder):
 # --- synthetic source --------------------------------------------------------------
 
 
-def q_generate(spark, folder):
-    """One synthetic transaction per row of the events table."""
-    ids = read_table(spark, folder, "events").select((F.col("event_id") + 1).alias("id"))
-    made = synthesize(ids, GeneratorSettings())
-    return made.withColumns({axis: F.round(axis, 6) for axis in ("latitude", "longitude")})
-
-
-def q_anomalies(spark, folder):
-    made = with_anomalies(read_transactions(spark, folder), rate=0.05)
-    return made.select(
-        "transaction_id", "event_timestamp", "amount", "device_id", "latitude",
-        F.round("longitude", 6).alias("longitude"), "anomaly", "is_fraud",
-    )
 
 
 # --- streaming ----------------------------------------------------------------------
@@ -392,10 +373,7 @@ def q_merchant_history(spark, folder):
 
 
 def q_category_risk(spark, folder):
-    events = _labelled(spark, folder)
-    risks = B.category_risk(events, F.lit(HALF_WAY).cast("timestamp"))
-    joined = B.with_category_risk(events, risks)
-    return joined.select("transaction_id", F.round("merchant_category_risk", 6).alias("merchant_category_risk"))
+    return _rounded(B.category_risk(_labelled(spark, folder)), 6, "merchant_category_risk")
 
 
 def q_temporal(spark, folder):
@@ -470,8 +448,8 @@ def q_curve_areas(spark, folder):
     return _rounded(evaluate.curve_areas(_decided(spark, folder)), 6, "roc_auc", "pr_auc")
 
 
-def q_model_scores(kind: str) -> Query:
-    """Train on labelled rows of the first half, score all of the second half."""
+def _model_scores(kind: str) -> Query:
+    """Train on the earlier half of the labelled rows, score every row."""
     names = ["txn_count_5m", "amount_vs_recent_average", "seconds_since_previous_txn"]
 
     def query(spark, folder):
@@ -493,12 +471,27 @@ def q_model_scores(kind: str) -> Query:
         cutoff = known.agg(F.percentile_approx(at, 0.5)).first()[0]
         early = stored.where(at < cutoff)
         model = models.train(early, names, kind)
-        scored = models.score(model, stored.where(at >= cutoff), names)
+        scored = models.score(model, stored, names)
         return scored.select("transaction_id", "is_fraud", "fraud_probability")
 
     return query
 
 
+def q_model_summary(kind: str) -> Query:
+    """What holds for any model's scores: every row once, labels kept, probabilities in range."""
+
+    def query(spark, folder):
+        return _model_scores(kind)(spark, folder).agg(
+            F.count(F.lit(1)).alias("rows_scored"),
+            F.count_distinct("transaction_id").alias("ids"),
+            F.count("is_fraud").alias("labelled"),
+            F.count_if("is_fraud").alias("frauds"),
+            F.count_if(F.col("fraud_probability").between(0, 1)).alias("in_range"),
+        )
+
+    return query
+
+
 # --- quality, drift, marts, replay, merge ----------------------------------------------
 
 
@@ -529,9 +522,7 @@ def q_psi(spark, folder):
 
 def q_ks(spark, folder):
     old, new = _halves(spark, folder)
-    dollars = F.floor("amount").cast("int")
-    whole = F.when(F.col("amount") < 0.01, -1).otherwise(F.least(dollars, F.lit(399)))
-    return _rounded(quality.kolmogorov_smirnov(old, new, whole, "amount"), 8, "ks")
+    return _rounded(quality.kolmogorov_smirnov(old, new, "amount"), 8, "ks")
 
 
 def q_daily_merchants(spark, folder):
@@ -561,7 +552,7 @@ def q_upsert(spark, folder):
         "transaction_id", "account_id", "amount", F.col("event_timestamp").alias("processed_at")
     )
     existing = events.where(number_of() % 3 != 0)
-    updates = events.where(number_of() % 2 == 0).withColumns(
+    updates = events.where((number_of() % 2 == 0) | (number_of() % 3 == 0)).withColumns(
         {
             "amount": (F.col("amount") + 1).cast("decimal(12,2)"),
             "processed_at": F.col("processed_at") + F.expr("interval 1 hour"),
@@ -594,10 +585,7 @@ QUERIES: dict[str, Query] = {
     "dead_letter_envelope": q_dead_letters,
     "route_topics": q_route_topics,
     "validate_texts": q_validate_texts,
-    "fault_injection": q_fault_injection,
     "peek_records": q_peek,
-    "generate_transactions": q_generate,
-    "inject_anomalies": q_anomalies,
     "stream_silver": q_stream_silver,
     "stream_gold": q_stream_gold,
     "stream_gold_from_silver": q_stream_gold_from_silver,
@@ -621,8 +609,10 @@ QUERIES: dict[str, Query] = {
     "threshold_metrics": q_threshold_metrics,
     "best_threshold": q_best_threshold,
     "curve_areas": q_curve_areas,
-    "model_logistic": q_model_scores("logistic"),
-    "model_boosted_trees": q_model_scores("boosted_trees"),
+    "model_logistic": _model_scores("logistic"),
+    "model_boosted_trees": _model_scores("boosted_trees"),
+    "model_logistic_summary": q_model_summary("logistic"),
+    "model_boosted_trees_summary": q_model_summary("boosted_trees"),
     "quality_report": q_quality_report,
     "pipeline_report": q_pipeline_report,
     "psi_drift": q_psi,

@@ -11,7 +11,7 @@ from riskflow.operators.parse import deduplicate
 from riskflow.operators.validate import dead_letters, valid_events, validate_events
 from riskflow.operators.windows import account_window_features
 from riskflow.plans.lake import write_gold, write_silver
-from riskflow.session import shared_folder
+from riskflow.session import drop_folder, shared_folder
 from riskflow.settings import FeatureSettings
 
 
@@ -51,6 +51,7 @@ def build_lake(
     write_silver(deduplicate(valid_events(checked)), silver_path)
     write_gold(account_window_features(spark.read.parquet(silver_path), settings), gold_path)
     dead_letters(checked).write.mode("overwrite").parquet(dlq_path)
+    drop_folder(spark, checked_path)
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str = "transaction_id") -> DataFrame:

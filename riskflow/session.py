@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +34,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="riskflow-")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more, in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -43,6 +56,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="riskflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/riskflow/{purpose}-{uuid.uuid4().hex}"

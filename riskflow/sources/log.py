@@ -7,6 +7,7 @@ version). The file sources feed the same pipeline where there is no broker.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 
 from riskflow.contract import raw_record_schema
 from riskflow.settings import LogSettings
@@ -46,18 +47,28 @@ def read_log_batch(spark: SparkSession, settings: LogSettings, topic: str) -> Da
     )
 
 
-def read_value_lines(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def _file_stream(spark: SparkSession, files_per_trigger: int | None) -> DataStreamReader:
+    """Without a limit all files that are there form one micro-batch.
+
+    A limit lets the watermark advance between files, so rows of a later file that are older
+    than it are dropped; set one only for files that arrive in event-time order.
+    """
+    reader = spark.readStream
+    return reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)
+
+
+def read_value_lines(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
     """Stream of text files with one JSON value per line."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return _file_stream(spark, files_per_trigger).text(path)
 
 
-def read_record_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def read_record_files(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
     """Stream of Parquet files with the raw record columns."""
-    return (
-        spark.readStream.schema(raw_record_schema())
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+    return _file_stream(spark, files_per_trigger).schema(raw_record_schema()).parquet(path)
 
 
 def write_log(records: DataFrame, settings: LogSettings, topic: str | None = None) -> None:

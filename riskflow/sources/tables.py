@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow import contract
-from riskflow.session import configure
 
 # Fixed values of the derivation (the SQL checks use the same ones).
 BASE_MICROS = 1704067200000000  # 2024-01-01T00:00:00Z
@@ -21,7 +20,7 @@ DEVICES = 3
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:

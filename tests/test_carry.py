@@ -93,7 +93,7 @@ def test_impossible_travel_without_elapsed_time(spark):
     pair = events(
         spark,
         event("a", "10:00"),
-        event("b", "10:00", latitude=28.6139, longitude=77.2090),
+        event("b", "10:00", latitude=48.8566, longitude=2.3522),
         event("c", "23:00"),
     )
     rows = {r.transaction_id: r for r in B.travel(pair).collect()}

@@ -57,7 +57,7 @@ def test_replay_reads_only_the_dates_it_needs(spark, tmp_path):
         "timestamp", F.timestamp_seconds(F.lit(1767225600) + F.col("offset") * 86400)
     )
     write_bronze(records, path)
-    found = replay(spark, path, "2026-01-18 00:00:00", "2026-01-19 00:00:00", "acct_1001")
+    found = replay(spark, path, "2026-01-18 00:00:00", "2026-01-19 00:00:00", "acct_7310")
     assert [row.offset for row in found.collect()] == [17]
     assert "arrival_date" in plan(found).split("PartitionFilters")[1].split("PushedFilters")[0]
     assert replay(spark, path, account_id="other").count() == 0

@@ -10,7 +10,8 @@ QUICK = (
     "account_window_features",
     "validate_events",
     "dead_letter_envelope",
-    "generate_transactions",
+    "merchant_category_risk",
+    "ks_drift",
     "rolling_velocity",
     "device_activity",
     "quality_report",

@@ -10,7 +10,6 @@ from riskflow.sources.generator import (
     TICKET_RANGE,
     GeneratorSettings,
     synthesize,
-    timed_wave,
     transactions,
     with_anomalies,
 )
@@ -63,13 +62,6 @@ def test_anomalies_are_labelled(spark):
         with_anomalies(made, 2.0)
 
 
-def test_waves(spark):
-    minutes = lambda wave: sorted(r.event_timestamp.strftime("%H:%M") for r in timed_wave(spark, wave, "z").collect())
-    assert minutes("early") == ["10:01", "10:03"] and minutes("late") == ["10:50", "10:52"]
-    with pytest.raises(ValueError):
-        timed_wave(spark, "noon", "z")
-
-
 def test_log_source_options(spark):
     options = log_options(LogSettings(), "transactions.raw")
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"

@@ -9,7 +9,6 @@ from riskflow.operators.parse import prepare_events
 from riskflow.operators.windows import account_window_features
 from riskflow.plans.lake import lake_summary
 from riskflow.settings import LakeSettings, StreamSettings
-from riskflow.sources.generator import timed_wave
 from riskflow.sources.log import read_record_files, read_value_lines
 from riskflow.streaming.metrics import progress_table
 from riskflow.streaming.queries import (
@@ -21,7 +20,7 @@ from riskflow.streaming.queries import (
     start_router_files,
     start_silver,
 )
-from tests.helpers import event, events, raw, value
+from tests.helpers import event, events, raw, timed_wave, value
 
 
 def feed(frame, folder):
@@ -66,7 +65,7 @@ def test_late_wave_closes_both_early_windows(spark, tmp_path):
     gold_run(spark, tmp_path)
     feed(timed_wave(spark, "late", "r"), tmp_path / "in")
     gold_run(spark, tmp_path)  # restarts from the checkpoint
-    assert windows(spark, tmp_path) == [("30m", "10:00", 2, "51.00"), ("5m", "10:00", 2, "51.00")]
+    assert windows(spark, tmp_path) == [("30m", "10:00", 2, "62.50"), ("5m", "10:00", 2, "62.50")]
 
 
 def test_late_and_repeated_rows(spark, tmp_path):
@@ -80,12 +79,12 @@ def test_late_and_repeated_rows(spark, tmp_path):
             event("late", "10:02"),
             event("on_the_mark", "10:42"),
             event("in_time", "10:43"),
-            event("txn_lake_r_d", "10:52"),
+            event("wave_r_d", "10:52"),
         ),
         tmp_path / "in",
     )
     silver_run(spark, tmp_path)
-    assert ids(spark, tmp_path) == ["in_time"] + [f"txn_lake_r_{x}" for x in "abcd"]
+    assert ids(spark, tmp_path) == ["in_time"] + [f"wave_r_{x}" for x in "abcd"]
     folders = {p.name for p in (tmp_path / "silver").glob("event_date=*")}
     assert folders == {"event_date=2026-01-01"}
 
@@ -130,7 +129,7 @@ def test_router_writes_each_record_once(spark, tmp_path):
     counts = {r.topic: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("topic").count().collect()}
     assert counts == {"transactions.validated": 2, "transactions.dlq": 6}
     row = spark.read.parquet(str(tmp_path / "out")).where("topic = 'transactions.validated'").first()
-    assert json.loads(bytes(row.value))["transaction_id"] == "txn_001"
+    assert json.loads(bytes(row.value))["transaction_id"] == "pay_0417"
 
 
 def test_console_shows_open_windows(spark, tmp_path):
@@ -155,3 +154,13 @@ def test_lake_runs_together_and_reports_progress(spark, tmp_path):
     summary = {r.layer: r for r in lake_summary(spark, lake.silver_path, lake.gold_path, True).collect()}
     assert (summary["silver"].row_count, summary["silver"].gate_code) == (2, 0)
     assert (summary["gold"].row_count, summary["gold"].gate_code) == (0, 3)
+
+
+def test_unordered_files_lose_nothing(spark, tmp_path):
+    """Six files whose times overlap and fall back: every id reaches Silver with the defaults."""
+    hours = (14, 3, 21, 9, 0, 17)
+    for number, hour in enumerate(hours):
+        rows = [event(f"f{number}_{n}", f"{hour}:{n:02d}") for n in range(0, 60, 5)]
+        feed(events(spark, *rows), tmp_path / "in")
+    silver_run(spark, tmp_path)
+    assert len(ids(spark, tmp_path)) == 12 * len(hours)
