@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskflow.llm.common import packed
 
@@ -67,7 +68,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     symbols = np.append(np.uint64(0), symbols[stays].astype(np.uint64))
     owner = np.append(0, owner[stays])
     letter = symbols != 0
-    hashes, owners = [], []
+    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n in SIZES:
         if len(symbols) < n:
             continue
@@ -186,7 +187,7 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
             yield pa.record_batch([rows, pa.array(names, pa.string()), pa.array(scores)], names=["row", "lang_pred", "score"])
 
     base = packed(docs)
-    return base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return base.mapInArrow(run, StructType([*base.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def held_out(key: Column) -> Column:
