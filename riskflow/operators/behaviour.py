@@ -4,7 +4,7 @@ Every function takes de-duplicated batch transactions (usually the Silver table,
 files) and returns one row per transaction. "Prior" means strictly earlier event time; a
 label or amount of the current row, or of a row at the same instant, never enters a prior
 aggregate. All history runs through ``riskflow.operators.carry``, so a hot account,
-device or merchant is cut by time and spread over tasks.
+device or merchant is cut by count and spread over tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from riskflow.contract import COUNTRIES
 from riskflow.functions.geo import haversine_km
 from riskflow.operators.carry import (
-    DEFAULT_BUCKET,
     first_of_pair,
     micros,
     running_totals,
@@ -47,67 +46,105 @@ def _money(cents: Column) -> Column:
     return (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(20,2)")
 
 
+def _edge(window: str) -> str:
+    """Name of the probe at the left edge of a rolling window."""
+    return f"before_{window.replace(' ', '_')}"
+
+
+def _edges(*windows: str) -> dict[str, int]:
+    return {_edge(window): _since(window) for window in windows}
+
+
+def _country_measures() -> dict[str, Column]:
+    return {code: F.when(F.col("country") == code, 1).otherwise(0) for code in COUNTRIES}
+
+
+def _deviation_measures() -> dict[str, Column]:
+    return {
+        "priced": F.when(F.col("amount").isNotNull(), 1),
+        _CENTS: _cents(),
+        "squares": _cents().cast("decimal(19,0)") * _cents().cast("decimal(19,0)"),
+    }
+
+
+def _velocity_columns(windows: Mapping[str, str]) -> list[Column]:
+    def within(measure: str, window: str) -> Column:
+        return F.col(f"now_{measure}") - F.col(f"{_edge(window)}_{measure}")
+
+    counts = [within("n", size).alias(f"txn_count_{label}") for label, size in windows.items()]
+    return counts + [
+        _money(within(_CENTS, size)).alias(f"amount_sum_{label}") for label, size in windows.items()
+    ]
+
+
+def _deviation_columns(history: str, epsilon: float) -> list[Column]:
+    def within(measure: str) -> Column:
+        return (F.col(f"prior_{measure}") - F.col(f"{_edge(history)}_{measure}")).cast("double")
+
+    n, total, squares = within("priced"), within(_CENTS), within("squares")
+    spread = F.greatest(squares - total * total / F.nullif(n, F.lit(0.0)), F.lit(0.0))
+    mean = total / F.nullif(n, F.lit(0.0)) / 100
+    deviation = F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0.0))) / 100)
+    amount = F.col("amount").cast("double")
+    score = (amount - mean) / F.greatest(deviation, F.lit(epsilon))
+    return [
+        n.cast("bigint").alias("prior_txn_count_30d"),
+        mean.alias("account_mean_amount_30d"),
+        deviation.alias("account_std_amount_30d"),
+        F.when(deviation.isNotNull(), score).alias("amount_zscore"),
+        F.when(mean > 0, amount / F.nullif(mean, F.lit(0.0))).alias("amount_vs_recent_average"),
+    ]
+
+
+def _country_count(window: str) -> Column:
+    used = [(F.col(f"now_{c}") > F.col(f"{_edge(window)}_{c}")).cast("int") for c in COUNTRIES]
+    return sum(used[1:], used[0]).alias("country_count")
+
+
 def rolling_velocity(
-    events: DataFrame,
-    windows: Mapping[str, str] = VELOCITY_WINDOWS,
-    bucket: str = DEFAULT_BUCKET,
+    events: DataFrame, windows: Mapping[str, str] = VELOCITY_WINDOWS
 ) -> DataFrame:
     """``txn_count_*`` and ``amount_sum_*`` of the account over the last 5 m, 30 m and 24 h.
 
     A window is ``[t - size, t]`` and counts the current transaction.
     """
-    probes = {"now": 0, **{f"before_{label}": _since(size) for label, size in windows.items()}}
-    totals = running_totals(
-        events, ["account_id"], {"n": F.lit(1), _CENTS: _cents()}, probes, bucket
-    )
-    return totals.select(
-        "transaction_id",
-        *[(F.col("now_n") - F.col(f"before_{w}_n")).alias(f"txn_count_{w}") for w in windows],
-        *[
-            _money(F.col("now_cents") - F.col(f"before_{w}_cents")).alias(f"amount_sum_{w}")
-            for w in windows
-        ],
-    )
+    measures = {"n": F.lit(1), _CENTS: _cents()}
+    probes = {"now": 0, **_edges(*windows.values())}
+    totals = running_totals(events, ["account_id"], measures, probes)
+    return totals.select("transaction_id", *_velocity_columns(windows))
 
 
 def amount_deviation(
-    events: DataFrame,
-    history: str = HISTORY_DAYS,
-    epsilon: float = 0.01,
-    bucket: str = DEFAULT_BUCKET,
+    events: DataFrame, history: str = HISTORY_DAYS, epsilon: float = 0.01
 ) -> DataFrame:
     """The amount against the account's prior 30 days: mean, deviation, z-score and ratio.
 
     NULL while there is no prior row (two for the deviation). Sums are whole cents and
     their squares, so differences of running totals lose nothing.
     """
-    measures = {
-        "n": F.when(F.col("amount").isNotNull(), 1),
-        _CENTS: _cents(),
-        "squares": _cents().cast("decimal(19,0)") * _cents().cast("decimal(19,0)"),
-    }
-    totals = running_totals(
-        events, ["account_id"], measures, {"prior": 1, "old": _since(history)}, bucket
-    )
+    probes = {"prior": 1, **_edges(history)}
+    totals = running_totals(events, ["account_id"], _deviation_measures(), probes)
+    joined = events.select("transaction_id", "amount").join(totals, "transaction_id")
+    return joined.select("transaction_id", *_deviation_columns(history, epsilon))
 
-    def within(measure: str) -> Column:
-        return (F.col(f"prior_{measure}") - F.col(f"old_{measure}")).cast("double")
 
+def account_history(
+    events: DataFrame,
+    windows: Mapping[str, str] = VELOCITY_WINDOWS,
+    history: str = HISTORY_DAYS,
+    epsilon: float = 0.01,
+    countries: str = "24 hours",
+) -> DataFrame:
+    """The columns of velocity, deviation and countries, from one pass over the accounts."""
+    measures = {"n": F.lit(1), **_deviation_measures(), **_country_measures()}
+    probes = {"now": 0, "prior": 1, **_edges(*windows.values(), history, countries)}
+    totals = running_totals(events, ["account_id"], measures, probes)
     joined = events.select("transaction_id", "amount").join(totals, "transaction_id")
-    n, total, squares = within("n"), within(_CENTS), within("squares")
-    spread = F.greatest(squares - total * total / F.nullif(n, F.lit(0.0)), F.lit(0.0))
-    mean = total / F.nullif(n, F.lit(0.0)) / 100
-    deviation = F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0.0))) / 100)
-    amount = F.col("amount").cast("double")
     return joined.select(
         "transaction_id",
-        n.cast("bigint").alias("prior_txn_count_30d"),
-        mean.alias("account_mean_amount_30d"),
-        deviation.alias("account_std_amount_30d"),
-        F.when(
-            deviation.isNotNull(), (amount - mean) / F.greatest(deviation, F.lit(epsilon))
-        ).alias("amount_zscore"),
-        F.when(mean > 0, amount / F.nullif(mean, F.lit(0.0))).alias("amount_vs_recent_average"),
+        *_velocity_columns(windows),
+        *_deviation_columns(history, epsilon),
+        _country_count(countries),
     )
 
 
@@ -115,7 +152,6 @@ def travel(
     events: DataFrame,
     max_speed_kmh: float = MAX_SPEED_KMH,
     min_km: float = MIN_TRAVEL_KM,
-    bucket: str = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Distance, time and speed from the account's previous transaction.
 
@@ -131,7 +167,6 @@ def travel(
             "previous_longitude": "longitude",
             "previous_country": "country",
         },
-        bucket,
     )
     km = haversine_km(
         F.col("previous_latitude"), F.col("previous_longitude"), F.col("latitude"), F.col("longitude")
@@ -151,18 +186,11 @@ def travel(
     )
 
 
-def countries_seen(
-    events: DataFrame, window: str = "24 hours", bucket: str = DEFAULT_BUCKET
-) -> DataFrame:
+def countries_seen(events: DataFrame, window: str = "24 hours") -> DataFrame:
     """How many of the contract's countries the account used within the window, now included."""
-    measures = {code: F.when(F.col("country") == code, 1).otherwise(0) for code in COUNTRIES}
-    totals = running_totals(
-        events, ["account_id"], measures, {"now": 0, "before": _since(window)}, bucket
-    )
-    used = [
-        (F.col(f"now_{code}") > F.col(f"before_{code}")).cast("int") for code in COUNTRIES
-    ]
-    return totals.select("transaction_id", sum(used[1:], used[0]).alias("country_count"))
+    probes = {"now": 0, **_edges(window)}
+    totals = running_totals(events, ["account_id"], _country_measures(), probes)
+    return totals.select("transaction_id", _country_count(window))
 
 
 def new_pairs(events: DataFrame) -> DataFrame:
@@ -179,34 +207,34 @@ def new_pairs(events: DataFrame) -> DataFrame:
     )
 
 
-def device_activity(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
-    """Per device: accounts seen so far, use in the last hour and 30 days, country change.
+def device_usage(events: DataFrame) -> DataFrame:
+    """Per device: accounts seen so far, use in the last hour and 30 days.
 
     The number of distinct accounts is the running count of first meetings, so no set of
     accounts is ever kept.
     """
     firsts = first_of_pair(events, ["device_id", "account_id"], "first_meeting")
     marked = events.join(firsts, "transaction_id", "left")
-    totals = running_totals(
-        marked,
-        ["device_id"],
-        {"n": F.lit(1), "accounts": F.coalesce(F.col("first_meeting").cast("int"), F.lit(0))},
-        {"now": 0, "hour": _since("1 hour"), "month": _since(HISTORY_DAYS)},
-        bucket,
-    )
-    moved = with_previous(events, ["device_id"], {"previous_country": "country"}, bucket).select(
-        "transaction_id", (F.col("country") != F.col("previous_country")).alias("device_country_change")
-    )
-    return totals.join(moved, "transaction_id").select(
+    measures = {"n": F.lit(1), "accounts": F.coalesce(F.col("first_meeting").cast("int"), F.lit(0))}
+    probes = {"now": 0, **_edges("1 hour", HISTORY_DAYS)}
+    totals = running_totals(marked, ["device_id"], measures, probes)
+    return totals.select(
         "transaction_id",
         F.col("now_accounts").alias("device_account_count"),
-        (F.col("now_n") - F.col("hour_n")).alias("device_txn_count_1h"),
-        (F.col("now_n") - F.col("month_n")).alias("device_seen_count_30d"),
-        "device_country_change",
+        (F.col("now_n") - F.col(f"{_edge('1 hour')}_n")).alias("device_txn_count_1h"),
+        (F.col("now_n") - F.col(f"{_edge(HISTORY_DAYS)}_n")).alias("device_seen_count_30d"),
+    )
+
+
+def device_activity(events: DataFrame) -> DataFrame:
+    """The usage of the device, and whether the country changed since it was last used."""
+    moved = with_previous(events, ["device_id"], {"previous_country": "country"}).select(
+        "transaction_id", (F.col("country") != F.col("previous_country")).alias("device_country_change")
     )
+    return device_usage(events).join(moved, "transaction_id")
 
 
-def merchant_history(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def merchant_history(events: DataFrame) -> DataFrame:
     """Per merchant: prior transactions, mean amount, last-hour velocity and fraud rate.
 
     Needs ``is_fraud`` (NULL while a label is unknown). The fraud rate is taken over strictly
@@ -220,7 +248,7 @@ def merchant_history(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFra
         "frauds": F.coalesce(F.col("is_fraud").cast("int"), F.lit(0)),
     }
     totals = running_totals(
-        events, ["merchant_id"], measures, {"prior": 1, "hour": _since("1 hour")}, bucket
+        events, ["merchant_id"], measures, {"prior": 1, "hour": _since("1 hour")}
     )
     return totals.select(
         "transaction_id",
@@ -235,7 +263,7 @@ def merchant_history(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFra
     )
 
 
-def category_risk(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def category_risk(events: DataFrame) -> DataFrame:
     """Per merchant category: fraud rate over strictly earlier labelled transactions.
 
     Needs ``is_fraud`` (NULL while a label is unknown). A row never sees its own label or a
@@ -245,7 +273,7 @@ def category_risk(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
         "labelled": F.col("is_fraud").isNotNull().cast("int"),
         "frauds": F.coalesce(F.col("is_fraud").cast("int"), F.lit(0)),
     }
-    totals = running_totals(events, ["merchant_category"], measures, {"prior": 1}, bucket)
+    totals = running_totals(events, ["merchant_category"], measures, {"prior": 1})
     return totals.select(
         "transaction_id",
         (F.col("prior_frauds") / F.nullif(F.col("prior_labelled"), F.lit(0))).alias(
@@ -258,7 +286,6 @@ def temporal(
     events: DataFrame,
     unusual_share: float = 0.05,
     min_history: int = 20,
-    bucket: str = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Hour, weekday (1 = Sunday), weekend, and whether the hour is unusual for the account.
 
@@ -267,9 +294,9 @@ def temporal(
     """
     at = F.col("event_timestamp")
     clocked = events.withColumn("hour_of_day", F.hour(at))
-    overall = running_totals(clocked, ["account_id"], {"n": F.lit(1)}, {"all": 1}, bucket)
+    overall = running_totals(clocked, ["account_id"], {"n": F.lit(1)}, {"all": 1})
     same_hour = running_totals(
-        clocked, ["account_id", "hour_of_day"], {"n": F.lit(1)}, {"hour": 1}, bucket
+        clocked, ["account_id", "hour_of_day"], {"n": F.lit(1)}, {"hour": 1}
     )
     weekday = F.dayofweek(at)
     return (

@@ -1,14 +1,14 @@
 """Ordered history per key without putting a whole key into one task.
 
-A window partitioned by account alone sends a hot account to a single task. Here
-every key is cut into time buckets. A map-side pre-aggregated pass computes what
-each bucket passes on to the next one; that summary (one row per key and
-bucket) is turned into a *carry row* placed at the front of the bucket it is
-meant for, and the ordinary window then runs per (key, bucket). Results equal
-those of the uncut window.
-
-``bucket`` bounds the rows one task sorts; shrink it for denser data. The summary
-pass orders buckets within a key, so its size grows with time, not with rows.
+A window partitioned by account alone sends a hot account to a single task. Here rows are
+cut by count: Spark's range partitioner orders them by key, time and id into parts of
+about equal size, wherever a key or an instant begins or ends, and the parts are written as a
+table. A map-side pre-aggregated pass computes what each part of a key passes on to the
+next; that summary (one row per key and part) is turned into a *carry row* placed at the
+front of the part it is meant for, and the ordinary window then runs per (part, key). Results
+equal those of the uncut window, also where one instant is spread over several parts.
+
+Rows without a time belong to no history: they stay in the result with NULLs.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.session import stored_table
+
 MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
-DEFAULT_BUCKET = "1 hour"
 
 
 def micros(span: str) -> int:
@@ -30,9 +31,14 @@ def micros(span: str) -> int:
     return int(amount) * MICROS[unit.rstrip("s")]
 
 
-def _bucket_of(at: Column, bucket: str) -> Column:
-    """Start of the bucket, in whole microseconds."""
-    return at - F.pmod(at, F.lit(micros(bucket)))
+def in_parts(rows: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Rows with ``carry_part``, the number of the range of ``order`` they fall into.
+
+    Written, because the summary and the window must see the same cuts. Without ``parts``
+    Spark chooses how many, from the data's size.
+    """
+    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    return stored_table(ranged.withColumn("carry_part", F.spark_partition_id()), "parts")
 
 
 def _total_type(measure: T.DataType) -> T.DataType:
@@ -46,49 +52,35 @@ def with_previous(
     events: DataFrame,
     key: Sequence[str],
     columns: Mapping[str, str],
-    bucket: str = DEFAULT_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add columns of the same key's preceding row by (event_timestamp, transaction_id).
 
     ``columns`` maps a new name to the source column, as in
     ``{"previous_country": "country"}``; the first row of a key gets NULLs.
     """
-    wanted = list(dict.fromkeys([*key, "event_timestamp", "transaction_id", *columns.values()]))
-    timed = events.where(F.col("event_timestamp").isNotNull()).withColumn(
-        "carry_bucket", _bucket_of(F.unix_micros("event_timestamp"), bucket)
-    )
     ordering = ["event_timestamp", "transaction_id"]
-    payload = F.struct(*ordering, *[F.col(source).alias(new) for new, source in columns.items()])
-    last_of_bucket = (
-        timed.select(*wanted, "carry_bucket")
-        .groupBy(*key, "carry_bucket")
-        .agg(F.max_by(payload, F.struct(*ordering)).alias("passed"))
+    current = F.struct(*[F.col(source).alias(new) for new, source in columns.items()])
+    timed = events.where(F.col("event_timestamp").isNotNull()).withColumn("current", current)
+    rows = in_parts(timed, [*key, *ordering], parts)
+    passed = rows.groupBy(*key, "carry_part").agg(
+        F.max_by("current", F.struct(*ordering)).alias("current")
     )
-    carry = (
-        last_of_bucket.select(
-            *key,
-            F.lead("carry_bucket").over(W.partitionBy(*key).orderBy("carry_bucket")).alias(
-                "carry_bucket"
-            ),
-            F.col("passed"),
-        )
-        .where(F.col("carry_bucket").isNotNull())
-        .select(*key, "carry_bucket", *[f"passed.{name}" for name in ordering],
-                F.struct(*[F.col(f"passed.{new}").alias(new) for new in columns]).alias("current"),
-                F.lit(True).alias("is_carry"))
-    )
-    rows = timed.select(
-        "*",
-        F.struct(*[F.col(source).alias(new) for new, source in columns.items()]).alias("current"),
-        F.lit(False).alias("is_carry"),
-    )
-    ordered = W.partitionBy(*key, "carry_bucket").orderBy(*ordering)
-    return (
+    carry = passed.select(
+        *key,
+        F.lead("carry_part").over(W.partitionBy(*key).orderBy("carry_part")).alias("carry_part"),
+        "current",
+    ).where(F.col("carry_part").isNotNull())
+    # A carry row has no time, so it sorts first.
+    ordered = W.partitionBy("carry_part", *key).orderBy(*ordering)
+    linked = (
         rows.unionByName(carry, allowMissingColumns=True)
         .withColumn("before", F.lag("current").over(ordered))
-        .where(~F.col("is_carry"))
+        .where(F.col("event_timestamp").isNotNull())
         .select(*events.columns, *[F.col(f"before.{new}").alias(new) for new in columns])
     )
+    untimed = events.where(F.col("event_timestamp").isNull())
+    return linked.unionByName(untimed, allowMissingColumns=True)
 
 
 def running_totals(
@@ -96,7 +88,7 @@ def running_totals(
     key: Sequence[str],
     measures: Mapping[str, Column],
     probes: Mapping[str, int],
-    bucket: str = DEFAULT_BUCKET,
+    parts: int | None = None,
 ) -> DataFrame:
     """Exact totals per key up to several points in time before each transaction.
 
@@ -107,7 +99,7 @@ def running_totals(
     or decimals, so that the differences are exact. ``transaction_id`` must be unique.
     """
     names = list(measures)
-    typed = events.where(F.col("event_timestamp").isNotNull()).select(
+    typed = events.select(
         *key,
         "transaction_id",
         F.unix_micros("event_timestamp").alias("at"),
@@ -115,54 +107,49 @@ def running_totals(
     )
     types = {name: _total_type(typed.schema[name].dataType) for name in names}
 
-    def point(tag: str, offset: int, carries: bool) -> Column:
+    def point(probe: str | None, offset: int) -> Column:
+        """What the row adds to its key, or a place where the totals are read."""
+        adds = F.col("at").isNotNull() if probe is None else F.lit(False)
         return F.struct(
-            F.lit(tag).alias("probe"),
             (F.col("at") - F.lit(offset)).alias("seen_at"),
-            *[
-                (F.col(name) if carries else F.lit(None)).cast(types[name]).alias(f"add_{name}")
-                for name in names
-            ],
+            F.lit(probe).cast("string").alias("probe"),
+            *[F.when(adds, F.col(name)).cast(types[name]).alias(f"add_{name}") for name in names],
         )
 
-    # The event itself is a point too; it doubles as the probe with offset zero.
-    own = next((tag for tag, offset in probes.items() if offset == 0), "")
-    points = [point(own, 0, True)]
-    points += [point(tag, offset, False) for tag, offset in probes.items() if tag != own]
-    rows = typed.select(*key, "transaction_id", F.inline(F.array(*points))).withColumn(
-        "carry_bucket", _bucket_of(F.col("seen_at"), bucket)
-    )
+    points = [point(None, 0), *[point(tag, offset) for tag, offset in probes.items()]]
+    # At one instant all that is added (probe NULL) comes before all that is read.
+    ordering = ["seen_at", "probe", "transaction_id"]
+    spread = typed.select(*key, "transaction_id", F.inline(F.array(*points)))
+    rows = in_parts(spread, [*key, *ordering], parts)
     added = [f"add_{name}" for name in names]
-    per_bucket = rows.groupBy(*key, "carry_bucket").agg(
-        *[F.sum(column).alias(column) for column in added]
-    )
-    earlier = W.partitionBy(*key).orderBy("carry_bucket").rowsBetween(W.unboundedPreceding, -1)
-    carry = per_bucket.select(
+    per_part = rows.groupBy(*key, "carry_part").agg(*[F.sum(c).alias(c) for c in added])
+    earlier = W.partitionBy(*key).orderBy("carry_part").rowsBetween(W.unboundedPreceding, -1)
+    carry = per_part.select(
         *key,
-        "carry_bucket",
-        (F.col("carry_bucket") - 1).alias("seen_at"),
-        *[F.sum(column).over(earlier).alias(column) for column in added],
+        "carry_part",
+        F.count(F.lit(1)).over(earlier).alias("parts_before"),
+        *[F.sum(c).over(earlier).alias(c) for c in added],
     )
+    # A carry row has no time, so it sorts before all rows that have one.
+    carry = carry.where("parts_before > 0").drop("parts_before")
     upto = (
-        W.partitionBy(*key, "carry_bucket")
-        .orderBy("seen_at")
-        .rangeBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy("carry_part", *key)
+        .orderBy(*ordering)
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    summed = (
-        rows.unionByName(carry, allowMissingColumns=True)
-        .select(
-            "transaction_id",
-            "probe",
-            *[F.coalesce(F.sum(f"add_{name}").over(upto), F.lit(0)).alias(name) for name in names],
-        )
-        .where(F.col("probe").isNotNull() & (F.col("probe") != ""))
+    totals = [F.coalesce(F.sum(f"add_{name}").over(upto), F.lit(0)).alias(name) for name in names]
+    summed = rows.unionByName(carry, allowMissingColumns=True).select(
+        "transaction_id", "probe", "seen_at", *totals
     )
-    return summed.groupBy("transaction_id").agg(
-        *[
-            F.max(F.when(F.col("probe") == tag, F.col(name))).alias(f"{tag}_{name}")
-            for tag in probes
-            for name in names
-        ]
+
+    def read(tag: str, name: str) -> Column:
+        here = (F.col("probe") == tag) & F.col("seen_at").isNotNull()
+        return F.max(F.when(here, F.col(name))).alias(f"{tag}_{name}")
+
+    return (
+        summed.where(F.col("probe").isNotNull())
+        .groupBy("transaction_id")
+        .agg(*[read(tag, name) for tag in probes for name in names])
     )
 
 

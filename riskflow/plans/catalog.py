@@ -24,7 +24,7 @@ from riskflow.operators.validate import dead_letters, route, valid_events, valid
 from riskflow.operators.windows import DAY_WINDOW, account_window_features, window_features
 from riskflow.plans import lake, models
 from riskflow.plans.pipeline import build_lake, refine, upsert
-from riskflow.session import shared_folder, configure
+from riskflow.session import configure, shared_folder, stored_table
 from riskflow.settings import FeatureSettings
 from riskflow.sources.generator import HOME
 from riskflow.sources.records import FAULT_CASES, peek_records, raw_records, with_faults
@@ -381,27 +381,29 @@ def q_temporal(spark, folder):
 
 
 def _decided(spark: SparkSession, folder: str) -> DataFrame:
-    """All features, rules, score and decision; the model is a fixed curve of the z-score."""
-    events = with_transaction_signals(read_transactions(spark, folder), SETTINGS)
-    labelled = _labelled(spark, folder)
-    deviation = _rounded(B.amount_deviation(events), 4, "amount_zscore")
+    """All features, rules, score and decision; the model is a fixed curve of the z-score.
+
+    Events are read and derived once and the decided rows are written once: each report on them
+    reads a table.
+    """
+    events = stored_table(with_transaction_signals(_labelled(spark, folder), SETTINGS), "events")
+    history = B.account_history(events, {"5m": "5 minutes"}, countries="30 minutes")
     features = B.with_features(
         events,
         [
-            labelled.select("transaction_id", "is_fraud"),
-            B.rolling_velocity(events).select("transaction_id", "txn_count_5m"),
-            deviation.select("transaction_id", "amount_zscore"),
+            _rounded(history, 4, "amount_zscore").select(
+                "transaction_id", "txn_count_5m", "amount_zscore", "country_count"
+            ),
             _travel(events).select("transaction_id", "impossible_travel"),
             B.new_pairs(events).select("transaction_id", "new_device_for_account"),
-            B.device_activity(events).select("transaction_id", "device_account_count"),
-            B.merchant_history(labelled).select("transaction_id", "merchant_fraud_rate"),
-            B.countries_seen(events, "30 minutes"),
+            B.device_usage(events).select("transaction_id", "device_account_count"),
+            B.merchant_history(events).select("transaction_id", "merchant_fraud_rate"),
         ],
     )
     curve = half_up(1 / (1 + F.exp(-F.coalesce("amount_zscore", F.lit(0.0)))), 6)
     scored = rules.apply_rules(features).withColumn("model_probability", curve)
     score = half_up(rules.risk_score(F.col("model_probability"), F.col("rule_risk_total")), 6)
-    return rules.decide(scored.withColumn("risk_score", score))
+    return stored_table(rules.decide(scored.withColumn("risk_score", score)), "decided")
 
 
 def q_rule_hits(spark, folder):

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "riskflow", conf: dict[str, str] | None = None) -> SparkSession:
@@ -58,3 +58,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_base()
     return f"{base.rstrip('/')}/riskflow/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_table(frame: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame once below the shared folder and read it back: read often, without lineage."""
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

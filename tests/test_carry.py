@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskflow.operators import behaviour as B
-from riskflow.operators.carry import running_totals, with_previous
+from riskflow.operators.carry import in_parts, running_totals, with_previous
 from tests.helpers import event, events
 
 
@@ -36,25 +36,25 @@ def rows():
     return made
 
 
-@pytest.mark.parametrize("bucket", ["1 minute", "1 hour", "90 days"])
-def test_previous_row(spark, rows, bucket):
+@pytest.mark.parametrize("parts", [None, 1, 7])
+def test_previous_row(spark, rows, parts):
     frame = events(spark, *rows)
     ordered = W.partitionBy("account_id").orderBy("event_timestamp", "transaction_id")
     plain = frame.withColumn("before", F.lag("amount").over(ordered))
-    cut = with_previous(frame, ["account_id"], {"before": "amount"}, bucket)
+    cut = with_previous(frame, ["account_id"], {"before": "amount"}, parts)
     assert cut.count() == len(rows)
     assert cut.select(plain.columns).exceptAll(plain).count() == 0
 
 
-@pytest.mark.parametrize("bucket", ["1 minute", "1 hour", "90 days"])
-def test_running_totals(spark, rows, bucket):
+@pytest.mark.parametrize("parts", [None, 1, 7])
+def test_running_totals(spark, rows, parts):
     hour = 3_600_000_000
     totals = running_totals(
         events(spark, *rows),
         ["account_id"],
         {"n": F.lit(1), "sum": F.col("amount")},
         {"now": 0, "prior": 1, "hour": hour + 1},
-        bucket,
+        parts,
     )
     found = {row.transaction_id: row for row in totals.collect()}
     assert len(found) == len(rows)
@@ -69,6 +69,31 @@ def test_running_totals(spark, rows, bucket):
         assert got.prior_sum == sum((r["amount"] for r in prior), Decimal(0))
 
 
+def test_one_hot_instant_is_split(spark):
+    """One account, one instant: parts stay even, and ties get the totals of the whole instant."""
+    frame = events(spark, event("t", "10:00", "2.00")).drop("transaction_id")
+    many = frame.crossJoin(spark.range(4000)).withColumn("transaction_id", F.format_string("t%05d", "id")).drop("id")
+    cut = in_parts(many, ["account_id", "event_timestamp", "transaction_id"], 8)
+    sizes = [r["count"] for r in cut.groupBy("carry_part").count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 4000 and max(sizes) < 1000
+    totals = running_totals(many, ["account_id"], {"n": F.lit(1)}, {"now": 0, "prior": 1}, 8)
+    assert [(r.now_n, r.prior_n, r["count"]) for r in totals.groupBy("now_n", "prior_n").count().collect()] == [(4000, 0, 4000)]
+    before = with_previous(many, ["account_id"], {"before": "transaction_id"}, 8)
+    ordered = W.partitionBy("account_id").orderBy("transaction_id")
+    plain = many.select("transaction_id", F.lag("transaction_id").over(ordered).alias("before"))
+    assert before.select("transaction_id", "before").exceptAll(plain).count() == 0
+
+
+def test_rows_without_time_stay(spark):
+    frame = events(spark, event("a", "10:00"), event("b", "11:00"), event("c", "12:00"))
+    at = F.when(F.col("transaction_id") != "b", F.col("event_timestamp"))
+    frame = frame.withColumn("event_timestamp", at)
+    counts = {r.transaction_id: r.txn_count_24h for r in B.rolling_velocity(frame).collect()}
+    assert counts == {"a": 1, "b": None, "c": 2}
+    seconds = {r.transaction_id: r.seconds_since_previous_txn for r in B.travel(frame).collect()}
+    assert seconds == {"a": None, "b": None, "c": 7200.0}
+
+
 def test_no_leakage_from_later_or_same_time_rows(spark, rows):
     """Changing the newest rows must not change the features of earlier ones."""
     newest = max(row["event_timestamp"] for row in rows)
@@ -81,7 +106,8 @@ def test_no_leakage_from_later_or_same_time_rows(spark, rows):
         labelled = frame.withColumn("is_fraud", F.col("amount") > 9000)
         tables = [
             B.amount_deviation(frame), B.merchant_history(labelled), B.travel(frame),
-            B.rolling_velocity(frame), B.device_activity(frame),
+            B.rolling_velocity(frame), B.device_activity(frame), B.account_history(frame),
+            B.countries_seen(frame), B.new_pairs(frame), B.category_risk(labelled), B.temporal(frame),
         ]
         keys = [row["transaction_id"] for row in rows if row["event_timestamp"] < newest]
         return [t.where(F.col("transaction_id").isin(keys)).orderBy("transaction_id").collect() for t in tables]
