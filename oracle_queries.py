@@ -442,6 +442,13 @@ def signal(name: str) -> str:
 VALID_GOLD = f"WITH {TX}, {MS}, {OUTCOME}, ok AS (SELECT * FROM judged WHERE error_type IS NULL)"
 CLOSED = "WHERE window_end <= (SELECT max(event_timestamp) - INTERVAL '10 minutes' FROM ms)"
 
+# Every record on its topic: canonical JSON, or what the envelope says of its origin.
+ROUTED_VALUES = f"""WITH {TX}, {MS}, {OUTCOME} SELECT account_id AS record_key,
+  CASE WHEN error_type IS NULL THEN 'transactions.validated' ELSE 'transactions.dlq' END AS topic,
+  CASE WHEN error_type IS NULL THEN {canonical()}
+    ELSE error_type || '|transactions.raw|' || event_id % 4 || '|' || event_id || '|' || account_id END AS content
+  FROM judged"""
+
 ORACLE: dict[str, str] = {
     "parse_events": f"WITH {TX}, {MS} SELECT {CONTRACT_PLAIN} FROM ms",
     "prepare_events": f"WITH {TX}, {MS} SELECT {CONTRACT_PLAIN} FROM ms",
@@ -493,6 +500,7 @@ ORACLE: dict[str, str] = {
         '1' AS validator_version FROM bad""",
     "route_topics": f"""WITH {TX}, {MS}, {OUTCOME} SELECT CASE WHEN error_type IS NULL THEN 'transactions.validated' ELSE 'transactions.dlq' END AS topic,
       account_id AS record_key, count(*) AS records FROM judged GROUP BY 1, 2""",
+    "routed_values": ROUTED_VALUES,
     "validate_texts": """WITH t AS (
         SELECT 'documents' AS topic, text AS v FROM documents UNION ALL SELECT 'pages', html FROM pages
         UNION ALL SELECT 'conversations', text FROM conversations UNION ALL SELECT 'benchmark', text FROM benchmark
@@ -508,6 +516,7 @@ ORACLE: dict[str, str] = {
     "stream_gold_from_silver": f"WITH {TX}, {MS}, {windows('ms', BOTH)} {GOLD} {CLOSED}",
     "stream_router": f"""WITH {TX} SELECT CASE WHEN amount > 0 THEN 'transactions.validated' ELSE 'transactions.dlq' END AS topic,
       count(*) AS records FROM tx GROUP BY 1""",
+    "stream_routed_values": ROUTED_VALUES,
     "velocity_24h": f"WITH {TX}, {windows('tx', {'24h': '24 hours'})} SELECT * FROM feat",
     "rolling_velocity": f"WITH {TX}, {VELOCITY} SELECT * FROM velocity",
     "amount_deviation": f"WITH {TX}, {DEVIATION} SELECT * FROM deviation",

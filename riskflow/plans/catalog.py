@@ -84,8 +84,11 @@ def _labelled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _damaged_records(spark: SparkSession, folder: str) -> DataFrame:
+    return _damaged(read_transactions(spark, folder))
+
+
+def _damaged(events: DataFrame) -> DataFrame:
     """Raw records of all events; ten of every sixteen are damaged, each in its own way."""
-    events = read_transactions(spark, folder)
     turn = F.pmod(number_of(), F.lit(16))
     case = F.get(F.array(*[F.lit(name) for name in FAULT_CASES]), turn.cast("int"))
     value = (
@@ -227,6 +230,24 @@ def q_route_topics(spark, folder):
     )
 
 
+ENVELOPE_TEXTS = ("error_type", "original_topic", "original_partition", "original_offset", "original_key")
+
+
+def _routed_content(routed: DataFrame) -> DataFrame:
+    """What was routed where: the canonical JSON, or the envelope without times and payload."""
+    value = F.col("value").cast("string")
+    letter = F.concat_ws("|", *[F.get_json_object(value, f"$.{name}") for name in ENVELOPE_TEXTS])
+    return routed.select(
+        F.col("topic").cast("string").alias("topic"),
+        F.col("key").cast("string").alias("record_key"),
+        F.when(F.col("topic") == "transactions.dlq", letter).otherwise(value).alias("content"),
+    )
+
+
+def q_routed_values(spark, folder):
+    return _routed_content(route(_damaged_records(spark, folder)))
+
+
 def q_validate_texts(spark, folder):
     """The validator over every whole text of the other tables: nothing there is a transaction."""
     texts = None
@@ -319,6 +340,14 @@ def q_stream_router(spark, folder):
     return routed.groupBy(F.col("topic").cast("string").alias("topic")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def q_stream_routed_values(spark, folder):
+    """Damaged records through the router as a stream, read back from both topics' files."""
+    base = shared_folder(spark, "stream-router")
+    records = _damaged(transactions_from_events(_event_stream(spark, folder)))
+    start_router_files(records, f"{base}/table", f"{base}/checkpoint", trigger_seconds=None).awaitTermination()
+    return _routed_content(spark.read.parquet(f"{base}/table"))
+
+
 # --- behaviour features -----------------------------------------------------------
 
 
@@ -586,12 +615,14 @@ QUERIES: dict[str, Query] = {
     "validation_error_counts": q_error_counts,
     "dead_letter_envelope": q_dead_letters,
     "route_topics": q_route_topics,
+    "routed_values": q_routed_values,
     "validate_texts": q_validate_texts,
     "peek_records": q_peek,
     "stream_silver": q_stream_silver,
     "stream_gold": q_stream_gold,
     "stream_gold_from_silver": q_stream_gold_from_silver,
     "stream_router": q_stream_router,
+    "stream_routed_values": q_stream_routed_values,
     "velocity_24h": q_velocity_24h,
     "rolling_velocity": q_rolling_velocity,
     "amount_deviation": q_amount_deviation,
