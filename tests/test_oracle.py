@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUICK = (
     "account_window_features",
     "validate_events",
-    "dead_letter_envelope",
+    "dead_letter_envelope", "routed_values",
     "merchant_category_risk",
     "ks_drift",
     "rolling_velocity",
