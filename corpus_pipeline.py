@@ -17,6 +17,8 @@ from riskflow.llm.common import kept_table, table
 
 #: Texts whose best language explains a smaller share of their n-grams are rejected.
 LEAST_SCORE = 0.2
+#: Near duplicates share this percentage of their shingles of so many words; op10_parity_join has its own figures.
+SHINGLE_WORDS, LINKED_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked texts: the smallest id. Null ids are never linked."""
-    classes = parity_join.jaccard_components(docs)
+    classes = parity_join.jaccard_components(docs, n=SHINGLE_WORDS, percent=LINKED_PERCENT)
     gone = kept_table(classes.where("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.struct(*docs.columns)))
     kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns, first.alias("nth row of its id"))

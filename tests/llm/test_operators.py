@@ -345,3 +345,22 @@ def test_pipeline(spark):
     want = sorted((i, plain.encode_ordinary(t)) for (i, t), n in mixed.items() for _ in range(n))
     assert sorted((r.doc_id, list(r.ids)) for r in frames["tokens"].collect()) == want
     assert corpus_pipeline.run(spark, FOLDER).count() == len(want)
+
+
+def test_pipeline_links_five_words_at_80_percent(spark):
+    import corpus_pipeline
+
+    words = lambda name, many: [f"{name}{i}" for i in range(many)]
+    longer, cut, apart = words("a", 100), words("b", 100), words("c", 100)
+    rows = [(1, longer), (2, longer + words("x", 20)), (3, cut), (4, cut[:82]), (5, apart), (6, apart + words("y", 30))]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    assert {i for i, (_, root) in plain_components(rows).items() if root == i} == {1, 2, 3, 4, 5, 6}
+    keep = {i for i, (_, root) in plain_components(rows, 5, 80).items() if root == i}
+    assert keep == {1, 3, 5, 6}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs(spark, *rows), FOLDER).collect()} == keep
+    bands = parity_join.Bands(corpus_pipeline.LINKED_PERCENT)
+    for small in range(1, 400):
+        for large in range(small, small * 100 // 80 + 1):
+            a, b = bands.band(small), bands.band(large)
+            common = -(-80 * (small + large) // 180)
+            assert b - a <= 1 and small + large - 2 * common <= bands.difference(a if b > a else max(a - 1, 0))
