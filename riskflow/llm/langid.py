@@ -11,7 +11,8 @@ driver sees at most ``slots`` rows. Prediction is one pass without a shuffle.
 
 * text null or without a letter: ``und`` with score 0; rows with a null label or key teach nothing;
 * ties between languages go to the smaller name; a repeated row gets the same answer;
-* no labelled row at all (or an empty table): every answer is ``und``.
+* no labelled row at all (or an empty table): every answer is ``und``;
+* a label with few rows takes no n-gram from another: what it says of a frequency is bounded by its number of texts.
 """
 
 from __future__ import annotations
@@ -100,11 +101,13 @@ def _groups(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int
             start, size = i + 1, 0
 
 
-def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id", text: str = "text", per_language: int = 4000, slots: int = 1 << 19, min_count: int = 3, least: float = 0.5) -> LanguageFilter:
+def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id", text: str = "text", per_language: int = 4000, slots: int = 1 << 19, min_count: int = 3, least: float = 0.5, doubt: float = 2.0) -> LanguageFilter:
     """Fit the filter.
 
     A language contains an n-gram that its sampled texts hold ``min_count`` times or more at no
-    less than ``least`` times the largest relative frequency in any language.
+    less than ``least`` times the largest relative frequency that any language is sure to have.
+    Texts are the draws, since an n-gram comes in bursts inside one: of a frequency seen in k texts,
+    the share 1 - ``doubt`` / sqrt(k) is sure. Only n-grams seen ``min_count`` times count.
     """
     known = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), label.alias("label"), learnable.alias("ok"))
     known = known.where("ok and label is not null and text is not null and key is not null")
@@ -124,21 +127,29 @@ def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id"
             codes, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for a, b in _groups(texts):
                 hashes, owners = grams(texts[a:b])
-                for c in np.unique(codes[a:b]):
-                    own, many = np.unique(hashes[codes[a:b][owners] == c], return_counts=True)
-                    yield pa.record_batch([pa.array(np.full(len(own), c), pa.int32()), pa.array(own.view(np.int64)), pa.array(many)], names=["code", "gram", "many"])
-
-    counts = sample.mapInArrow(count, "code int, gram long, many long").groupBy("code", "gram").agg(F.sum("many").alias("many"))
+                order = np.lexsort((owners, hashes))
+                hashes, owners = hashes[order], owners[order]
+                first = np.append(True, (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1]))[: len(hashes)]
+                times = np.diff(np.append(np.flatnonzero(first), len(hashes)))
+                hashes, coded = hashes[first], codes[a:b][owners[first]]
+                for c in np.unique(coded):
+                    own, start, held = np.unique(hashes[coded == c], return_index=True, return_counts=True)
+                    many = np.add.reduceat(times[coded == c], start)
+                    yield pa.record_batch([pa.array(np.full(len(own), c), pa.int32()), pa.array(own.view(np.int64)), pa.array(many), pa.array(held)], names=["code", "gram", "many", "held"])
+
+    counts = sample.mapInArrow(count, "code int, gram long, many long, held long").groupBy("code", "gram").agg(F.sum("many").alias("many"), F.sum("held").alias("held"))
     totals = {r.code: r.many for r in counts.groupBy("code").agg(F.sum("many").alias("many")).collect()}
     rate = F.lit(0.0)
     for c, many in totals.items():
         rate = F.when(F.col("code") == c, F.col("many") / F.lit(float(many))).otherwise(rate)
+    sure = F.col("rate") * (1 - F.lit(doubt) / F.sqrt("held"))
     holds = (
-        counts.withColumn("rate", rate)
+        counts.where(F.col("many") >= min_count)
+        .withColumn("rate", rate)
         .groupBy("gram")
-        .agg(F.max("rate").alias("top"), F.collect_list(F.struct("code", "rate", "many")).alias("own"))
+        .agg(F.max(sure).alias("top"), F.collect_list(F.struct("code", "rate")).alias("own"))
         .select("gram", "top", F.explode("own").alias("o"))
-        .where((F.col("o.many") >= min_count) & (F.col("o.rate") >= least * F.col("top")))
+        .where(F.col("o.rate") >= least * F.col("top"))
     )
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

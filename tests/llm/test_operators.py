@@ -6,6 +6,7 @@ import base64
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -364,3 +365,24 @@ def test_pipeline_links_five_words_at_80_percent(spark):
             a, b = bands.band(small), bands.band(large)
             common = -(-80 * (small + large) // 180)
             assert b - a <= 1 and small + large - 2 * common <= bands.difference(a if b > a else max(a - 1, 0))
+
+
+def test_language_with_rare_labels(spark):
+    import corpus_pipeline
+
+    documents = table(spark, FOLDER, "documents")
+    plain = {r.doc_id: r.lang for r in documents.collect()}
+    # Copies of some learning texts under labels of one row each.
+    learned = documents.where(~langid.held_out(F.col("doc_id"))).orderBy("doc_id").limit(60).collect()
+    wrong = []
+    for k, r in enumerate(learned):
+        wrong.append((next(i for i in range(10_000_000 + 1000 * k, 10_001_000 + 1000 * k) if zlib.crc32(str(i).encode()) % 5), r.text, f"x-{k}"))
+    added = spark.createDataFrame(wrong, "doc_id long, text string, lang string")
+    tailed = documents.unionByName(added, allowMissingColumns=True)
+    model = langid.learn(tailed, F.col("lang"), ~langid.held_out(F.col("doc_id")))
+    assert len(model.languages) >= 60
+    found = {r.doc_id: r.lang_pred for r in langid.identify(documents.select("doc_id", "text"), model).where(langid.held_out(F.col("row.doc_id"))).select("row.doc_id", "lang_pred").collect()}
+    assert np.mean([plain[i] == p for i, p in found.items()]) > 0.95
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, documents, FOLDER).select("doc_id").collect()}
+    with_tail = {r.doc_id for r in corpus_pipeline.language(spark, tailed, FOLDER).select("doc_id").collect()}
+    assert kept <= with_tail
