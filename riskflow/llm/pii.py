@@ -4,7 +4,7 @@ Entities are found by one pattern. Each distinct entity (type and normalised val
 whole table) gets one surrogate drawn from a keyed hash: the same person, number or address reads
 the same wherever it occurs, a surrogate has its entity's type, gender, script and format,
 no two entities share one, and none equals an entity of the table. Entities that collide draw again
-until none does.
+until none does; from the third time on each draw is a character longer, so a pool never runs out.
 
 * types: mail address, phone, payment card, IPv4 address, social security number, secret, and names
   after a title (given names by the title's gender; a surname alone is the surname of full names);
@@ -41,10 +41,12 @@ SYLLABLES = {
 _TITLE = rf"(?:{'|'.join(MALE + FEMALE)})\.?"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _LABEL = r"""(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)(?:[_-]key)?["']?\s{0,3}[=:]\s{0,3}["']?"""
+#: A run of dashes, lines or slashes alone is a rule or a blank to fill in, not a secret.
+_VALUE = r"(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{12,}"
 WORDS = {
     "mail": r"(?<![0-9._+-])[\p{L}0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "person": rf"{_TITLE} {_NAME}(?: {_NAME})?",
-    "secret": rf"(?:{_LABEL}[A-Za-z0-9+/_-]{{12,}}|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{30,}}|sk-[A-Za-z0-9]{{20,}})",
+    "secret": rf"(?:{_LABEL}{_VALUE}|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{30,}}|sk-[A-Za-z0-9]{{20,}})",
 }
 NUMBERS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
@@ -113,14 +115,18 @@ def _candidate() -> str:
     mixed = f"case when {char} rlike '[0-9]' then {pick(digits, 'i')} when {char} rlike '[a-z]' then {pick(lower, 'i')} when {char} rlike '[A-Z]' then {pick(lower.upper(), 'i')} when {char} rlike r'\\p{{L}}' then {pick(lower, 'i')} else {char} end"
     hexed = f"case when {char} rlike '[0-9a-f]' then {pick('0123456789abcdef', 'i')} else {char} end"
     each = lambda body, upto="length(norm)": f"array_join(transform(sequence(1, {upto}), i -> {body}), '')"
-    # The last label of a mail address is kept, and later attempts add digits to the local part.
+    # Later attempts add digits, one more each time: behind a value, before the local part of a mail address.
+    # The last label of an address is kept.
+    more = "greatest(attempt - 2, 0)"
+    tail = f"if(attempt > 2, {each(pick(digits, '149 + i'), 'attempt - 2')}, '')"
     kept = "length(substring_index(norm, '.', -1)) + 1"
-    mail = f"concat(if(attempt > 2, concat({pick(digits, '160')}, {pick(digits, '161')}, {pick(digits, '162')}), ''), {each(mixed, f'length(norm) - ({kept})')}, right(norm, {kept}))"
-    secret = f"if(norm rlike '^[0-9a-f]+$', {each(hexed)}, {each(mixed)})"
-    ip = f"array_join(transform(sequence(1, 4), i -> cast(1 + pmod({_at('i')}, 254) as string)), '.')"
-    number = each(f"if(i = 1, cast(2 + pmod({_at('1')}, 8) as string), {pick(digits, 'i')})")
-    ssn = each(f"if(i = 1, cast(1 + pmod({_at('1')}, 5) as string), {pick(digits, 'i')})")
-    body = each(f"if(i = 1, left(norm, 1), {pick(digits, 'i')})", "length(norm) - 1")
+    mail = f"concat(if(attempt > 2, {each(pick(digits, '159 + i'), 'attempt')}, ''), {each(mixed, f'length(norm) - ({kept})')}, right(norm, {kept}))"
+    secret = f"concat(if(norm rlike '^[0-9a-f]+$', {each(hexed)}, {each(mixed)}), {tail})"
+    # There are no more than four parts; what is added reads as a port.
+    ip = f"concat(array_join(transform(sequence(1, 4), i -> cast(1 + pmod({_at('i')}, 254) as string)), '.'), if(attempt > 2, concat(':', {tail}), ''))"
+    number = each(f"if(i = 1, cast(2 + pmod({_at('1')}, 8) as string), {pick(digits, 'i')})", f"length(norm) + {more}")
+    ssn = each(f"if(i = 1, cast(1 + pmod({_at('1')}, 5) as string), {pick(digits, 'i')})", f"length(norm) + {more}")
+    body = each(f"if(i = 1, left(norm, 1), {pick(digits, 'i')})", f"length(norm) - 1 + {more}")
     # Check digit: from the right, every second digit of the body starting with its last is doubled.
     doubled = "2 * cast(substring(c, i, 1) as int)"
     luhn = f"transform(array({body}), c -> concat(c, cast(pmod(10 - pmod(aggregate(sequence(1, length(c)), 0, (s, i) -> s + if(pmod(length(c) - i, 2) = 0, {doubled} - if({doubled} > 9, 9, 0), cast(substring(c, i, 1) as int))), 10), 10) as string)))[0]"
@@ -161,14 +167,17 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _rendered() -> str:
-    """A surrogate in the form of the mention: its digits in place, its letters in the mention's case."""
+    """A surrogate in the form of the mention: its digits in place, its letters in the mention's case.
+
+    Digits of a surrogate that has more of them than the mention follow at its end.
+    """
     count = "regexp_count(raw, '[0-9]')"
     # digits before the normalised ones (a country code) stay
-    digits = f"concat(left(regexp_replace(raw, '[^0-9]', ''), {count} - length(surrogate)), surrogate)"
+    digits = f"concat(left(regexp_replace(raw, '[^0-9]', ''), {count} - length(norm)), surrogate)"
     filled = (
         f"aggregate(sequence(1, length(raw)), named_struct('out', '', 'k', 1, 'd', {digits}), (acc, i) -> if(substring(raw, i, 1) rlike '[0-9]',"
         " named_struct('out', concat(acc.out, substring(acc.d, acc.k, 1)), 'k', acc.k + 1, 'd', acc.d),"
-        " named_struct('out', concat(acc.out, substring(raw, i, 1)), 'k', acc.k, 'd', acc.d)), acc -> acc.out)"
+        " named_struct('out', concat(acc.out, substring(raw, i, 1)), 'k', acc.k, 'd', acc.d)), acc -> concat(acc.out, substring(acc.d, acc.k)))"
     )
     name = "if(raw = upper(raw) and length(raw) > 1, upper(surrogate), initcap(surrogate))"
     mail = "if(raw = upper(raw), upper(surrogate), surrogate)"

@@ -386,3 +386,33 @@ def test_language_with_rare_labels(spark):
     kept = {r.doc_id for r in corpus_pipeline.language(spark, documents, FOLDER).select("doc_id").collect()}
     with_tail = {r.doc_id for r in corpus_pipeline.language(spark, tailed, FOLDER).select("doc_id").collect()}
     assert kept <= with_tail
+
+
+def test_surrogates_end(spark, monkeypatch):
+    """Runs of signs are no secrets, and pools that are full of entities grow."""
+    rounds, kept = [], pii.kept_table
+
+    def counted(frame, purpose):
+        rounds.append(purpose)
+        assert len(rounds) < 60, "draws again for ever"
+        return kept(frame, purpose)
+
+    monkeypatch.setattr(pii, "kept_table", counted)
+    lines = ["Password: ____________ x", "secret:\n----------------", "token = ////////////", "api_key='+-+-+-+-+-+-+'"]
+    signed = "token = ----------a1b2"
+    rows = pii.replace_entities(docs(spark, *enumerate([*lines, signed])), SURROGATE_KEY).collect()
+    safe = {r.row.doc_id: (r.safe, r.n_entities) for r in rows}
+    assert [safe[i] for i in range(4)] == [(line, 0) for line in lines]
+    assert safe[4][1] == 1 and safe[4][0] != signed and re.fullmatch(r"token = ----------[a-z]\d[a-z]\d\d*", safe[4][0])
+    rounds.clear()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pools = [("secret", f"-----------{c}") for c in letters] + [(k, str(d)) for k in ("phone", "ssn") for d in range(10)] + [("card", f"4{d}") for d in range(10)]
+    found = pii.surrogates(spark.createDataFrame(pools, "kind string, norm string"), SURROGATE_KEY).collect()
+    assert len(found) == len(pools) == len({(r.kind, r.surrogate) for r in found}) and not set(pools) & {(r.kind, r.surrogate) for r in found}
+    for r in found:
+        if r.kind == "card":
+            digits = [int(c) for c in reversed(r.surrogate)]
+            assert (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+    longer = [("phone", "+44 (2) 34-56", "23456", "8123456"), ("phone", "+1 (523) 555-1055", "5235551055", "3334445555"), ("ssn", "123-45-6789", "123456789", "9876543210")]
+    shown = spark.createDataFrame(longer, "kind string, raw string, norm string, surrogate string").select(F.expr(pii._rendered())).collect()
+    assert [r[0] for r in shown] == ["+44 (8) 12-3456", "+1 (333) 444-5555", "987-65-43210"]
