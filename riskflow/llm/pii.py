@@ -8,6 +8,8 @@ until none does; from the third time on each draw is a character longer, so a po
 
 * types: mail address, phone, payment card, IPv4 address, social security number, secret, and names
   after a title (given names by the title's gender; a surname alone is the surname of full names);
+* a name found after a title is replaced wherever its document has it as a capitalised word, before
+  or after, with or without a title; other names are not detected;
 * null text stays null, text without an entity stays as it is; a repeated row gets the same result;
 * an entity that any share of all texts holds is one row of the surrogate table; the join is on two
   fresh exchanges, so adaptive execution can split it;
@@ -39,7 +41,8 @@ SYLLABLES = {
 }
 
 _TITLE = rf"(?:{'|'.join(MALE + FEMALE)})\.?"
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+#: A possessive s is not part of a name. Possessive quantifiers keep long words off the matcher's stack.
+_NAME = r"\p{Lu}(?:\p{L}++|(?=['’-]\p{L}{2}))(?:['’-](?!s(?!\p{L}))\p{L}++)*+"
 _LABEL = r"""(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)(?:[_-]key)?["']?\s{0,3}[=:]\s{0,3}["']?"""
 #: A run of dashes, lines or slashes alone is a rule or a blank to fill in, not a secret.
 _VALUE = r"(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{12,}"
@@ -57,6 +60,9 @@ NUMBERS = {
 #: All types at once. Words are tried where a word starts, numbers where one may start.
 PATTERN = rf"(?<!\p{{L}})(?:{'|'.join(WORDS.values())})|(?=[0-9+(])(?:{'|'.join(NUMBERS.values())})"
 
+#: A capitalised word between entities.
+CAPITAL = rf"(?<![\p{{L}}\p{{N}}_]){_NAME}(?!\p{{L}})"
+
 
 def _sql(text: str) -> str:
     return "r'" + text.replace("'", "\\x27") + "'" if "'" in text else f"r'{text}'"
@@ -184,6 +190,27 @@ def _rendered() -> str:
     return f"case when kind in ('phone', 'card', 'ssn') then {filled} when kind in ('given_m', 'given_f', 'surname') then {name} when kind = 'mail' then {mail} else surrogate end"
 
 
+def _called_again(base: DataFrame, spots: DataFrame, named: DataFrame, text: str) -> DataFrame:
+    """``doc``, ``mark``, ``told`` and ``n_again`` for texts that hold a name after a title.
+
+    ``told`` has, for each piece between entities, its capitalised words in order, with those that
+    are names of the same text already replaced; ``n_again`` counts these.
+    """
+    people = spots.where(F.col("kind").isin("given_m", "given_f", "surname")).groupBy("doc", "mark", "norm").agg(F.min("kind").alias("kind"))
+    people = people.join(named, ["kind", "norm"]).select(*[F.col(c).alias(f"of_{c}") for c in ("doc", "mark", "norm")], "kind", "surrogate")
+    body = F.col(f"row.{text}")
+    texts = base.where(body.rlike(WORDS["person"])).select("doc", "mark", F.split(body, PATTERN, -1).alias("pieces")).dropDuplicates(["doc", "mark"])
+    words = texts.select("doc", "mark", F.posexplode("pieces").alias("piece", "body"))
+    words = words.select("doc", "mark", "piece", F.posexplode_outer(F.regexp_extract_all("body", F.lit(CAPITAL), F.lit(0))).alias("word", "raw")).withColumn("norm", F.lower("raw"))
+    same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("mark") == F.col("of_mark")) & (F.col("norm") == F.col("of_norm"))
+    words = words.join(people, same, "left").withColumn("value", F.when(F.col("surrogate").isNull(), F.col("raw")).otherwise(F.expr(_rendered())))
+    told = words.groupBy("doc", "mark", "piece").agg(
+        F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "value")))).alias("values"), F.count("surrogate").alias("again")
+    )
+    told = told.groupBy("doc", "mark").agg(F.array_sort(F.collect_list(F.struct("piece", "values"))).alias("told"), F.sum("again").alias("n_again"))
+    return told.select(F.col("doc").alias("in_doc"), F.col("mark").alias("in_mark"), F.expr("transform(told, t -> transform(t.values, v -> v.value))").alias("told"), "n_again")
+
+
 def replace_entities(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``row`` (the input row), ``safe`` (the text with surrogates) and ``n_entities`` per input row.
 
@@ -199,10 +226,14 @@ def replace_entities(docs: DataFrame, key: str, doc: str = "doc_id", text: str =
     named = surrogates(spots, key)
     values = spots.join(named, ["kind", "norm"]).withColumn("value", F.expr(_rendered()))
     values = values.groupBy("doc", "mark").agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("spots"))
-    values = values.select(F.col("doc").alias("of_doc"), F.col("mark").alias("of_mark"), F.expr("transform(spots, s -> s.value)").alias("given"))
+    again = _called_again(base, spots, named, text)
+    values = values.join(again, (F.col("mark") == F.col("in_mark")) & F.col("doc").eqNullSafe(F.col("in_doc")), "left")
+    values = values.select(F.col("doc").alias("of_doc"), F.col("mark").alias("of_mark"), F.expr("transform(spots, s -> s.value)").alias("given"), "told", "n_again")
     joined = base.join(values, (F.col("mark") == F.col("of_mark")) & F.col("doc").eqNullSafe(F.col("of_doc")), "left")
     joined = joined.withColumn("cut", F.when(F.col("given").isNotNull(), text_parts(F.col(f"row.{text}"))))
+    retold = f"zip_with(cut.pieces, told, (body, words) -> array_join(zip_with(split(body, {_sql(CAPITAL)}, -1), words, (b, w) -> concat(b, coalesce(w, ''))), ''))"
+    joined = joined.withColumn("cut", F.when(F.col("told").isNull(), F.col("cut")).otherwise(F.struct(F.expr(retold).alias("pieces"), F.col("cut.mentions").alias("mentions"))))
     glued = f"flatten(zip_with(slice(cut.pieces, 1, size(cut.mentions)), cut.mentions, (piece, m) -> {_parts()}))"
     joined = joined.withColumn("glue", F.expr(f"transform({glued}, p -> p.before)"))
     safe = F.expr("concat(array_join(zip_with(glue, given, (b, v) -> concat(b, v)), ''), element_at(cut.pieces, -1))")
-    return joined.select("row", F.when(F.col("given").isNull(), F.col(f"row.{text}")).otherwise(safe).alias("safe"), F.coalesce(F.size("given"), F.lit(0)).cast("long").alias("n_entities"))
+    return joined.select("row", F.when(F.col("given").isNull(), F.col(f"row.{text}")).otherwise(safe).alias("safe"), (F.coalesce(F.size("given"), F.lit(0)) + F.coalesce("n_again", F.lit(0))).cast("long").alias("n_entities"))

@@ -416,3 +416,20 @@ def test_surrogates_end(spark, monkeypatch):
     longer = [("phone", "+44 (2) 34-56", "23456", "8123456"), ("phone", "+1 (523) 555-1055", "5235551055", "3334445555"), ("ssn", "123-45-6789", "123456789", "9876543210")]
     shown = spark.createDataFrame(longer, "kind string, raw string, norm string, surrogate string").select(F.expr(pii._rendered())).collect()
     assert [r[0] for r in shown] == ["+44 (8) 12-3456", "+1 (333) 444-5555", "987-65-43210"]
+
+
+def test_surrogates_of_names_without_a_title(spark):
+    text = "Smith was here. Mr. John Smith and Frau O'Brien-Weiß met; John Smith's SMITH, Johnny Smithson and smith. Call (523) 555-1055: Smith! O'Brien-Weiß’s \x00Smith Ünal"
+    rows = [(1, text), (2, "John Smith has no title here"), (None, "Mrs. Maria Smith, Smith"), (1, text), (4, "Mr. Smith"), (5, "Mrs. Smith's"), (6, "Mr. Smith--he, Smith's " + "A-" + "ab-" * 50_000 + " B" + "b" * 50_000)]
+    safe = pii.replace_entities(docs(spark, *rows), SURROGATE_KEY).collect()
+    assert len(safe) == 7
+    safe = {r.row.doc_id: (r.safe, r.n_entities) for r in safe}
+    name = re.match(r"(\w+) was here\. Mr\. (\w+) (\w+) and Frau (\w+) met; ", safe[1][0])
+    last, given, again, other = name.groups()
+    assert last == again and other != last and given in pii.GIVEN["m_latin"] and "Smith" not in (last, given, other)
+    call = re.search(r"Call (.{14}):", safe[1][0])[1]
+    assert safe[1] == (f"{last} was here. Mr. {given} {last} and Frau {other} met; {given} {last}'s {last.upper()}, Johnny Smithson and smith. Call {call}: {last}! {other}’s \x00{last} Ünal", 11)
+    assert safe[2] == ("John Smith has no title here", 0)
+    assert re.fullmatch(rf"Mrs\. \w+ {last}, {last}", safe[None][0]) and safe[None][1] == 3
+    assert safe[4] == (f"Mr. {last}", 1) and safe[5] == (f"Mrs. {last}'s", 1)
+    assert safe[6][0].startswith(f"Mr. {last}--he, {last}'s A-ab-") and safe[6][1] == 2 and safe[6][0].endswith("- B" + "b" * 50_000)
