@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, warc
+from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, target_sampling, warc
 from riskflow.llm.common import kept_table, table
 
 #: Stands for the secret that a real run reads from its own configuration.
@@ -66,6 +66,11 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_byte_bpe,
@@ -78,6 +83,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_stable_search,
         op9_quality_forest,
         op10_parity_join,
+        op13_target_sampling,
     )
     return {query.__name__: query for query in found}
 
@@ -94,4 +100,31 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op13_target_sampling": r"""
+        WITH table_of AS (SELECT list(c ORDER BY i) AS crcs FROM (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS i))),
+        words AS (SELECT 'd' AS part, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+                  UNION ALL
+                  SELECT 'b', NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+        bytes AS (SELECT word, list_transform(range(length(hex(word)) // 2), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)) AS codes
+                  FROM (SELECT DISTINCT word FROM words)),
+        buckets AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, codes), lambda a, x: xor(a >> 8, crcs[(xor(a, x) & 255) + 1])),
+                           4294967295) % 10000 AS bucket FROM bytes, table_of),
+        features AS (SELECT part, doc_id, bucket FROM words JOIN buckets USING (word)),
+        counts AS (SELECT bucket, count(*) FILTER (part = 'd') AS s, count(*) FILTER (part = 'b') AS t FROM features GROUP BY bucket),
+        sums AS (SELECT sum(s)::BIGINT AS s_all, sum(t)::BIGINT AS t_all FROM counts),
+        gains AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+                  FROM counts, sums),
+        weights AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+                    FROM features JOIN gains USING (bucket) WHERE part = 'd' GROUP BY doc_id),
+        noise AS (SELECT doc_id, ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM documents),
+        scored AS (SELECT n.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                          coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+                   FROM noise n LEFT JOIN weights USING (doc_id)),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+        FROM scored s LEFT JOIN ranked r USING (doc_id)""",
 }
