@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, target_sampling, warc
+from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, target_sampling, tree_bpe, warc
 from riskflow.llm.common import kept_table, table
 
 #: Stands for the secret that a real run reads from its own configuration.
 SURROGATE_KEY = "surrogates"
 TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+MERGES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,10 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_bpe.token_digests(table(spark, sf_dir, "documents"), MERGES)
+
+
 def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -83,6 +88,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_stable_search,
         op9_quality_forest,
         op10_parity_join,
+        op12_tree_bpe,
         op13_target_sampling,
     )
     return {query.__name__: query for query in found}
