@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, target_sampling, tree_bpe, warc
+from riskflow.llm import byte_bpe, dialogue_repair, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, target_sampling, tree_bpe, warc
 from riskflow.llm.common import kept_table, table
 
 #: Stands for the secret that a real run reads from its own configuration.
@@ -67,6 +67,10 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_bpe.token_digests(table(spark, sf_dir, "documents"), MERGES)
 
@@ -88,6 +92,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_stable_search,
         op9_quality_forest,
         op10_parity_join,
+        op11_dialogue_repair,
         op12_tree_bpe,
         op13_target_sampling,
     )
