@@ -41,7 +41,10 @@ from riskflow.llm.common import kept_table
 STARTS = np.int32(1 << 30)
 #: A scan is sure of what lies so many bytes (two characters) before the end of its text.
 AHEAD = 8
+#: Pieces that one task joins at a time.
 FAN_IN = 16
+#: Bytes of stretches remembered per Python worker, and as much again for older ones.
+REMEMBERED = 32 << 20
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -77,6 +80,9 @@ class Codec:
         self.library.no_truncation()
         self.library.no_padding()
         self.library.encode_special_tokens = True  # special tokens are cut out before
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
         self.special = {a["content"]: a["id"] for a in described["added_tokens"]}
         byte_of = _byte_of_char()
         tokens = {i: bytes(byte_of[c] for c in name) for name, i in own["vocab"].items()} | {i: name.encode() for name, i in self.special.items()}
@@ -162,16 +168,79 @@ class Codec:
             parts = [self.join(*parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
         return parts[0] if parts else np.zeros(0, np.int32)
 
-    def encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets per text, and the ids of all texts: short texts, each as one piece."""
-        parts = [self.segments(text) for text in texts]
-        strings = [p for own in parts for p in own if isinstance(p, str)]
-        encoded = iter(self.library.encode_batch_fast(strings, add_special_tokens=False))
-        ids = [[p] if isinstance(p, int) else next(encoded).ids for own in parts for p in own]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        held = np.fromiter((i for own in ids for i in own), np.int32, int(sizes.sum()))
-        ends = np.append(0, np.cumsum(sizes))
-        return ends[np.append(0, np.cumsum([len(own) for own in parts])).astype(np.int64)], held
+    def whole(self, text: str) -> np.ndarray:
+        """Marked ids of any text, in one piece."""
+        parts = [np.array([p], np.int32) | STARTS if isinstance(p, int) else self.plain(p) for p in self.segments(text)]
+        return np.concatenate(parts)
+
+    def _remembered(self, parts: list[str | None]) -> list[bytes]:
+        """Packed marked ids of stretches (None: no ids); each starts a pre-token wherever it stands.
+
+        Frequent stretches stay in memory: those used lately in ``young``, and in ``old`` those that were
+        young before. Both are bounded in bytes.
+        """
+        out, missing = [b""] * len(parts), []
+        for k, part in enumerate(parts):
+            if part is None:
+                continue
+            known = self.young.get(part)
+            if known is None:
+                known = self.old.get(part)
+                if known is None:
+                    missing.append(k)
+                    continue
+                self._keep(part, known)
+            out[k] = known
+        if missing:
+            data = [parts[k].encode() for k in missing]
+            marked = self.plain(b"".join(data).decode())
+            ends = np.searchsorted(np.cumsum(self.size[marked & ~STARTS]), np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))) + 1
+            packed = marked.tobytes()
+            for k, a, b in zip(missing, [0, *ends.tolist()], ends.tolist()):
+                out[k] = packed[4 * a : 4 * b]
+                self._keep(parts[k], out[k])
+        return out
+
+    def _keep(self, part: str, known: bytes) -> None:
+        if self.held > REMEMBERED:
+            self.young, self.old, self.held = {}, self.young, 0
+        self.young[part] = known
+        self.held += len(part) + len(known) + 200  # about what the objects take besides
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets per text, and the marked ids of all texts, each in one piece.
+
+        A pre-token starts at a space that follows anything but white space. So a stretch
+        between two single spaces is encoded alike wherever it stands, if white space neither starts nor
+        ends it: equal stretches of a batch are encoded once, with the space before them. The
+        first stretch of a text has none; it is encoded after a line feed, which is a pre-token of its own.
+        Texts with other runs of white space or with special tokens are encoded one by one.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(1, np.int64), np.zeros(0, np.int32)
+        stretches = pc.split_pattern(texts, " ")
+        starts = stretches.offsets.to_numpy() - stretches.offsets[0].as_py()
+        coded = stretches.flatten().dictionary_encode()
+        index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        odd = np.fromiter((not d or d[0].isspace() or d[-1].isspace() for d in distinct), bool, len(distinct))
+        apart = np.logical_or.reduceat(odd[index], starts[:-1])
+        for name in self.special:
+            apart |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        first, place = np.unique(index[starts[:-1]], return_inverse=True)
+        index[starts[:-1]] = len(distinct) + place
+        encoded = self._remembered([None if o else " " + d for d, o in zip(distinct, odd)] + [None if odd[i] else "\n" + distinct[i] for i in first])
+        marked = np.frombuffer(b"".join(encoded), np.int32)
+        ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded))) // 4
+        begins = np.append(0, ends[:-1])
+        begins[len(distinct) :] += ends[len(distinct) :] > begins[len(distinct) :]  # without the line feed
+        taken = (ends - begins)[index]
+        at = np.repeat(begins[index] - np.append(0, np.cumsum(taken)[:-1]), taken) + np.arange(taken.sum())
+        offsets, out = np.append(0, np.cumsum(taken))[starts], marked[at]
+        if apart.any():
+            own = [self.whole(texts[i].as_py()) if apart[i] else out[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
+            offsets, out = np.append(0, np.cumsum([len(o) for o in own])), np.concatenate(own)
+        return offsets, out
 
     def data(self, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
         """The bytes that the ids of each text stand for; unknown ids stand for none."""
@@ -226,15 +295,18 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, leaf: int, finish:
     sent = docs.sparkSession.sparkContext.broadcast(Codec(path))  # a file of a few MB
     names = [column.split()[0] for column in schema.split(", ")]
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    digest = F.when(F.length("text") > leaf, F.sha2("text", 256)).alias("digest")
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            yield pa.record_batch([part.column(0), *finish(sent.value, *sent.value.encode_whole(part.column(1).to_pylist()))], names=["doc_id", *names])
+            offsets, ids = sent.value.encode_many(part.column(1))
+            yield pa.record_batch([part.column(0), *finish(sent.value, offsets, ids & ~STARTS)], names=["doc_id", *names])
 
     brief = texts.where(F.length("text") <= leaf).mapInArrow(short, f"doc_id long, {schema}")
-    long = texts.where(F.length("text") > leaf).select("doc_id", digest, "text")
-    owners = kept_table(long.select("doc_id", "digest"), "long-texts")
+    long = texts.where(F.length("text") > leaf).select("doc_id", F.sha2("text", 256).alias("digest"), "text")
+    owners = kept_table(long.select("doc_id", "digest", F.length("text").alias("size")), "long-texts")
+    longest = owners.agg(F.max("size")).first()[0]
+    if longest is None:
+        return brief
     node = "digest string, segment int, place int, ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,57 +322,56 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, leaf: int, finish:
                     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches, 1 << 20):
-            ids = [known if piece is None else sent.value.plain(piece).tobytes() for known, piece in zip(part.column("ids").to_pylist(), part.column("piece").to_pylist())]
+        for part in _slices(batches):
+            offsets, marked = sent.value.encode_many(part.column("piece"))
+            ids = [marked[a:b].tobytes() if known is None else known for known, a, b in zip(part.column("ids").to_pylist(), offsets, offsets[1:])]
             yield pa.record_batch([*part.columns[:3], pa.array(ids, pa.binary())], names=["digest", "segment", "place", "ids"])
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by text, segment and place; equal parents are joined, one parent in memory at a time."""
+    def groups(batches: Iterator[pa.RecordBatch], same: Callable) -> Iterator[tuple[tuple, list[np.ndarray]]]:
+        """Rows come sorted; runs that are the ``same``, one of them in memory at a time."""
         at, parts = None, []
         for batch in batches:
-            for name, segment, place, ids in zip(*[c.to_pylist() for c in batch.columns]):
-                parent = (name, segment, place // FAN_IN)
-                if parent != at:
-                    if at:
-                        yield _row(at, sent.value.join_all(parts))
-                    at, parts = parent, []
+            for *row, ids in zip(*[c.to_pylist() for c in batch.columns]):
+                if same(*row) != at:
+                    if parts:
+                        yield at, parts
+                    at, parts = same(*row), []
                 parts.append(np.frombuffer(ids, np.int32))
-        if at:
-            yield _row(at, sent.value.join_all(parts))
-
-    def _row(parent: tuple[str, int, int], ids: np.ndarray) -> pa.RecordBatch:
-        name, segment, place = parent
-        return pa.record_batch([pa.array([name]), pa.array([segment], pa.int32()), pa.array([place], pa.int32()), pa.array([ids.tobytes()], pa.binary())], names=["digest", "segment", "place", "ids"])
+        if parts:
+            yield at, parts
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Segments of a text in order, one text in memory at a time."""
-        at, parts = None, []
-        for batch in batches:
-            for name, _, _, ids in zip(*[c.to_pylist() for c in batch.columns]):
-                if name != at:
-                    if at:
-                        yield _done(at, parts)
-                    at, parts = name, []
-                parts.append(np.frombuffer(ids, np.int32) & ~STARTS)
-        if at:
-            yield _done(at, parts)
-
-    def _done(name: str, parts: list[np.ndarray]) -> pa.RecordBatch:
-        ids = np.concatenate(parts)
-        return pa.record_batch([pa.array([name]), *finish(sent.value, np.array([0, len(ids)]), ids)], names=["of_digest", *names])
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (name, segment, place), parts in groups(batches, lambda name, segment, place: (name, segment, place // FAN_IN)):
+            row = [pa.array([name]), pa.array([segment], pa.int32()), pa.array([place], pa.int32()), pa.array([sent.value.join_all(parts).tobytes()], pa.binary())]
+            yield pa.record_batch(row, names=["digest", "segment", "place", "ids"])
+
+    def rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last joins of each segment, and the segments of a text one after the other."""
+        whole: tuple[str, list[np.ndarray]] | None = None
+
+        def done(name: str, parts: list[np.ndarray]) -> pa.RecordBatch:
+            ids = np.concatenate(parts) & ~STARTS
+            return pa.record_batch([pa.array([name]), *finish(sent.value, np.array([0, len(ids)]), ids)], names=["of_digest", *names])
+
+        for (name, _), parts in groups(batches, lambda name, segment, place: (name, segment)):
+            if whole and whole[0] != name:
+                yield done(*whole)
+                whole = None
+            whole = whole or (name, [])
+            whole[1].append(sent.value.join_all(parts))
+        if whole:
+            yield done(*whole)
 
     # Equal pieces of equal texts meet in the shuffle that deals them out; one of them goes on.
     pieces = long.select("digest", "text").mapInArrow(cut, f"{node}, piece string").dropDuplicates(["digest", "segment", "place"])
-    nodes = kept_table(pieces.mapInArrow(encode, node), "pieces")
-    most = nodes.agg(F.max("place")).first()[0]
-    if most is None:
-        return brief
-    while most:
+    nodes, most = pieces.mapInArrow(encode, node), 1
+    while most * leaf < longest:
+        most *= 2
+    while most > FAN_IN:
         nodes = nodes.repartition("digest", "segment", F.floor(F.col("place") / FAN_IN)).sortWithinPartitions("digest", "segment", "place")
-        nodes, most = kept_table(nodes.mapInArrow(joined, node), "nodes"), most // FAN_IN
-    roots = nodes.repartition("digest").sortWithinPartitions("digest", "segment").mapInArrow(whole, f"of_digest string, {schema}")
-    spread = owners.join(roots, F.col("digest") == F.col("of_digest")).select("doc_id", *names)
-    return brief.unionByName(spread)
+        nodes, most = kept_table(nodes.mapInArrow(joined, node), "nodes"), -(-most // FAN_IN)
+    roots = nodes.repartition("digest").sortWithinPartitions("digest", "segment", "place").mapInArrow(rooted, f"of_digest string, {schema}")
+    return brief.unionByName(owners.join(roots, F.col("digest") == F.col("of_digest")).select("doc_id", *names))
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", leaf: int = 16384) -> DataFrame:
