@@ -25,13 +25,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from riskflow.llm.common import Lately, slices
+
 # One printable character per byte, outside ASCII so that no library treats it specially.
 FIRST = 0x4E00
 TO_CHARS = {b: FIRST + b for b in range(256)}
 FROM_CHARS = {FIRST + b: b for b in range(256)}
 
-#: Stretches remembered per Python worker; a full memory is emptied, results don't depend on it.
-REMEMBERED = 400_000
+#: Bytes of stretches remembered in a task, and as much again for older ones; results don't depend on it.
+REMEMBERED = 24 << 20
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -82,12 +84,12 @@ class Codec:
         self.digits = pa.array([str(i) for i in range(size)], pa.string())
         encoded = self.pieces.encode(names, num_threads=1)
         self.whole = {name: [i] for i, (name, ids) in enumerate(zip(names, encoded)) if ids != [i]}
-        self.words: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.stretches = Lately(REMEMBERED)
 
-    def learn_words(self, words: list[str]) -> None:
-        """Encode new pre-tokens, all in one call; ids are kept as packed 32-bit integers."""
-        data = [word.encode("utf-8") for word in words]
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens as packed 32-bit integers; equal ones are encoded once, all in one call."""
+        distinct = list(dict.fromkeys(words))
+        data = [word.encode("utf-8") for word in distinct]
         chars = (np.frombuffer(b"".join(data), np.uint8).astype("<u4") + FIRST).tobytes().decode("utf-32-le")
         ends = list(accumulate(map(len, data)))
         names = [chars[a:b] for a, b in zip([0, *ends], ends)]
@@ -96,32 +98,26 @@ class Codec:
             ids = [self.whole.get(name, own) for name, own in zip(names, ids)]
         ends = list(accumulate(map(len, ids)))
         packed = np.fromiter(chain.from_iterable(ids), "<i4", ends[-1] if ends else 0).tobytes()
-        self.words.update((word, packed[4 * a : 4 * b]) for word, a, b in zip(words, [0, *ends], ends))
-
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        missing = set(words).difference(self.words)
-        if missing:
-            if len(self.words) > REMEMBERED:
-                self.words.clear()
-                missing = set(words)
-            self.learn_words(list(missing))
-        return list(map(self.words.__getitem__, words))
+        known = {word: packed[4 * a : 4 * b] for word, a, b in zip(distinct, [0, *ends], ends)}
+        return list(map(known.__getitem__, words))
 
     def encode_text(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.encode_words(self.split(text))), "<i4")
 
     def encode_stretches(self, parts: list[str]) -> list[bytes]:
         """Ids of stretches that start with their space, split into pre-tokens where they are new."""
-        if len(self.stretches) > REMEMBERED:
-            self.stretches.clear()
-        missing = [part for part in parts if part not in self.stretches]
-        words = self.split("".join(missing))  # a space opens each stretch, so none runs into the next
+        out = [self.stretches.get(part) for part in parts]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        words = self.split("".join([parts[k] for k in missing]))  # a space opens each stretch, so none runs into the next
         ids = self.encode_words(words)
-        ends = np.searchsorted(np.cumsum(np.fromiter(map(len, words), np.int64, len(words))), np.cumsum([len(m) for m in missing])) + 1
+        chars = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ends = np.searchsorted(chars, np.cumsum([len(parts[k]) for k in missing])) + 1
         ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[ends - 1].tolist() if missing else []
         packed = b"".join(ids)
-        self.stretches.update((part, packed[a:b]) for part, a, b in zip(missing, [0, *ends], ends))
-        return list(map(self.stretches.__getitem__, parts))
+        for k, a, b in zip(missing, [0, *ends], ends):
+            out[k] = packed[a:b]
+            self.stretches.put(parts[k], out[k])
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets per text, and the ids of all texts one after the other.
@@ -179,20 +175,13 @@ def _map(docs: DataFrame, path: str, pattern: str, schema: str, key: str, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, pattern)
-        for batch in batches:
-            for part in _pieces(batch):
-                yield make(codec, part.column(0), part.column(1))
+        for part in slices(batches):
+            yield make(codec, part.column(0), part.column(1))
+        codec.stretches.clear()  # the worker goes on to other work
 
     return docs.selectExpr(f"cast(`{key}` as long) as doc_id", f"`{text}` as text").mapInArrow(run, schema)
 
 
-def _pieces(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``size`` bytes, so that memory doesn't follow the batch; whole rows always."""
-    rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text."""
 

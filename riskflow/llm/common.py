@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -19,6 +20,7 @@ from riskflow.session import shared_folder
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -37,8 +39,19 @@ def ship_package(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """What Python tasks of a session need: this package, and batches bounded in bytes.
+
+    Spark's own bound counts rows, so a batch of long texts would be held at once by the JVM,
+    outside its heap, and by the worker.
+    """
     ship_package(spark)
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -70,6 +83,49 @@ def packed(docs: DataFrame, **columns: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes, so that a task's memory doesn't follow Spark's batches; whole rows always.
+
+    What Arrow holds without need is given back after each batch, since a worker is used again.
+    """
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+class Lately:
+    """A dictionary of texts and bytes that forgets what was not used lately; bounded in bytes.
+
+    New and used entries are ``young``; when these are full they become ``old``, and what was old goes.
+    """
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def get(self, key: str) -> bytes | None:
+        known = self.young.get(key)
+        if known is None:
+            known = self.old.get(key)
+            if known is not None:
+                self.put(key, known)
+        return known
+
+    def put(self, key: str, value: bytes) -> None:
+        if self.held > self.limit:
+            self.young, self.old, self.held = {}, self.young, 0
+        self.young[key] = value
+        self.held += len(key) + len(value) + 200  # about what the objects take besides
+
+
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import WHITE, kept_table
+from riskflow.llm.common import WHITE, kept_table, slices
 
 # --- Fixed values of the edit model ------------------------------------------
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
@@ -214,13 +214,6 @@ def numbers(sequences: list[str]) -> np.ndarray:
     return table[np.frombuffer("".join(s + "\n" for s in sequences).encode("ascii"), np.uint8)]
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def learn_rules(sequences: DataFrame, rounds: int = 10, per_round: int = 16, least: int = 2) -> list[tuple[int, int]]:
     """Rules for the most frequent neighbours in the column ``symbols``.
 
@@ -235,7 +228,7 @@ def learn_rules(sequences: DataFrame, rounds: int = 10, per_round: int = 16, lea
             grammar = _grammar(known)
             base = len(SYMBOLS) + len(known)
             held = np.zeros(base * base, np.int64)
-            for part in _parts(batches):
+            for part in slices(batches, 1 << 20):
                 flat = grammar.compress(numbers(part.column(0).to_pylist()))
                 same = flat[:-1] == flat[1:]
                 at = np.flatnonzero((flat[:-1] >= 0) & (flat[1:] >= 0) & ~same)
@@ -332,7 +325,7 @@ def _summaries(sequences: DataFrame, rules: list[tuple[int, int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = _grammar(rules)
         shown: dict[int, tuple] = {}
-        for part in _parts(batches):
+        for part in slices(batches, 1 << 20):
             symbols = part.column("symbols").to_pylist()
             found, shown = [], {}
             for matrix in grammar.evaluate(symbols):
@@ -387,7 +380,7 @@ def _paths(summaries: DataFrame) -> DataFrame:
         def flush() -> None:
             out.extend((at, *row) for row in _path(held))
 
-        for part in _parts(batches):
+        for part in slices(batches, 1 << 20):
             for conv, *row in zip(*[c.to_pylist() for c in part.columns]):
                 if conv != at:
                     if held:
@@ -425,7 +418,7 @@ def _edits(chosen: DataFrame, rules: list[tuple[int, int]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = _grammar(rules)
-        for part in _parts(batches, 1 << 17):
+        for part in slices(batches, 1 << 17):
             out: list[tuple] = []
             columns = [part.column(c).to_pylist() for c in ("conv", "part", "first", "symbols", "entry", "place", "closing")]
             for (conv, number, first, symbols, entry, place, closing), matrix in zip(zip(*columns), grammar.evaluate(columns[3])):
@@ -452,7 +445,7 @@ def _audits(chosen: DataFrame, rules: list[tuple[int, int]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = _grammar(rules)
-        for part in _parts(batches, 1 << 17):
+        for part in slices(batches, 1 << 17):
             columns = [part.column(c).to_pylist() for c in ("conv", "part", "symbols", "entry", "closing")]
             audits = [_text(m[e][1]) + "I" * c for m, e, c in zip(grammar.evaluate(columns[2]), *columns[3:])]
             yield _table(list(zip(*columns[:2], audits)), "conv string, part int, audit string")
@@ -493,7 +486,7 @@ def _digests(lines: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, digest, out = None, None, []
-        for part in _parts(batches):
+        for part in slices(batches, 1 << 20):
             for conv, role, text in zip(*[part.column(c).to_pylist() for c in ("conv", "role", "text")]):
                 line = f"{role}:{text}".encode()
                 if conv == at:

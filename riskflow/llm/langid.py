@@ -7,10 +7,11 @@ corrected share decides.
 
 Learning uses a bounded, repeatable sample of labelled rows (``per_language`` rows each on
 average, whole texts); n-gram counting and filter building run as Spark aggregations, and the
-driver sees at most ``slots`` rows. Prediction is one pass without a shuffle.
+driver sees at most ``slots`` rows and a row per language. Prediction is one pass without a shuffle.
 
 * text null or without a letter: ``und`` with score 0; rows with a null label or key teach nothing;
 * ties between languages go to the smaller name; a repeated row gets the same answer;
+* a label with few texts teaches little, and its own texts may score low; ``texts`` says how many there were;
 * no labelled row at all (or an empty table): every answer is ``und``;
 * a label with few rows takes no n-gram from another: what it says of a frequency is bounded by its number of texts.
 """
@@ -23,26 +24,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from riskflow.llm.common import packed
+from riskflow.llm.common import kept_table, packed
 
 SIZES = (3, 4)
 HASHES = 2
+MASK_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class LanguageFilter:
     languages: tuple[str, ...]
     masks: np.ndarray  # slots x words of 64 languages
+    texts: tuple[int, ...] = ()  # labelled texts per language
 
     @property
     def chance(self) -> np.ndarray:
         """Probability, per language, that an n-gram it lacks seems to be in it."""
-        bits = [(self.masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1) for i in range(len(self.languages))]
-        return np.array([float(b.mean()) for b in bits]) ** HASHES
+        set_ = [float(((self.masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()) for i in range(len(self.languages))]
+        return np.array(set_) ** HASHES
 
 
 @lru_cache(maxsize=1)
@@ -91,61 +94,62 @@ def slots_of(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
     return [((hashes >> np.uint64(24 * k)) % np.uint64(slots)).astype(np.int64) for k in range(HASHES)]
 
 
-def _groups(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``chars`` characters, whole texts always."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= chars or i == len(texts) - 1:
-            yield start, i + 1
-            start, size = i + 1, 0
+def _groups(texts: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of rows of about ``size`` bytes, whole texts always: where each starts, and its texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, side="right")))
+        yield start, texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
-def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id", text: str = "text", per_language: int = 4000, slots: int = 1 << 19, min_count: int = 3, least: float = 0.5, doubt: float = 2.0) -> LanguageFilter:
+def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id", text: str = "text", per_language: int = 4000, slots: int = 1 << 19, most_languages: int = 4096, min_count: int = 3, least: float = 0.5, doubt: float = 2.0) -> LanguageFilter:
     """Fit the filter.
 
     A language contains an n-gram that its sampled texts hold ``min_count`` times or more at no
     less than ``least`` times the largest relative frequency that any language is sure to have.
+    The labels with the most texts are languages, up to ``most_languages``; texts under other labels teach
+    nothing. With many languages there are fewer slots, so that the masks never take more than ``MASK_BYTES``.
     Texts are the draws, since an n-gram comes in bursts inside one: of a frequency seen in k texts,
     the share 1 - ``doubt`` / sqrt(k) is sure. Only n-grams seen ``min_count`` times count.
     """
     known = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), label.alias("label"), learnable.alias("ok"))
     known = known.where("ok and label is not null and text is not null and key is not null")
-    found = {r.label: r.many for r in known.groupBy("label").agg(F.count("*").alias("many")).collect()}
-    languages = tuple(sorted(found))
+    texts = known.groupBy("label").agg(F.count("*").alias("many")).orderBy(F.desc("many"), "label").limit(most_languages).toPandas()
+    texts = texts.sort_values("label", ignore_index=True)
+    languages = tuple(texts["label"])
     if not languages:
         return LanguageFilter((), np.zeros((1, 1), np.uint64))
-    share = F.lit(0.0)
-    code = F.lit(0)
-    for i, name in enumerate(languages):
-        share = F.when(F.col("label") == name, min(1.0, per_language / found[name])).otherwise(share)
-        code = F.when(F.col("label") == name, i).otherwise(code)
-    sample = known.where(F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(1 << 20)) < share * (1 << 20)).select(code.alias("code"), "text")
+    words = (len(languages) + 63) // 64
+    slots = min(slots, MASK_BYTES // (8 * words))
+    coded = docs.sparkSession.createDataFrame([(name, i, min(1.0, per_language / many)) for i, (name, many) in enumerate(zip(languages, texts["many"].tolist()))], "label string, code int, share double")
+    some = known.join(F.broadcast(coded), "label")  # at most ``most_languages`` rows
+    sample = some.where(F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("code", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a, b in _groups(texts):
-                hashes, owners = grams(texts[a:b])
+            codes = batch.column(0).to_numpy()
+            for a, texts in _groups(batch.column(1)):
+                hashes, owners = grams(texts)
                 order = np.lexsort((owners, hashes))
                 hashes, owners = hashes[order], owners[order]
                 first = np.append(True, (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1]))[: len(hashes)]
                 times = np.diff(np.append(np.flatnonzero(first), len(hashes)))
-                hashes, coded = hashes[first], codes[a:b][owners[first]]
+                hashes, coded = hashes[first], codes[a + owners[first]]
                 for c in np.unique(coded):
                     own, start, held = np.unique(hashes[coded == c], return_index=True, return_counts=True)
                     many = np.add.reduceat(times[coded == c], start)
                     yield pa.record_batch([pa.array(np.full(len(own), c), pa.int32()), pa.array(own.view(np.int64)), pa.array(many), pa.array(held)], names=["code", "gram", "many", "held"])
 
     counts = sample.mapInArrow(count, "code int, gram long, many long, held long").groupBy("code", "gram").agg(F.sum("many").alias("many"), F.sum("held").alias("held"))
-    totals = {r.code: r.many for r in counts.groupBy("code").agg(F.sum("many").alias("many")).collect()}
-    rate = F.lit(0.0)
-    for c, many in totals.items():
-        rate = F.when(F.col("code") == c, F.col("many") / F.lit(float(many))).otherwise(rate)
+    counts = kept_table(counts, "gram-counts")
+    totals = counts.groupBy("code").agg(F.sum("many").alias("total"))
     sure = F.col("rate") * (1 - F.lit(doubt) / F.sqrt("held"))
     holds = (
         counts.where(F.col("many") >= min_count)
-        .withColumn("rate", rate)
+        .join(F.broadcast(totals), "code")
+        .withColumn("rate", F.col("many") / F.col("total"))
         .groupBy("gram")
         .agg(F.max(sure).alias("top"), F.collect_list(F.struct("code", "rate")).alias("own"))
         .select("gram", "top", F.explode("own").alias("o"))
@@ -160,25 +164,27 @@ def learn(docs: DataFrame, label: Column, learnable: Column, key: str = "doc_id"
                 yield pa.record_batch([pa.array(places), pa.array(codes // 64, pa.int32()), pa.array(bits)], names=["slot", "word", "bits"])
 
     sliced = holds.select("o.code", "gram").mapInArrow(slot, "slot long, word int, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    masks = np.zeros((slots, (len(languages) + 63) // 64), np.uint64)
+    masks = np.zeros((slots, words), np.uint64)
     masks[sliced["slot"].to_numpy(), sliced["word"].to_numpy()] = sliced["bits"].to_numpy().view(np.uint64)
-    return LanguageFilter(languages, masks)
+    return LanguageFilter(languages, masks, tuple(texts["many"].tolist()))
 
 
-def decide(model: LanguageFilter, chance: np.ndarray, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+def decide(model: LanguageFilter, chance: np.ndarray, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     names, scores = ["und"] * len(texts), np.zeros(len(texts))
-    for a, b in _groups(texts) if model.languages else ():
-        hashes, owners = grams([t or "" for t in texts[a:b]])
+    size = max(1 << 14, (1 << 19) // model.masks.shape[1])  # an n-gram takes the words of its mask
+    for a, some in _groups(texts, size) if model.languages else ():
+        hashes, owners = grams([t or "" for t in some])
         first, *more = slots_of(hashes, len(model.masks))
         held = model.masks[first]
         for places in more:
             held &= model.masks[places]
-        many = np.bincount(owners, minlength=b - a)
-        shares = np.zeros((b - a, len(model.languages)))
-        for i in range(len(model.languages)):
+        many = np.bincount(owners, minlength=len(some))
+        shares = np.zeros((len(some), len(model.languages)))
+        met = np.bitwise_or.reduce(held, axis=0, initial=np.uint64(0))
+        for i in np.flatnonzero([met[i // 64] >> np.uint64(i % 64) & np.uint64(1) for i in range(len(model.languages))]):
             bit = (held[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-            shares[:, i] = np.bincount(owners, weights=bit, minlength=b - a) / np.maximum(many, 1)
+            shares[:, i] = np.bincount(owners, weights=bit, minlength=len(some)) / np.maximum(many, 1)
         shares = np.clip((shares - chance) / np.maximum(1 - chance, 1e-9), 0, 1)
         best = shares.argmax(axis=1)
         for i in np.flatnonzero(many):
@@ -187,18 +193,21 @@ def decide(model: LanguageFilter, chance: np.ndarray, texts: list[str | None]) -
 
 
 def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
-    """``row`` (the input row), ``lang_pred`` and ``score`` per input row."""
+    """``row`` (the input row), ``lang_pred`` and ``score`` per input row; only the texts go to Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most ``slots`` masks
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         chance = sent.value.chance
-        for batch in batches:
-            rows = batch.column(0)
-            names, scores = decide(sent.value, chance, rows.field(text).to_pylist())
-            yield pa.record_batch([rows, pa.array(names, pa.string()), pa.array(scores)], names=["row", "lang_pred", "score"])
-
-    base = packed(docs)
-    return base.mapInArrow(run, StructType([*base.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+        for texts in batches:
+            names, scores = decide(sent.value, chance, texts)
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
+            del texts
+            pa.default_memory_pool().release_unused()
+
+    # Said to be non-deterministic, so that a filter on the answer doesn't ask twice.
+    answer = F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()
+    found = packed(docs).withColumn("found", answer(F.col(f"row.`{text}`")))
+    return found.select("row", "found.lang_pred", "found.score")
 
 
 def held_out(key: Column) -> Column:

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import kept_table, packed
+from riskflow.llm.common import kept_table, packed, slices
 from riskflow.operators.carry import in_parts
 
 # Bytes of words: digits, ASCII letters (folded to lower case) and everything beyond ASCII.
@@ -47,13 +47,6 @@ SCORES = "doc_id long, mark long, n_words long, n_features long, weight long, sc
 ORDER = ("down", "keyless", "doc_id", "n_features", "weight", "mark")
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Owner and code of each word of the texts in order, and the distinct words by code."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -93,7 +86,7 @@ def bucket_counts(texts: DataFrame, text: str, longest: int, buckets: int) -> np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(buckets, np.int64)
-        for part in _parts(batches):
+        for part in slices(batches):
             held += np.bincount(feature_buckets(part.column(0), longest, buckets)[1], minlength=buckets)
         used = np.flatnonzero(held)
         yield pa.record_batch([pa.array(used), pa.array(held[used])], names=["bucket", "many"])
@@ -123,7 +116,7 @@ def score_documents(docs: DataFrame, gains: np.ndarray, longest: int, seed: int,
     sent = docs.sparkSession.sparkContext.broadcast(gains)  # one number per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in slices(batches):
             owner, bucket, words = feature_buckets(part.column("text"), longest, len(sent.value))
             many = np.bincount(owner, minlength=part.num_rows)
             total = np.bincount(owner, weights=sent.value[bucket], minlength=part.num_rows).astype(np.int64)

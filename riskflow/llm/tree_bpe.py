@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import kept_table
+from riskflow.llm.common import Lately, kept_table, slices
 
 #: Set in an id that starts a pre-token.
 STARTS = np.int32(1 << 30)
@@ -80,9 +80,7 @@ class Codec:
         self.library.no_truncation()
         self.library.no_padding()
         self.library.encode_special_tokens = True  # special tokens are cut out before
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        self.known = Lately(REMEMBERED)
         self.special = {a["content"]: a["id"] for a in described["added_tokens"]}
         byte_of = _byte_of_char()
         tokens = {i: bytes(byte_of[c] for c in name) for name, i in own["vocab"].items()} | {i: name.encode() for name, i in self.special.items()}
@@ -174,39 +172,18 @@ class Codec:
         return np.concatenate(parts)
 
     def _remembered(self, parts: list[str | None]) -> list[bytes]:
-        """Packed marked ids of stretches (None: no ids); each starts a pre-token wherever it stands.
-
-        Frequent stretches stay in memory: those used lately in ``young``, and in ``old`` those that were
-        young before. Both are bounded in bytes.
-        """
-        out, missing = [b""] * len(parts), []
-        for k, part in enumerate(parts):
-            if part is None:
-                continue
-            known = self.young.get(part)
-            if known is None:
-                known = self.old.get(part)
-                if known is None:
-                    missing.append(k)
-                    continue
-                self._keep(part, known)
-            out[k] = known
-        if missing:
-            data = [parts[k].encode() for k in missing]
-            marked = self.plain(b"".join(data).decode())
-            ends = np.searchsorted(np.cumsum(self.size[marked & ~STARTS]), np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))) + 1
-            packed = marked.tobytes()
-            for k, a, b in zip(missing, [0, *ends.tolist()], ends.tolist()):
-                out[k] = packed[4 * a : 4 * b]
-                self._keep(parts[k], out[k])
+        """Packed marked ids of stretches (None: no ids); each starts a pre-token wherever it stands."""
+        out = [b"" if part is None else self.known.get(part) for part in parts]
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        data = [parts[k].encode() for k in missing]
+        marked = self.plain(b"".join(data).decode())
+        ends = np.searchsorted(np.cumsum(self.size[marked & ~STARTS]), np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))) + 1
+        packed = marked.tobytes()
+        for k, a, b in zip(missing, [0, *ends.tolist()], ends.tolist()):
+            out[k] = packed[4 * a : 4 * b]
+            self.known.put(parts[k], out[k])
         return out
 
-    def _keep(self, part: str, known: bytes) -> None:
-        if self.held > REMEMBERED:
-            self.young, self.old, self.held = {}, self.young, 0
-        self.young[part] = known
-        self.held += len(part) + len(known) + 200  # about what the objects take besides
-
     def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets per text, and the marked ids of all texts, each in one piece.
 
@@ -272,13 +249,6 @@ def _between(text: str, name: str, number: int) -> list[str | int]:
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def _halves(text: str, leaf: int) -> list[str]:
     """The text cut in halves, those in halves again, down to ``leaf`` code points."""
     pieces = 1
@@ -297,7 +267,7 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, leaf: int, finish:
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
+        for part in slices(batches):
             offsets, ids = sent.value.encode_many(part.column(1))
             yield pa.record_batch([part.column(0), *finish(sent.value, offsets, ids & ~STARTS)], names=["doc_id", *names])
 
@@ -310,7 +280,7 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, leaf: int, finish:
     node = "digest string, segment int, place int, ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
+        for part in slices(batches):
             for name, whole in zip(part.column("digest").to_pylist(), part.column("text").to_pylist()):
                 for number, own in enumerate(sent.value.segments(whole)):
                     pieces = [None] if isinstance(own, int) else _halves(own, leaf)
@@ -322,7 +292,7 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, leaf: int, finish:
                     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
+        for part in slices(batches):
             offsets, marked = sent.value.encode_many(part.column("piece"))
             ids = [marked[a:b].tobytes() if known is None else known for known, a, b in zip(part.column("ids").to_pylist(), offsets, offsets[1:])]
             yield pa.record_batch([*part.columns[:3], pa.array(ids, pa.binary())], names=["digest", "segment", "place", "ids"])
@@ -388,7 +358,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast(Codec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
+        for part in slices(batches):
             sizes = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy()
             flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int32)
             texts = sent.value.decode(np.append(0, np.cumsum(sizes)), flat)
