@@ -38,11 +38,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import kept_table, release_shuffles, words_of
+from riskflow.llm.common import kept_table, release_shuffles, slices, words_of
 
 BITS = 1 << 16  # of each segment
 SHORT = 1024  # bits of the short sketch of a whole set
 BLOCK = 1024  # members of a large bucket that one task holds twice at most
+PAIRS = 1 << 17  # compared at a time
 ROUNDS = (8, 1)  # of the mixed buckets, one in so many is compared in each round
 EMPTY = np.uint64(0x5851F42D4C957F2D)
 
@@ -148,18 +149,11 @@ def short_sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
     """``doc`` and its set of shingle hashes (64 bits each, sorted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in slices(batches):
             sets = [s.tobytes() for s in shingles(part.column(1), n)]
             yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], names=["doc", "shingles"])
 
@@ -176,7 +170,7 @@ def common_shingles(docs: DataFrame, n: int, sample: int, least: float) -> np.nd
     some = docs.where(F.pmod(F.xxhash64("doc", F.lit("common shingles")), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in slices(batches):
             own, many = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(part.column(1), n)]), return_counts=True)
             yield pa.record_batch([_int64(own), pa.array(many)], names=["shingle", "many"])
 
@@ -209,7 +203,7 @@ def _star_in_chunks(docs: DataFrame, n: int, percent: int, chunk: int, common: n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, keys, owners, held, seen = Bands(percent), [], [], 0, set()
-        for part in _parts(batches):
+        for part in slices(batches):
             sets = shingles(part.column(1), n)
             marks = [_digest(s) for s in sets]
             digests = np.array(marks, np.uint64).reshape(-1, 2)
@@ -300,30 +294,50 @@ def _close_in_blocks(members: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("segment", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "a", "root", "n_shingles", "sketch")
 
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        doc, root, size, block = (group[c].to_numpy() for c in ("a", "root", "n_shingles", "block"))
-        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
-        # Two texts of one band meet in both of its intervals and are compared in the upper one.
+    def close(rows: pa.Table) -> pa.RecordBatch:
+        """The near pairs of whole groups, all groups at once, ``PAIRS`` pairs at a time."""
+        rows = rows.combine_chunks()
+        segment, i, j, doc, root, size, block = (rows[c].to_numpy() for c in ("segment", "i", "j", "a", "root", "n_shingles", "block"))
+        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
         bands = Bands(percent)
-        band = np.array([bands.band(int(n)) for n in size])
-        skipped = (band & 1) != (key[0].as_py() & 1)
-        one, two = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
-        left, right = [], []
-        for row in one:
-            others = two[(root[two] != root[row]) & (doc[two] != doc[row])]
-            if key[1] == key[2]:
-                others = others[doc[others] > doc[row]]
-            both = size[others] + size[row]
-            compare = ~(skipped[row] & (band[others] == band[row]))
-            others, both = others[compare], both[compare]
-            near = np.bitwise_count(sketch[others] ^ sketch[row]).sum(axis=1) * (100 + percent) <= both * (100 - percent)
-            left.append(np.full(int(near.sum()), doc[row]))
-            right.append(doc[others[near]])
-        a, b = np.concatenate([np.zeros(0, np.int64), *left]), np.concatenate([np.zeros(0, np.int64), *right])
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return dealt.groupBy("segment", "i", "j").applyInArrow(run, "a long, b long")
+        bands.band(int(size.max(initial=1)))
+        band = np.searchsorted(bands.last, size)
+        # Two texts of one band meet in both of its intervals and are compared in the upper one.
+        skipped = (band & 1) != (segment & 1)
+        new = np.append(True, (segment[1:] != segment[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+        ends = np.append(np.flatnonzero(new)[1:], len(doc))[np.cumsum(new) - 1]
+        later = ends - np.arange(len(doc)) - 1  # members of the same group further on
+        upto, start, found = np.cumsum(later), 0, []
+        while start < len(doc):
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS, side="right")))
+            many = later[start:stop]
+            x = np.repeat(np.arange(start, stop), many)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+            differ = (root[x] != root[y]) & (doc[x] != doc[y]) & ((block[x] != block[y]) | (i[x] == j[x]))
+            differ &= ~(skipped[x] & (band[x] == band[y]))
+            differ &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+            x, y = x[differ], y[differ]
+            near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+            found.append(np.sort(np.stack([doc[x[near]], doc[y[near]]]), axis=0))
+            start = stop
+        pairs = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1), axis=1)
+        return pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups come one after the other; the last one of a batch may go on in the next."""
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            own = [rows[c].to_numpy() for c in ("segment", "i", "j")]
+            last = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in own])) if rows.num_rows else np.zeros(0, int)
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield close(rows.slice(0, cut))
+            rest = rows.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield close(rest)
+
+    return dealt.repartition("segment", "i", "j").sortWithinPartitions("segment", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -355,7 +369,7 @@ def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, chunk: int = 1_000_000, sample: int = 20_000, common_share: float = 0.001) -> DataFrame:
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, chunk: int = 250_000, sample: int = 20_000, common_share: float = 0.001) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every input row.
 
     ``chunk`` is the number of segment rows that a task compares before it sends them on; it
@@ -375,8 +389,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sizes = rows.where("n_shingles is not null").select("doc", "n_shingles", F.col("segment").alias("p"), F.col("center").alias("q"))
     classes = sizes.where("doc is not null and n_shingles > 0")
     smallest = kept_table(classes.groupBy("n_shingles", "p", "q").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")), "classes")
-    copies = classes.join(smallest.where("rep < last"), ["n_shingles", "p", "q"]).where("rep < doc")
-    copies = kept_table(copies.groupBy(F.col("doc").alias("b")).agg(F.min("rep").alias("a")), "copies")
+    copies = classes.join(smallest.where("rep < last"), ["n_shingles", "p", "q"]).select(F.col("rep").alias("a"), F.col("doc").alias("b")).distinct()
+    equal = kept_table(copies.where("a < b"), "copies")
+    # A key with several sets stands for itself: its pairs may come from any of them.
+    single = classes.groupBy(F.col("doc").alias("b")).agg(F.min(F.struct("n_shingles", "p", "q")).alias("low"), F.max(F.struct("n_shingles", "p", "q")).alias("high")).where("low = high")
+    copies = kept_table(equal.join(single.select("b"), "b", "left_semi"), "single-copies")
 
     known = docs.where("doc is not null")
     sketches = rows.where("n_shingles > 0 and doc is not null").select("doc", "n_shingles", "sketch")
@@ -384,7 +401,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     release_shuffles(docs.sparkSession)
     links = kept_table(_linked(kept_table(_near(compared, sketches, percent), "near-pairs"), known, n, percent), "links")
     release_shuffles(docs.sparkSession)
-    roots = kept_table(components(links.unionByName(copies)), "roots")
+    roots = kept_table(components(links.unionByName(equal)), "roots")
 
     # Buckets with several components: every pair across them that is not compared yet.
     for one_in in ROUNDS:
@@ -403,7 +420,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             links = kept_table(links.unionByName(_linked(more, known, n, percent)), "links")
             compared = compared.unionByName(more)
             release_shuffles(docs.sparkSession)
-            roots = kept_table(components(links.unionByName(copies)), "roots")
+            roots = kept_table(components(links.unionByName(equal)), "roots")
 
     named = roots.select(F.col("doc"), "root")
     return sizes.join(named, "doc", "left").select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("root", "doc").alias("component_id"))
