@@ -18,7 +18,9 @@ until none does; from the third time on each draw is a character longer, so a po
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import kept_table, packed
@@ -68,6 +70,9 @@ def _sql(text: str) -> str:
     return "r'" + text.replace("'", "\\x27") + "'" if "'" in text else f"r'{text}'"
 
 
+KINDS = ("mail", "secret", "ip", "phone", "ssn", "card", "given_m", "given_f", "surname")
+
+
 def _array(values: tuple[str, ...]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -103,10 +108,19 @@ def _normal(kind: str = "kind", raw: str = "raw") -> str:
     return f"case when {kind} in ('phone') then right({digits}, 10) when {kind} in ('card', 'ssn') then {digits} when {kind} in ('secret', 'ip') then {raw} else lower({raw}) end"
 
 
-def _stream(key: str) -> str:
-    """512 hex digits drawn by key, type, value and attempt."""
-    blocks = [f"sha2(concat_ws('|', '{key}', kind, norm, attempt, '{i}'), 512)" for i in range(4)]
-    return f"concat({', '.join(blocks)})"
+def _stream() -> str:
+    """512 hex digits drawn by key, type, value and attempt: HMAC-SHA-512 with the pads of the key as columns."""
+    told = "encode(concat_ws('|', kind, norm, attempt, '{i}'), 'utf-8')"
+    inner = f"unhex(sha2(concat(inner_pad, {told}), 512))"
+    return "concat(" + ", ".join(f"sha2(concat(outer_pad, {inner}), 512)".replace("{i}", str(i)) for i in range(4)) + ")"
+
+
+def _key_table(spark: SparkSession, key: str) -> DataFrame:
+    """The padded key per kind of entity. As rows of a table it is in no expression, so in no plan or event log."""
+    data = key.encode()
+    block = (hashlib.sha512(data).digest() if len(data) > 128 else data).ljust(128, b"\0")
+    pads = [bytes(b ^ mask for b in block) for mask in (0x36, 0x5C)]
+    return spark.createDataFrame([(kind, *pads) for kind in KINDS], "kind string, inner_pad binary, outer_pad binary")
 
 
 def _at(i: str) -> str:
@@ -158,7 +172,12 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     Of the entities with one candidate the smallest keeps it, unless it is an entity itself; the
     others draw again.
     """
-    drawn = lambda rows: rows.withColumn("stream", F.expr(_stream(key))).withColumn("surrogate", F.expr(_candidate())).drop("stream")
+    keys = F.broadcast(_key_table(entities.sparkSession, key))  # a row per kind
+
+    def drawn(rows: DataFrame) -> DataFrame:
+        streamed = rows.join(keys, "kind").withColumn("stream", F.expr(_stream())).withColumn("surrogate", F.expr(_candidate()))
+        return streamed.select("kind", "norm", "attempt", "surrogate")
+
     table = kept_table(drawn(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0))), "surrogates")
     while True:
         shared = table.groupBy("kind", "surrogate").agg(F.min("norm").alias("keeper"), F.count("*").alias("many")).where("many > 1").drop("many")
