@@ -48,6 +48,8 @@ HEADERS = {
 SCHEMA = ", ".join(f"{name} string" for name in HEADERS) + ", payload binary"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+#: Bytes inflated at a time until a header is whole.
+HEAD = 1024
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -112,7 +114,7 @@ class _Member:
             if head[3] & 4 and head[12:14] == b"sl":
                 self.end = start + int.from_bytes(head[16:20], "little")
             self.inflate = zlib.decompressobj(31)
-            self.data = self.inflate.decompress(head)
+            self.data = self.inflate.decompress(head, HEAD)
         else:
             self.data = head
         while (cut := self.data.find(END)) < 0 and self._more():
@@ -124,30 +126,35 @@ class _Member:
             self.end = start + cut + 4 + self.length + 4
 
     def _more(self) -> bool:
-        if self.zipped and self.inflate.eof:
-            return False
-        piece = self.source.read(1 << 16)
-        if not piece:
-            return False
-        self.data += self.inflate.decompress(piece) if self.zipped else piece
-        return True
+        piece = self._next(HEAD)
+        self.data += piece or b""
+        return piece is not None
+
+    def _next(self, most: int) -> bytes | None:
+        """The next bytes of the record, at most so many if it is compressed; None at its end."""
+        if not self.zipped:
+            return self.source.read(most) or None
+        if self.inflate.eof:
+            return None
+        piece = self.inflate.unconsumed_tail or self.source.read(1 << 16)
+        return self.inflate.decompress(piece, most) if piece else None
 
     def block(self) -> bytes:
         parts, size = [self.data], len(self.data)
-        while size < self.length and not (self.zipped and self.inflate.eof):
-            piece = self.source.read(1 << 18)
-            if not piece:
+        while size < self.length:
+            piece = self._next(1 << 18)
+            if piece is None:
                 raise ValueError("a record ends before its length")
-            parts.append(self.inflate.decompress(piece) if self.zipped else piece)
-            size += len(parts[-1])
+            parts.append(piece)
+            size += len(piece)
         self.data = b"".join(parts)
         return self.data[: self.length]
 
     def next_start(self) -> int:
         """Known from the header; a gzip member without its length is inflated to its end."""
         if self.end is None:
-            while not self.inflate.eof and (piece := self.source.read(1 << 18)):
-                self.inflate.decompress(piece)
+            while self._next(1 << 18) is not None:
+                pass
             self.end = self.source.tell() - len(self.inflate.unused_data)
         return self.end
 
