@@ -85,6 +85,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     open_: list[tuple[str, int]] = [("html", 0)]  # every open element with the node its text goes to
     blocks: list[tuple[int, str]] = []
     buffer: list[str] = []
+    places: dict[str, list[int]] = {}  # where in ``open_`` the elements of a tag are
     linked = hidden = 0
 
     def flush() -> None:
@@ -98,17 +99,15 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         for tag, _ in open_[upto:]:
             linked -= tag == "a"
             hidden -= tag in HIDDEN
+            places[tag].pop()
         if any(open_[i][1] != open_[upto - 1][1] for i in range(upto, len(open_))):
             flush()
         del open_[upto:]
 
     def last(tags: frozenset[str] | set[str], stop: frozenset[str] = frozenset()) -> int:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i][0] in tags:
-                return i
-            if open_[i][0] in stop:
-                return 0
-        return 0
+        """The last open element of ``tags``, if no element of ``stop`` was opened since."""
+        found, ended = (max((places[t][-1] for t in some if places.get(t)), default=0) for some in (tags, stop))
+        return found if found > ended else 0
 
     def text(piece: str) -> None:
         if piece and not hidden:
@@ -163,6 +162,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         self_closed = found[3].endswith("/") and tag not in BLOCKS
         if self_closed:
             continue
+        places.setdefault(tag, []).append(len(open_))
         open_.append((tag, len(nodes) - 1 if apart and not hidden else open_[-1][1]))
         linked += tag == "a"
         hidden += tag in HIDDEN
