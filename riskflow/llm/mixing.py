@@ -207,12 +207,14 @@ def deal_to_shards(blocks: DataFrame, shard_blocks: int = 4096, seed: int = 11)
     return dealt.withColumn("place", F.row_number().over(local) - 1)
 
 
-def mix(docs: DataFrame, block_words: int | None = 128, seed: int = 11, key: str = "doc_id", source: str = "source", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(
+    docs: DataFrame, block_words: int | None = 128, seed: int = 11, key: str = "doc_id", source: str = "source", text: str = "text", shard_blocks: int = 4096
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, targets, dealt blocks) of the mix; ``block_words`` None makes each text one block."""
     sizes = kept_table(document_sizes(docs, key, source, text), "mix-sizes")
     targets = kept_table(source_targets(sizes), "mix-targets")
     blocks = kept_table(draw_blocks(sizes, targets, block_words, seed), "mix-blocks")
-    return sizes, targets, deal_to_shards(blocks, seed=seed)
+    return sizes, targets, deal_to_shards(blocks, shard_blocks, seed)
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
@@ -227,16 +229,29 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 11) -> DataFrame:
-    """The mix as rows of the input: each as often as it is taken, whole (texts are blocks)."""
-    _, _, dealt = mix(docs, None, seed, key, source, text)
+def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 11, shard_blocks: int = 4096) -> DataFrame:
+    """The mix in rows ``shard``, ``place`` and ``row``: each text as often as it is taken, whole (texts are blocks).
+
+    Shards stay together, a shard's rows in the order of their places, so that what is written is the
+    shuffled mix.
+    """
+    sizes, _, dealt = mix(docs, None, seed, key, source, text, shard_blocks)
     group = KEYS[:-1]
-    times = dealt.groupBy(*KEYS).agg(F.count("*").alias("times"))
-    times = times.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("copy", "times"))).alias("times"))
-    times = times.select(*[F.col(k).alias(f"of_{k}") for k in group], "times")
+
+    def same(one: str, other: str) -> Column:
+        doc, source, mark = ((F.col(f"{one}{k}"), F.col(f"{other}{k}")) for k in group)
+        return doc[0].eqNullSafe(doc[1]) & source[0].eqNullSafe(source[1]) & (mark[0] == mark[1])
+
+    # A text is taken once or a few times, at most once more than its source is.
+    taken = dealt.groupBy(*KEYS).agg(F.collect_list(F.struct("shard", "place")).alias("places"))
+    taken = taken.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("copy", "places"))).alias("places"))
+    repeated = sizes.where("copy = 2").select(*[F.col(k).alias(f"twice_{k}") for k in group])
+    taken = taken.join(repeated, same("", "twice_"), "left").withColumn("several", F.col("twice_mark").isNotNull())
+    taken = kept_table(taken.select(*[F.col(k).alias(f"of_{k}") for k in group], "places", "several"), "mix-places")
     rows = packed(docs, doc_id=F.col(f"`{key}`").cast("long"), source=F.col(f"`{source}`"), mark=F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    on = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("mark") == F.col("of_mark"))
-    # Equal rows are numbered after the join, so the texts move once.
+    rows = rows.join(taken, same("", "of_"))
+    # Only equal rows need a number each; the texts of all others move once for the join and once to their shard.
     number = F.row_number().over(Window.partitionBy("doc_id", "source", "mark").orderBy("row"))
-    found = rows.join(times, on).withColumn("often", F.element_at("times", number.cast("long")))
-    return found.where("often > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("often")))).select("row.*")
+    numbered = rows.where("several").withColumn("number", number.cast("long"))
+    found = rows.where("not several").withColumn("number", F.lit(1).cast("long")).unionByName(numbered).withColumn("own", F.element_at("places", F.col("number")))
+    return found.select("row", F.inline("own")).repartition("shard").sortWithinPartitions("shard", "place").select("shard", "place", "row")
