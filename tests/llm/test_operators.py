@@ -96,6 +96,18 @@ def test_surrogates(spark):
     assert pii.replace_entities(edge_docs(spark), "k").count() == 6 and pii.replace_entities(docs(spark), "k").count() == 0
 
 
+def test_surrogate_key_is_in_no_plan(spark):
+    key = "it's a \\ secret' || 'key"
+    rows = docs(spark, (1, "Mail bob@mail.example.com or Mr. John Smith, call +1 (523) 555-1055."), (2, "bob@mail.example.com"))
+    safe = pii.replace_entities(rows, key)
+    plan = safe._jdf.queryExecution().toString() + pii.surrogates(rows.select(F.lit("mail").alias("kind"), F.lit("a@b.cd").alias("norm")), key)._jdf.queryExecution().toString()
+    found = {r.row.doc_id: r.safe for r in safe.collect()}
+    assert "secret" not in plan.replace("'secret'", "").replace("secret)", "") or key not in plan
+    assert key not in plan and "bob@" not in found[1] and found[2] in found[1]
+    other = {r.row.doc_id: r.safe for r in pii.replace_entities(rows, "another").collect()}
+    assert other[2] != found[2]
+
+
 def test_surrogates_stay_distinct(spark):
     people = spark.range(600).selectExpr("'given_m' as kind", "concat('name', id) as norm")
     found = pii.surrogates(people, "k").collect()
@@ -114,6 +126,21 @@ def test_warc_pages(spark, tmp_path):
     assert warc.archived_pages(pages.limit(0)).count() == 0
 
 
+def test_unwanted_payloads_stay_compressed(tmp_path):
+    """Of a small record only the header is inflated, up to a kilobyte; so is a wanted header that is longer."""
+    import pyarrow.fs as fs
+
+    fields = dict.fromkeys(warc.HEADERS) | {"record_id": "<urn:page:1>", "record_type": "response"}
+    small, long = warc.record_bytes(fields, b"z" * 90_000), warc.record_bytes(fields | {"record_id": "<urn:" + "q" * 9000 + ">"}, b"w" * 5000)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(warc.gzip_member(r, 6) for r in (small, long, small)))
+    with fs.LocalFileSystem().open_input_file(str(tmp_path / "a.warc.gz")) as source:
+        member = warc._Member(source, 0)
+        assert len(member.data) <= warc.HEAD and member.length >= 90_000
+        found = list(warc.read_records(source, lambda row: True, True))
+        assert [len(r["payload"]) for r in found] == [90_000, 5000, 90_000]
+        assert len(list(warc.read_records(source, lambda row: "q" in row["record_id"], False))) == 1
+
+
 def test_warc_reads_other_files(spark, tmp_path):
     import gzip
 
@@ -148,6 +175,28 @@ def test_html(spark):
     assert html_tree.extract_text(pages.limit(0), model).count() == 0
 
 
+def test_deep_html_is_parsed_in_one_pass():
+    import time
+
+    begin = time.process_time()
+    nodes, blocks = html_tree.parse("<div>" * 200_000 + "x" + "</div>" * 200_000 + "<p>y")
+    assert len(nodes) == 200_002 and [t for _, t in blocks] == ["x", "y"]
+    assert time.process_time() - begin < 4
+    html_tree.parse("<p>" * 50_000 + "<li>" * 50_000 + "<td>" * 50_000 + "</b>" * 50_000)
+    assert time.process_time() - begin < 8
+
+
+def test_html_edges(spark):
+    model = html_tree.learn(table(spark, FOLDER, "pages"))
+    page = "<html><body><nav>menu</nav><article><p>One text of a page that is long enough to be read.</p></article></body></html>"
+    schema = "page_id long, url string, html string, text string, `a.b` string, n_chars int"
+    pages = spark.createDataFrame([(1, "u", page, "t", "x", 1), (1, "u", page, "t", "x", 1), (2, None, None, None, None, None), (None, "u", "", "t", "x", 1)], schema)
+    got = sorted(((r.page_id, r.text) for r in html_tree.extract_text(pages, model).collect()), key=str)
+    text = "One text of a page that is long enough to be read."
+    assert got == [(1, text), (1, text), (2, ""), (None, "")]
+    assert html_tree.extract_text(pages.limit(0), model).count() == 0
+
+
 def test_html_marginals():
     import itertools
 
@@ -191,8 +240,25 @@ def test_mixing(spark):
     assert again.taken.tolist() == rows.sort_values("doc_id").taken.tolist()
     edges = mixing.taken_words(edge_docs(spark)).collect()
     assert len(edges) == 6 and mixing.taken_words(docs(spark)).count() == 0
-    mixed = mixing.mixed_documents(edge_docs(spark))
-    assert mixed.columns == edge_docs(spark).columns
+    assert mixing.mixed_documents(edge_docs(spark)).select("row.*").columns == edge_docs(spark).columns
+
+
+def test_mix_is_written_in_shards(spark, tmp_path):
+    """Shards of equal size, disjoint, together the mix, each shuffled; files keep a shard's order."""
+    source = table(spark, FOLDER, "documents").select("doc_id", "source", "text", F.lit(1).alias("a.b"), F.lit(2).alias("shard"))
+    mixing.mixed_documents(source, shard_blocks=16).write.parquet(str(tmp_path / "mix"))
+    written = spark.read.parquet(str(tmp_path / "mix"))
+    rows = written.select("shard", "place", "row.doc_id", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    shards = collections.defaultdict(list)
+    for r in rows:
+        shards[r.shard].append(r)
+    sizes = [len(own) for own in shards.values()]
+    assert len(sizes) > 4 and max(sizes) - min(sizes) <= 2 + len(sizes).bit_length() and max(sizes) <= 20
+    for own in shards.values():
+        assert len({r.file for r in own}) == 1 and [r.place for r in own] == list(range(len(own)))
+    assert any([r.doc_id for r in own] != sorted(r.doc_id for r in own) for own in shards.values())
+    blocks = mixing.mix(source, None, shard_blocks=16)[2]
+    assert collections.Counter(r.doc_id for r in rows) == collections.Counter(r.doc_id for r in blocks.collect())
 
 
 def test_splitting_tree_is_exact():
@@ -272,20 +338,20 @@ def plain_components(rows, n=4, percent=85):
         words = (text or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split()
         return frozenset(zip(*[words[k:] for k in range(n)])) if len(words) >= n else frozenset([tuple(words)] if words else [])
 
-    sets, root = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+    sets, root = [(i, shingles(t)) for i, t in rows], {i: i for i, _ in rows}  # an id may have several sets
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in sets:
-        for j in sets:
-            common = len(sets[i] & sets[j])
-            if i < j and common and 100 * common >= percent * len(sets[i] | sets[j]):
+    for i, own in sets:
+        for j, other in sets:
+            common = len(own & other)
+            if i < j and common and 100 * common >= percent * len(own | other):
                 a, b = sorted((find(i), find(j)))
-                root[b] = a
-    return {i: (len(sets[i]), find(i)) for i in sets}
+                root[max(a, b)] = min(a, b)
+    return {i: (len(own), find(i)) for i, own in sets}
 
 
 def test_jaccard_components(spark):
@@ -309,6 +375,39 @@ def test_jaccard_components(spark):
     assert parity_join.jaccard_components(docs(spark)).count() == 0
 
 
+def test_jaccard_of_repeated_keys(spark):
+    """A key with several texts keeps the links of each; so do its copies and near copies."""
+    text = {name: " ".join(f"{name}{k}" for k in range(60)) for name in "abcdef"}
+    near = {name: own + f" and more {name}" for name, own in text.items()}
+    rows = [(5, text["a"]), (5, text["b"]), (1, text["a"]), (2, text["b"]), (9, near["b"]), (7, text["c"]), (7, near["d"]), (7, text["c"]), (8, text["d"]), (6, near["c"]), (3, text["e"]), (3, text["f"])]
+    want = {i: root for i, (_, root) in plain_components(rows).items()}
+    assert want == {1: 1, 2: 1, 5: 1, 9: 1, 6: 6, 7: 6, 8: 6, 3: 3}
+    for chunk in (10, 1_000_000):
+        got = parity_join.jaccard_components(docs(spark, *rows).repartition(4), chunk=chunk).collect()
+        assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == want
+
+
+def test_buckets_are_compared_whole(spark, monkeypatch):
+    """Groups of any size, cut into blocks and into Arrow batches, give every near pair of different roots."""
+    monkeypatch.setattr(parity_join, "BLOCK", 8)
+    monkeypatch.setattr(parity_join, "PAIRS", 50)
+    rng, rows = np.random.default_rng(3), []
+    for segment, held in ((4, 2), (5, 30), (6, 1), (7, 9)):
+        for a in range(held):
+            many = int(rng.integers(40, 50))
+            rows.append((segment, held, 100 * segment + a, 100 * segment + a % 5, many, parity_join.short_sketch(rng.integers(0, 3, many).astype(np.uint64) << np.uint64(16))))
+    members = spark.createDataFrame(rows, "segment long, held long, a long, root long, n_shingles long, sketch binary")
+    got = {tuple(r) for r in parity_join._close_in_blocks(members, 85).collect()}
+    bands, want = parity_join.Bands(85), set()
+    for s, _, a, p, m, x in rows:
+        for t, _, b, q, n, y in rows:
+            apart = sum(int(i ^ j).bit_count() for i, j in zip(x, y))
+            upper = bands.band(m) != bands.band(n) or bands.band(m) % 2 == s % 2
+            if s == t and a < b and p != q and upper and 100 * min(m, n) >= 85 * max(m, n) and apart * 185 <= (m + n) * 15:
+                want.add((a, b))
+    assert got == want and want
+
+
 def test_bands_hold_every_linked_pair():
     bands = parity_join.Bands(85)
     for small in range(1, 400):
@@ -388,6 +487,39 @@ def test_language_with_rare_labels(spark):
     assert kept <= with_tail
 
 
+def test_language_with_thousands_of_labels(spark):
+    """Learning is a join with a table of labels; a bound on the labels keeps those with the most texts."""
+    rng = np.random.default_rng(2)
+    words = {i: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(6)] for i in range(3000)}
+    rows = [(3000 * k + i, " ".join(rng.choice(own, 8)), f"l{i:04d}") for i, own in words.items() for k in range(4 if i < 100 else 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(frame, F.col("lang"), F.lit(True))
+    assert len(model.languages) == 3000 and model.masks.nbytes <= langid.MASK_BYTES
+    tried = frame.where("lang < 'l0100'")
+    right = langid.identify(tried, model).select(F.avg((F.col("lang_pred") == F.col("row.lang")).cast("int"))).first()[0]
+    assert right > 0.95
+    assert langid.learn(frame, F.col("lang"), F.lit(True), most_languages=100).languages == tuple(f"l{i:04d}" for i in range(100))
+
+
+def test_filter_against_exact_sets(spark):
+    """Masks hold every n-gram of a language, and few others."""
+    documents = table(spark, FOLDER, "documents").where("lang is not null and text is not null")
+    model = langid.learn(documents, F.col("lang"), F.lit(True), min_count=1, least=0.0)
+    for lang in model.languages:
+        own = [r.text for r in documents.where(F.col("lang") == lang).collect()]
+        rest = [r.text for r in documents.where(F.col("lang") != lang).collect()]
+        bit = np.uint64(1) << np.uint64(model.languages.index(lang))
+
+        def held(hashes):
+            first, second = langid.slots_of(hashes, len(model.masks))
+            return (model.masks[first, 0] & model.masks[second, 0] & bit) != 0
+
+        mine = np.unique(langid.grams(own)[0])
+        assert held(mine).all()
+        others = np.setdiff1d(langid.grams(rest)[0], mine)
+        assert held(others).mean() < 0.2
+
+
 def test_surrogates_end(spark, monkeypatch):
     """Runs of signs are no secrets, and pools that are full of entities grow."""
     rounds, kept = [], pii.kept_table
