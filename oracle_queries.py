@@ -520,6 +520,18 @@ ORACLE: dict[str, str] = {
     "velocity_24h": f"WITH {TX}, {windows('tx', {'24h': '24 hours'})} SELECT * FROM feat",
     "rolling_velocity": f"WITH {TX}, {VELOCITY} SELECT * FROM velocity",
     "amount_deviation": f"WITH {TX}, {DEVIATION} SELECT * FROM deviation",
+    "amount_percentile": f"""WITH {TX}, pairs AS (
+        SELECT a.transaction_id, count(b.amount) AS n, count(*) FILTER (b.amount <= a.amount) AS upto, any_value(a.amount) AS amount
+        FROM tx a LEFT JOIN tx b ON a.account_id = b.account_id AND b.event_timestamp < a.event_timestamp
+          AND b.event_timestamp >= a.event_timestamp - INTERVAL 30 DAY GROUP BY a.transaction_id)
+      SELECT transaction_id, n AS prior_amount_count,
+        CASE WHEN n > 0 AND amount IS NOT NULL THEN {half_up("upto / n", 8)} END AS amount_percentile FROM pairs""",
+    "rolling_median": f"""WITH {TX}, w AS (
+        SELECT transaction_id, amount, count(amount) OVER recent AS n, CAST(quantile_disc(amount, 0.5) OVER recent AS DOUBLE) AS median FROM tx
+        WINDOW recent AS (PARTITION BY account_id ORDER BY event_timestamp
+          RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING))
+      SELECT transaction_id, n AS prior_amount_count, median AS rolling_median,
+        {half_up("CAST(amount AS DOUBLE) / nullif(median, 0)", 6)} AS amount_vs_median FROM w""",
     "impossible_travel": f"WITH {TX}, {TRAVEL} SELECT * FROM travel",
     "countries_seen": f"WITH {TX}, {COUNTRY_COUNT} SELECT * FROM countries",
     "new_device_merchant": f"WITH {TX}, {NEW_PAIRS} SELECT * FROM pairs",

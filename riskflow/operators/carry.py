@@ -153,6 +153,45 @@ def running_totals(
     )
 
 
+def totals_at(
+    added: DataFrame,
+    reads: DataFrame,
+    key: Sequence[str],
+    measures: Sequence[str],
+    parts: int | None = None,
+) -> DataFrame:
+    """Exact totals per key up to given points in time; what is read need not be what is added.
+
+    ``added`` has ``key``, ``at`` (a number), ``transaction_id`` and ``measures`` (whole numbers); ``reads``
+    has ``key``, ``at``, ``transaction_id`` and ``probe``. Each row of ``reads`` comes back
+    with the sums of the measures over the rows of its key with ``at`` no later than its own.
+    Only added rows carry measures.
+    """
+    held = F.struct(*[F.col(name).cast("bigint").alias(name) for name in measures]).alias("adds")
+    place = [*key, "at", "transaction_id"]
+    both = added.select(*place, F.lit(None).cast("string").alias("probe"), held).unionByName(
+        reads.select(*place, "probe"), allowMissingColumns=True
+    )
+    # At one instant all that is added (probe NULL) comes before all that is read.
+    ordering = ["at", "probe", "transaction_id"]
+    rows = in_parts(both, [*key, *ordering], parts)
+    sums = [F.sum(f"adds.{name}").alias(name) for name in measures]
+    per_part = rows.groupBy(*key, "carry_part").agg(*sums)
+    earlier = W.partitionBy(*key).orderBy("carry_part").rowsBetween(W.unboundedPreceding, -1)
+    before = [F.sum(name).over(earlier).alias(name) for name in measures]
+    carry = per_part.select(*key, "carry_part", F.struct(*before).alias("adds"))
+    carry = carry.where(F.col(f"adds.{measures[0]}").isNotNull())
+    upto = (
+        W.partitionBy("carry_part", *key)
+        .orderBy(*ordering)
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    totals = [F.coalesce(F.sum(f"adds.{name}").over(upto), F.lit(0)).alias(name) for name in measures]
+    # A carry row has no time, so it sorts before all rows that have one.
+    summed = rows.unionByName(carry, allowMissingColumns=True).select(*key, "at", "transaction_id", "probe", *totals)
+    return summed.where(F.col("probe").isNotNull())
+
+
 def first_of_pair(events: DataFrame, pair: Sequence[str], flag: str) -> DataFrame:
     """``(transaction_id, flag)`` for rows where all of ``pair`` meet for the first time.
 

@@ -18,6 +18,7 @@ from riskflow.functions.geo import grid_cell, haversine_km
 from riskflow.functions.wire import canonical_value, keyed_records
 from riskflow.operators import behaviour as B
 from riskflow.operators import evaluate, marts, quality, rules
+from riskflow.operators.order_stats import amount_order
 from riskflow.operators.parse import deduplicate, parse_events, prepare_events
 from riskflow.operators.signals import with_transaction_signals
 from riskflow.operators.validate import dead_letters, route, valid_events, validate_events
@@ -381,6 +382,19 @@ def _travel(events: DataFrame) -> DataFrame:
     return B.travel(events, min_km=25.0)
 
 
+def q_amount_percentile(spark, folder):
+    found = amount_order(read_transactions(spark, folder))
+    return _rounded(found, 8, "amount_percentile").select("transaction_id", "prior_amount_count", "amount_percentile")
+
+
+def q_rolling_median(spark, folder):
+    """Over two hours, so that windows of the table's fifteen hours move."""
+    found = amount_order(read_transactions(spark, folder), "2 hours")
+    return _rounded(found, 6, "amount_vs_median").select(
+        "transaction_id", "prior_amount_count", "rolling_median", "amount_vs_median"
+    )
+
+
 def q_travel(spark, folder):
     return _travel(read_transactions(spark, folder))
 
@@ -626,6 +640,8 @@ QUERIES: dict[str, Query] = {
     "velocity_24h": q_velocity_24h,
     "rolling_velocity": q_rolling_velocity,
     "amount_deviation": q_amount_deviation,
+    "amount_percentile": q_amount_percentile,
+    "rolling_median": q_rolling_median,
     "impossible_travel": q_travel,
     "countries_seen": q_countries,
     "new_device_merchant": q_new_pairs,
