@@ -608,3 +608,28 @@ ORACLE: dict[str, str] = {
     "model_logistic_summary": MODEL_SUMMARY,
     "model_boosted_trees_summary": MODEL_SUMMARY,
 }
+
+# The streams give what the batch queries give.
+ORACLE["stream_previous"] = ORACLE["impossible_travel"]
+ORACLE["stream_new_pairs"] = ORACLE["new_device_merchant"]
+ORACLE["stream_temporal"] = ORACLE["temporal_features"]
+
+GROUPED = """count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS amount_sum, CAST(max(amount) AS DOUBLE) AS amount_max,
+        count(*) FILTER (transaction_type = 'REFUND') AS refund_count"""
+SESSIONS = f"""WITH {TX}, marked AS (
+        SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER w <= INTERVAL 2 MINUTE THEN 0 ELSE 1 END AS starts
+        FROM tx WINDOW w AS (PARTITION BY account_id ORDER BY event_timestamp, event_id)),
+      numbered AS (SELECT *, sum(starts) OVER (PARTITION BY account_id ORDER BY event_timestamp, event_id) AS session FROM marked),
+      sessions AS (SELECT account_id, min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL 2 MINUTE AS session_end, {GROUPED}
+        FROM numbered GROUP BY account_id, session)"""
+SLIDING = f"""WITH {TX}, placed AS (
+        SELECT *, unnest(range(3)) AS back FROM tx),
+      windows AS (SELECT account_id, time_bucket(INTERVAL 10 MINUTE, event_timestamp) - back * INTERVAL 10 MINUTE AS window_start, {GROUPED}
+        FROM placed GROUP BY ALL),
+      slid AS (SELECT account_id, window_start, window_start + INTERVAL 30 MINUTE AS window_end, txn_count, amount_sum, amount_max, refund_count FROM windows)"""
+# A stream has closed what ended before the watermark: ten minutes behind the newest event, in whole milliseconds.
+CLOSED = "(SELECT date_trunc('millisecond', max(event_timestamp)) - INTERVAL 10 MINUTE FROM tx)"
+ORACLE["account_sessions"] = f"{SESSIONS} SELECT * FROM sessions"
+ORACLE["stream_sessions"] = f"{SESSIONS} SELECT * FROM sessions WHERE session_end <= {CLOSED}"
+ORACLE["sliding_windows"] = f"{SLIDING} SELECT * FROM slid"
+ORACLE["stream_sliding_windows"] = f"{SLIDING} SELECT * FROM slid WHERE window_end <= {CLOSED}"

@@ -168,6 +168,13 @@ def travel(
             "previous_country": "country",
         },
     )
+    return travel_columns(linked, max_speed_kmh, min_km)
+
+
+def travel_columns(
+    linked: DataFrame, max_speed_kmh: float = MAX_SPEED_KMH, min_km: float = MIN_TRAVEL_KM
+) -> DataFrame:
+    """``travel`` from rows that already have the previous time, place and country."""
     km = haversine_km(
         F.col("previous_latitude"), F.col("previous_longitude"), F.col("latitude"), F.col("longitude")
     )
@@ -313,14 +320,16 @@ def temporal(
             "hour_of_day",
             "day_of_week",
             "weekend",
-            (
-                (F.col("all_n") >= min_history)
-                & (F.col("hour_n") < F.col("all_n") * F.lit(unusual_share))
-            ).alias("unusual_hour_for_account"),
+            unusual_hour(F.col("all_n"), F.col("hour_n"), unusual_share, min_history),
         )
     )
 
 
+def unusual_hour(seen: Column, same_hour: Column, unusual_share: float, min_history: int) -> Column:
+    rare = same_hour < seen * F.lit(unusual_share)
+    return ((seen >= min_history) & rare).alias("unusual_hour_for_account")
+
+
 def with_features(events: DataFrame, features: Sequence[DataFrame]) -> DataFrame:
     """Events with any of the feature tables above, joined on ``transaction_id``.
 

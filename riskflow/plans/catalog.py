@@ -19,7 +19,8 @@ from riskflow.functions.wire import canonical_value, keyed_records
 from riskflow.operators import behaviour as B
 from riskflow.operators import evaluate, marts, quality, rules
 from riskflow.operators.order_stats import amount_order
-from riskflow.operators.parse import deduplicate, parse_events, prepare_events
+from riskflow.operators.parse import deduplicate, parse_events, prepare_events, with_event_time
+from riskflow.operators.sessions import account_sessions, sliding_windows
 from riskflow.operators.signals import with_transaction_signals
 from riskflow.operators.validate import dead_letters, route, valid_events, validate_events
 from riskflow.operators.windows import DAY_WINDOW, account_window_features, window_features
@@ -30,6 +31,7 @@ from riskflow.settings import FeatureSettings
 from riskflow.sources.generator import HOME
 from riskflow.sources.records import FAULT_CASES, peek_records, raw_records, with_faults
 from riskflow.sources.tables import read_table, read_transactions, transactions_from_events
+from riskflow.streaming.keyed import pair_state, pairs_by_transaction, start_keyed, temporal_stream, travel_stream
 from riskflow.streaming.queries import silver_stream, start_gold, start_router_files, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,6 +351,42 @@ def q_stream_routed_values(spark, folder):
     return _routed_content(spark.read.parquet(f"{base}/table"))
 
 
+def _keyed(spark: SparkSession, folder: str, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A keyed-state stream over all events, read back from its table."""
+    base = shared_folder(spark, "stream-keyed")
+    events = with_event_time(transactions_from_events(_event_stream(spark, folder)))
+    start_keyed(rows(events), "keyed", f"{base}/table", f"{base}/checkpoint", None, _state_partitions(spark)).awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+def q_sessions(spark, folder):
+    return account_sessions(read_transactions(spark, folder), "2 minutes")
+
+
+def q_sliding(spark, folder):
+    return sliding_windows(read_transactions(spark, folder))
+
+
+def q_stream_sessions(spark, folder):
+    return _keyed(spark, folder, lambda events: account_sessions(events, "2 minutes"))
+
+
+def q_stream_sliding(spark, folder):
+    return _keyed(spark, folder, sliding_windows)
+
+
+def q_stream_travel(spark, folder):
+    return _keyed(spark, folder, lambda events: travel_stream(events, min_km=25.0))
+
+
+def q_stream_pairs(spark, folder):
+    return pairs_by_transaction(_keyed(spark, folder, pair_state))
+
+
+def q_stream_temporal(spark, folder):
+    return _keyed(spark, folder, lambda events: temporal_stream(events, unusual_share=0.06))
+
+
 # --- behaviour features -----------------------------------------------------------
 
 
@@ -637,6 +675,13 @@ QUERIES: dict[str, Query] = {
     "stream_gold_from_silver": q_stream_gold_from_silver,
     "stream_router": q_stream_router,
     "stream_routed_values": q_stream_routed_values,
+    "account_sessions": q_sessions,
+    "sliding_windows": q_sliding,
+    "stream_sessions": q_stream_sessions,
+    "stream_sliding_windows": q_stream_sliding,
+    "stream_previous": q_stream_travel,
+    "stream_new_pairs": q_stream_pairs,
+    "stream_temporal": q_stream_temporal,
     "velocity_24h": q_velocity_24h,
     "rolling_velocity": q_rolling_velocity,
     "amount_deviation": q_amount_deviation,

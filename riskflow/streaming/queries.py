@@ -116,6 +116,19 @@ def start_gold(
     )
 
 
+def start_table(
+    rows: DataFrame,
+    name: str,
+    path: str,
+    checkpoint: str,
+    trigger_seconds: int | None = 5,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append any stream to a Parquet table."""
+    writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _start(writer, rows.sparkSession, name, checkpoint, trigger_seconds, state_partitions)
+
+
 def start_console(
     features: DataFrame, checkpoint: str, trigger_seconds: int | None = 5
 ) -> StreamingQuery:
