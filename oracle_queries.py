@@ -633,3 +633,12 @@ ORACLE["account_sessions"] = f"{SESSIONS} SELECT * FROM sessions"
 ORACLE["stream_sessions"] = f"{SESSIONS} SELECT * FROM sessions WHERE session_end <= {CLOSED}"
 ORACLE["sliding_windows"] = f"{SLIDING} SELECT * FROM slid"
 ORACLE["stream_sliding_windows"] = f"{SLIDING} SELECT * FROM slid WHERE window_end <= {CLOSED}"
+ORACLE["merge_partitions"] = f"""WITH {TX}, dated AS (
+        SELECT transaction_id, account_id, amount, event_timestamp AS processed_at, event_id,
+          CAST(event_timestamp AS DATE) + CAST(event_id % 20 AS INTEGER) AS event_date FROM tx)
+      SELECT transaction_id, account_id,
+        CAST(CASE WHEN late THEN amount + 1 ELSE amount END AS DOUBLE) AS amount,
+        CASE WHEN late THEN processed_at + INTERVAL 1 HOUR ELSE processed_at END AS processed_at,
+        CASE WHEN late AND event_id % 3 = 0 THEN event_date + 1 ELSE event_date END AS event_date
+      FROM (SELECT *, event_id % 20 = 7 AND event_id % 3 <> 2 AS late FROM dated)"""
+ORACLE["stream_alerts"] = ORACLE["alerts"]

@@ -25,6 +25,7 @@ from riskflow.operators.signals import with_transaction_signals
 from riskflow.operators.validate import dead_letters, route, valid_events, validate_events
 from riskflow.operators.windows import DAY_WINDOW, account_window_features, window_features
 from riskflow.plans import lake, models
+from riskflow.plans.merge import merge_into, start_merge
 from riskflow.plans.pipeline import build_lake, refine, upsert
 from riskflow.session import configure, shared_folder, stored_table
 from riskflow.settings import FeatureSettings
@@ -644,6 +645,51 @@ def q_upsert(spark, folder):
     return upsert(existing, updates.unionByName(updates))
 
 
+def _changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A dated table, and late changes: new amounts, some rows moved to the next day, and new rows, each twice."""
+    columns = ["transaction_id", "account_id", "amount", F.col("event_timestamp").alias("processed_at")]
+    events = read_transactions(spark, folder).select(*columns, F.to_date("event_timestamp").alias("event_date"))
+    spread = F.date_add("event_date", F.pmod(number_of(), F.lit(20)).cast("int"))
+    events = events.withColumn("event_date", spread)
+    late = (number_of() % 20 == 7) & (number_of() % 3 != 2)
+    moved = F.when(number_of() % 3 == 0, F.date_add("event_date", 1)).otherwise(F.col("event_date"))
+    changes = events.where(late).withColumns(
+        {
+            "amount": (F.col("amount") + 1).cast("decimal(12,2)"),
+            "processed_at": F.col("processed_at") + F.expr("interval 1 hour"),
+            "event_date": moved,
+        }
+    )
+    return events.where(~((number_of() % 20 == 7) & (number_of() % 3 == 1))), changes.unionByName(changes)
+
+
+def q_merge(spark, folder):
+    """Late changes merged twice into a table of twenty dates, two of them touched."""
+    existing, changes = _changes(spark, folder)
+    path = shared_folder(spark, "merged-table")
+    lake.write_table(existing, path, ("event_date",))
+    for _ in range(2):
+        merge_into(spark, path, changes, ["event_date"])
+    return spark.read.parquet(path)
+
+
+def q_stream_alerts(spark, folder):
+    """Alerts of decided rows, upserted by date from a stream that brings every row twice."""
+    base = shared_folder(spark, "alerts")
+    decided = _decided(spark, folder).withColumn("processed_at", F.col("event_timestamp"))
+    for _ in range(2):
+        decided.write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(decided.schema).option("maxFilesPerTrigger", 64).parquet(f"{base}/in")
+    columns = ["transaction_id", "account_id", "event_timestamp", "risk_score", "decision", "processed_at"]
+
+    def found(rows: DataFrame) -> DataFrame:
+        alerts = rules.alerts(rows, min_risk=0.6, start=HALF_WAY).select(*columns)
+        return alerts.withColumn("alert_date", F.to_date("event_timestamp"))
+
+    start_merge(stream, f"{base}/table", f"{base}/checkpoint", ["alert_date"], "alerts", trigger_seconds=None, prepare=found).awaitTermination()
+    return spark.read.parquet(f"{base}/table").select(*columns[:5])
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "prepare_events": q_prepare_events,
@@ -717,6 +763,8 @@ QUERIES: dict[str, Query] = {
     "fraud_rate_by_country": q_fraud_rate("country"),
     "replay_slice": q_replay,
     "upsert_transactions": q_upsert,
+    "merge_partitions": q_merge,
+    "stream_alerts": q_stream_alerts,
 }
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskflow.contract import GOLD_COLUMNS, GOLD_PARTITIONS, SILVER_COLUMNS, SILVER_PARTITIONS
+from riskflow.contract import GOLD_COLUMNS, GOLD_PARTITIONS, SILVER_COLUMNS, SILVER_PARTITIONS, transaction_schema
 
 # Exit codes of the readiness gate.
 SILVER_MISSING_CODE = 2
@@ -21,6 +22,12 @@ def silver_transactions(events: DataFrame) -> DataFrame:
     )
 
 
+def silver_schema() -> T.StructType:
+    """The schema of the Silver table, known before it has any files."""
+    partitions = [T.StructField("event_date", T.DateType()), T.StructField("event_hour", T.IntegerType())]
+    return T.StructType([*transaction_schema().fields, *partitions])
+
+
 def gold_account_features(features: DataFrame) -> DataFrame:
     """Window features plus the date of the window start, in table order."""
     return features.withColumn("window_date", F.to_date("window_start")).select(*GOLD_COLUMNS)
@@ -66,18 +73,19 @@ def replay(
 ) -> DataFrame:
     """Bronze records of a time range and account, ready for validation again.
 
-    ``start`` is inclusive, ``end`` exclusive (UTC text). Both also restrict the date
-    partitions, so only those folders are listed and read.
+    ``start`` is inclusive, ``end`` exclusive (UTC text). Both also restrict the date partitions, and on the
+    first and last date the hours, so only those folders are listed and read.
     """
     records = spark.read.parquet(bronze_path)
+    day, hour = F.col("arrival_date"), F.col("arrival_hour")
     if start is not None:
-        records = records.where(F.col("timestamp") >= F.lit(start).cast("timestamp")).where(
-            F.col("arrival_date") >= F.lit(start).cast("date")
-        )
+        since = F.lit(start).cast("timestamp")
+        first = F.to_date(since)
+        records = records.where(F.col("timestamp") >= since).where((day > first) | ((day == first) & (hour >= F.hour(since))))
     if end is not None:
-        records = records.where(F.col("timestamp") < F.lit(end).cast("timestamp")).where(
-            F.col("arrival_date") <= F.lit(end).cast("date")
-        )
+        until = F.lit(end).cast("timestamp")
+        last = F.to_date(until)
+        records = records.where(F.col("timestamp") < until).where((day < last) | ((day == last) & (hour <= F.hour(until))))
     if account_id is not None:
         records = records.where(F.col("key") == F.lit(account_id).cast("binary"))
     return records

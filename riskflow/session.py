@@ -46,6 +46,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, if it is not there, in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared ``spark.checkpoint.dir``.
 

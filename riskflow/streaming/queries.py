@@ -6,7 +6,7 @@ checkpoint, so choose it before the first start.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,8 @@ from riskflow.contract import GOLD_PARTITIONS, SILVER_PARTITIONS
 from riskflow.operators.parse import prepare_events, with_event_time
 from riskflow.operators.validate import route
 from riskflow.operators.windows import account_window_features
-from riskflow.plans.lake import gold_account_features, silver_transactions
+from riskflow.plans.lake import gold_account_features, silver_schema, silver_transactions
+from riskflow.session import make_folder
 from riskflow.settings import LogSettings, StreamSettings
 
 
@@ -129,6 +130,17 @@ def start_table(
     return _start(writer, rows.sparkSession, name, checkpoint, trigger_seconds, state_partitions)
 
 
+def start_batches(
+    rows: DataFrame,
+    handle: Callable[[DataFrame, int], None],
+    name: str,
+    checkpoint: str,
+    trigger_seconds: int | None = 5,
+) -> StreamingQuery:
+    """Hand every micro-batch and its number to ``handle``, which must bear being given a batch again."""
+    return _start(rows.writeStream.foreachBatch(handle), rows.sparkSession, name, checkpoint, trigger_seconds)
+
+
 def start_console(
     features: DataFrame, checkpoint: str, trigger_seconds: int | None = 5
 ) -> StreamingQuery:
@@ -178,22 +190,28 @@ def start_router_log(
 
 
 def silver_stream(spark: SparkSession, path: str, watermark: str) -> DataFrame:
-    """The Silver table as a stream of already de-duplicated transactions."""
-    schema = spark.read.parquet(path).schema
-    return with_event_time(spark.readStream.schema(schema).parquet(path), watermark)
+    """The Silver table as a stream of already de-duplicated transactions; it may still be empty."""
+    make_folder(spark, path)
+    stream = spark.readStream.schema(silver_schema()).parquet(path)
+    return with_event_time(stream, watermark)
 
 
 def start_lake(
     values: DataFrame, settings: StreamSettings, horizon: str = "watermark"
 ) -> list[StreamingQuery]:
-    """Silver, Gold and, if asked for, the console query over one stream of values."""
-    lake, seconds = settings.lake, settings.trigger_seconds
+    """Silver, Gold and, if asked for, the console query over one stream of values.
+
+    Values are parsed and de-duplicated once, by the Silver query; the others read the Silver table as a
+    stream. So the ids are remembered in one state, not in one per query and window size.
+    """
+    lake, seconds, spark = settings.lake, settings.trigger_seconds, values.sparkSession
     events = prepare_events(values, settings.watermark, horizon)
     started = [start_silver(events, lake.silver_path, lake.silver_checkpoint, seconds)]
-    features = account_window_features(events, settings.features)
+    silver = silver_stream(spark, lake.silver_path, settings.watermark)
+    features = account_window_features(silver, settings.features)
     started.append(start_gold(features, lake.gold_path, lake.gold_checkpoint, seconds))
     if lake.console_sink:
-        open_windows = account_window_features(events, settings.features, update_mode=True)
+        open_windows = account_window_features(silver, settings.features, update_mode=True)
         started.append(start_console(open_windows, lake.console_checkpoint, seconds))
     return started
 
