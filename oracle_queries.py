@@ -642,3 +642,21 @@ ORACLE["merge_partitions"] = f"""WITH {TX}, dated AS (
         CASE WHEN late AND event_id % 3 = 0 THEN event_date + 1 ELSE event_date END AS event_date
       FROM (SELECT *, event_id % 20 = 7 AND event_id % 3 <> 2 AS late FROM dated)"""
 ORACLE["stream_alerts"] = ORACLE["alerts"]
+ORACLE["distinct_sketches"] = f"""WITH {TX} SELECT account_id, CAST(event_timestamp AS DATE) AS day,
+        count(DISTINCT merchant_id) AS exact_merchants, count(DISTINCT device_id) AS exact_devices,
+        count(DISTINCT transaction_id) AS exact_transactions, true AS merchants_close, true AS devices_close, true AS transactions_close
+      FROM tx GROUP BY ALL"""
+ORACLE["psi_sketches"] = f"""WITH {TX}, halves AS (
+        SELECT CAST(amount * 100 AS BIGINT) AS cents, event_timestamp < TIMESTAMP '2024-01-01 07:00:00' AS old FROM tx WHERE amount IS NOT NULL),
+      cuts AS (SELECT list_distinct(quantile_disc(cents, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS cuts FROM halves WHERE old),
+      binned AS (SELECT old, len(list_filter(cuts, lambda c: c < cents)) AS bin FROM halves, cuts),
+      bins AS (SELECT bin, count(*) FILTER (old) AS o, count(*) FILTER (NOT old) AS n FROM binned GROUP BY 1),
+      shares AS (SELECT (o + 0.5::DOUBLE) / (sum(o) OVER () + 0.5::DOUBLE * count(*) OVER ()) AS p,
+        (n + 0.5::DOUBLE) / (sum(n) OVER () + 0.5::DOUBLE * count(*) OVER ()) AS q FROM bins)
+      SELECT 'amount' AS feature, count(*) AS bins, {half_up("sum((q - p) * ln(q / p))", 8)} AS exact_psi, true AS close FROM shares"""
+ORACLE["stream_dead_letter_rate"] = f"""WITH {TX}, c AS (
+        SELECT count(*) AS n, count(*) FILTER (event_id % 16 < 10) AS dead FROM tx)
+      SELECT n AS rows, dead AS dead_letters, {half_up("dead / n", 8)} AS dead_letter_rate FROM c"""
+ORACLE["stream_duplicate_rate"] = f"""WITH c AS (SELECT count(*) AS n, count(*) FILTER (event_id % 10 = 0) AS twice FROM events)
+      SELECT n + twice AS rows, twice AS duplicates, {half_up("1 - n / (n + twice)", 8)} AS duplicate_rate FROM c"""
+ORACLE["isolation_forest_summary"] = "SELECT count(*) AS rows_scored, count(*) AS in_range, true AS largest_stands_out FROM events"

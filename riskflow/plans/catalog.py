@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.contract import COUNTRIES
 from riskflow.functions.geo import grid_cell, haversine_km
@@ -22,9 +23,16 @@ from riskflow.operators.order_stats import amount_order
 from riskflow.operators.parse import deduplicate, parse_events, prepare_events, with_event_time
 from riskflow.operators.sessions import account_sessions, sliding_windows
 from riskflow.operators.signals import with_transaction_signals
+from riskflow.operators.sketches import (
+    distinct_error,
+    distinct_sketches,
+    quantile_sketches,
+    sketched_stability,
+    united_distincts,
+)
 from riskflow.operators.validate import dead_letters, route, valid_events, validate_events
 from riskflow.operators.windows import DAY_WINDOW, account_window_features, window_features
-from riskflow.plans import lake, models
+from riskflow.plans import forest, lake, models
 from riskflow.plans.merge import merge_into, start_merge
 from riskflow.plans.pipeline import build_lake, refine, upsert
 from riskflow.session import configure, shared_folder, stored_table
@@ -32,8 +40,16 @@ from riskflow.settings import FeatureSettings
 from riskflow.sources.generator import HOME
 from riskflow.sources.records import FAULT_CASES, peek_records, raw_records, with_faults
 from riskflow.sources.tables import read_table, read_transactions, transactions_from_events
+from riskflow.streaming.history import (
+    ProgressHistory,
+    dead_letter_rate,
+    duplicate_rate,
+    history,
+    observed_routing,
+    observed_rows,
+)
 from riskflow.streaming.keyed import pair_state, pairs_by_transaction, start_keyed, temporal_stream, travel_stream
-from riskflow.streaming.queries import silver_stream, start_gold, start_router_files, start_silver
+from riskflow.streaming.queries import silver_stream, start_gold, start_router_files, start_silver, start_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -690,6 +706,90 @@ def q_stream_alerts(spark, folder):
     return spark.read.parquet(f"{base}/table").select(*columns[:5])
 
 
+# --- sketches, history, anomalies ----------------------------------------------------------
+
+
+def q_distinct_sketches(spark, folder):
+    """Five-minute sketches, stored and united per account and day, against exact counts."""
+    events = read_transactions(spark, folder)
+    values = {"merchants": "merchant_id", "devices": "device_id", "transactions": "transaction_id"}
+    stored = stored_table(distinct_sketches(events, values), "sketches")
+    by = ["account_id", F.to_date("window_start").alias("day")]
+    united = united_distincts(stored, list(values), by)
+    exact = events.groupBy("account_id", F.to_date("event_timestamp").alias("day")).agg(
+        *[F.count_distinct(column).alias(f"exact_{name}") for name, column in values.items()]
+    )
+    close = [F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.ceil(F.col(f"exact_{n}") * F.lit(distinct_error())) for n in values]
+    joined = exact.join(united, ["account_id", "day"], "left")
+    return joined.select("account_id", "day", *[f"exact_{n}" for n in values], *[F.coalesce(c, F.lit(False)).alias(f"{n}_close") for c, n in zip(close, values)])
+
+
+def q_psi_sketches(spark, folder):
+    """Hourly sketches of the amounts, united into two halves, against bins at exact quantiles."""
+    events = read_transactions(spark, folder)
+    cents = (F.col("amount") * 100).cast("bigint")
+    sketches = stored_table(quantile_sketches(events, {"amount": cents}, F.date_trunc("hour", "event_timestamp")), "quantiles")
+    half = F.lit("2024-01-01 07:00:00").cast("timestamp")
+    found = sketched_stability(sketches, F.col("period") < half, F.col("period") >= half)
+    cents_old = events.where(F.col("event_timestamp") < half).select(cents.alias("cents"))
+    cents_new = events.where(F.col("event_timestamp") >= half).select(cents.alias("cents"))
+    cuts = cents_old.agg(F.percentile_approx("cents", [i / 10 for i in range(1, 10)], 1_000_000)).first()[0]
+    bin_of = sum((F.coalesce(F.col("cents") > cut, F.lit(False)).cast("int") for cut in sorted(set(cuts))), F.lit(0))
+    exact = quality.population_stability(cents_old.where("cents is not null"), cents_new.where("cents is not null"), bin_of, "amount")
+    both = exact.withColumnRenamed("psi", "exact_psi").join(found.select("feature", "psi"), "feature")
+    return both.select("feature", "bins", half_up(F.col("exact_psi"), 8).alias("exact_psi"), (F.abs(F.col("psi") - F.col("exact_psi")) < 0.02).alias("close"))
+
+
+def _observed(spark: SparkSession, query: StreamingQuery, listener: ProgressHistory) -> DataFrame:
+    query.awaitTermination()
+    listener.wait_for(query.runId)
+    spark.streams.removeListener(listener)
+    return history(spark, listener.path).where(F.col("query_id") == query.id)
+
+
+def q_stream_dead_letter_rate(spark, folder):
+    """The router's own count of dead letters, from the history of its progress."""
+    base = shared_folder(spark, "observed")
+    listener = ProgressHistory(spark, f"{base}/history")
+    spark.streams.addListener(listener)
+    routed = observed_routing(route(_damaged(transactions_from_events(_event_stream(spark, folder)))))
+    query = start_table(routed, "routing", f"{base}/table", f"{base}/checkpoint", None)
+    return _rounded(dead_letter_rate(_observed(spark, query, listener)), 8, "dead_letter_rate").drop("query_name")
+
+
+def q_stream_duplicate_rate(spark, folder):
+    base = shared_folder(spark, "observed")
+    listener = ProgressHistory(spark, f"{base}/history")
+    spark.streams.addListener(listener)
+    doubled = with_event_time(transactions_from_events(_with_copies(_event_stream(spark, folder))))
+    kept = observed_rows(deduplicate(observed_rows(doubled, "arrived")), "kept")
+    query = start_table(kept, "kept", f"{base}/table", f"{base}/checkpoint", None, _state_partitions(spark))
+    return _rounded(duplicate_rate(_observed(spark, query, listener)), 8, "duplicate_rate").drop("query_name")
+
+
+def q_isolation_forest(spark, folder):
+    """All rows scored by a forest over amount and velocity."""
+    events = read_transactions(spark, folder)
+    names = ["amount", "txn_count_5m", "seconds_since_previous_txn"]
+    table = B.with_features(
+        events.select("transaction_id", F.col("amount").cast("double").alias("amount")),
+        [B.rolling_velocity(events, {"5m": "5 minutes"}).select("transaction_id", names[1]), B.travel(events).select("transaction_id", names[2])],
+    )
+    stored = stored_table(table, "forest-input")
+    return forest.score_forest(forest.fit_forest(stored, names), stored).select("transaction_id", "amount", "anomaly_score")
+
+
+def q_isolation_forest_summary(spark, folder):
+    """What holds for any forest: every row once, scores in range, the largest amounts stand out."""
+    scored = stored_table(q_isolation_forest(spark, folder), "forest-scores")
+    top = scored.agg(F.max("amount").alias("most"), F.avg("anomaly_score").alias("mean"))
+    return scored.join(F.broadcast(top), F.col("amount") == F.col("most"), "left").agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col("anomaly_score").between(0, 1)).alias("in_range"),
+        F.coalesce(F.min(F.col("anomaly_score") > F.col("mean")), F.lit(False)).alias("largest_stands_out"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": q_parse_events,
     "prepare_events": q_prepare_events,
@@ -763,6 +863,12 @@ QUERIES: dict[str, Query] = {
     "fraud_rate_by_country": q_fraud_rate("country"),
     "replay_slice": q_replay,
     "upsert_transactions": q_upsert,
+    "distinct_sketches": q_distinct_sketches,
+    "psi_sketches": q_psi_sketches,
+    "stream_dead_letter_rate": q_stream_dead_letter_rate,
+    "stream_duplicate_rate": q_stream_duplicate_rate,
+    "isolation_forest": q_isolation_forest,
+    "isolation_forest_summary": q_isolation_forest_summary,
     "merge_partitions": q_merge,
     "stream_alerts": q_stream_alerts,
 }
