@@ -22,6 +22,7 @@ from riskflow.operators.carry import (
     running_totals,
     with_previous,
 )
+from riskflow.session import stored_table
 
 # --- Fixed values: documented look-backs and travel limits ------------------
 VELOCITY_WINDOWS = {"5m": "5 minutes", "30m": "30 minutes", "24h": "24 hours"}
@@ -31,6 +32,11 @@ MIN_TRAVEL_KM = 500.0
 # ----------------------------------------------------------------------------
 
 _CENTS = "cents"
+PREVIOUS_PLACE = {
+    "previous_latitude": "latitude",
+    "previous_longitude": "longitude",
+    "previous_country": "country",
+}
 
 
 def _cents() -> Column:
@@ -134,18 +140,25 @@ def account_history(
     history: str = HISTORY_DAYS,
     epsilon: float = 0.01,
     countries: str = "24 hours",
+    max_speed_kmh: float = MAX_SPEED_KMH,
+    min_km: float = MIN_TRAVEL_KM,
 ) -> DataFrame:
-    """The columns of velocity, deviation and countries, from one pass over the accounts."""
+    """The columns of velocity, deviation, countries and travel, from one pass over the accounts."""
     measures = {"n": F.lit(1), **_deviation_measures(), **_country_measures()}
     probes = {"now": 0, "prior": 1, **_edges(*windows.values(), history, countries)}
-    totals = running_totals(events, ["account_id"], measures, probes)
-    joined = events.select("transaction_id", "amount").join(totals, "transaction_id")
-    return joined.select(
-        "transaction_id",
+    previous = {"previous_time": "event_timestamp", **PREVIOUS_PLACE}
+    totals = running_totals(events, ["account_id"], measures, probes, previous=previous)
+    own = events.select("transaction_id", "amount", "event_timestamp", *PREVIOUS_PLACE.values())
+    joined = own.join(totals, "transaction_id")
+    linked = joined.select(
+        *own.columns,
+        *previous,
         *_velocity_columns(windows),
         *_deviation_columns(history, epsilon),
         _country_count(countries),
     )
+    features = [c for c in linked.columns if c not in (*own.columns, *previous)]
+    return travel_columns(linked, max_speed_kmh, min_km, features)
 
 
 def travel(
@@ -158,23 +171,18 @@ def travel(
     Travel is impossible when it is longer than ``min_km`` and faster than ``max_speed_kmh``;
     a jump in no time at all counts, although its speed is NULL.
     """
-    linked = with_previous(
-        events,
-        ["account_id"],
-        {
-            "previous_time": "event_timestamp",
-            "previous_latitude": "latitude",
-            "previous_longitude": "longitude",
-            "previous_country": "country",
-        },
-    )
+    narrow = events.select("transaction_id", "account_id", "event_timestamp", *PREVIOUS_PLACE.values())
+    linked = with_previous(narrow, ["account_id"], {"previous_time": "event_timestamp", **PREVIOUS_PLACE})
     return travel_columns(linked, max_speed_kmh, min_km)
 
 
 def travel_columns(
-    linked: DataFrame, max_speed_kmh: float = MAX_SPEED_KMH, min_km: float = MIN_TRAVEL_KM
+    linked: DataFrame,
+    max_speed_kmh: float = MAX_SPEED_KMH,
+    min_km: float = MIN_TRAVEL_KM,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """``travel`` from rows that already have the previous time, place and country."""
+    """``travel`` from rows that already have the previous time, place and country; ``kept`` columns stay."""
     km = haversine_km(
         F.col("previous_latitude"), F.col("previous_longitude"), F.col("latitude"), F.col("longitude")
     )
@@ -190,6 +198,7 @@ def travel_columns(
         F.round(distance / F.nullif(hours, F.lit(0.0)), 3).alias("implied_speed_kmh"),
         ((distance > min_km) & (distance > hours * max_speed_kmh)).alias("impossible_travel"),
         (F.col("country") != F.col("previous_country")).alias("country_changed"),
+        *kept,
     )
 
 
@@ -214,33 +223,34 @@ def new_pairs(events: DataFrame) -> DataFrame:
     )
 
 
-def device_usage(events: DataFrame) -> DataFrame:
-    """Per device: accounts seen so far, use in the last hour and 30 days.
+def device_usage(events: DataFrame, parts: int | None = None) -> DataFrame:
+    """Per device: accounts seen so far, use in the last hour and 30 days."""
+    return device_activity(events, parts).drop("device_country_change")
+
+
+def device_activity(events: DataFrame, parts: int | None = None) -> DataFrame:
+    """The usage of the device, and whether the country changed since it was last used.
 
     The number of distinct accounts is the running count of first meetings, so no set of
-    accounts is ever kept.
+    accounts is ever kept. Counts and the previous country come from one set of parts.
     """
     firsts = first_of_pair(events, ["device_id", "account_id"], "first_meeting")
-    marked = events.join(firsts, "transaction_id", "left")
+    marked = events.select("transaction_id", "device_id", "event_timestamp", "country").join(firsts, "transaction_id", "left")
+    # Cutting parts samples its input first, which would join twice.
+    marked = stored_table(marked, "meetings")
     measures = {"n": F.lit(1), "accounts": F.coalesce(F.col("first_meeting").cast("int"), F.lit(0))}
     probes = {"now": 0, **_edges("1 hour", HISTORY_DAYS)}
-    totals = running_totals(marked, ["device_id"], measures, probes)
-    return totals.select(
+    totals = running_totals(marked, ["device_id"], measures, probes, parts, {"previous_country": "country"})
+    moved = (F.col("country") != F.col("previous_country")).alias("device_country_change")
+    return totals.join(marked.select("transaction_id", "country"), "transaction_id").select(
         "transaction_id",
         F.col("now_accounts").alias("device_account_count"),
         (F.col("now_n") - F.col(f"{_edge('1 hour')}_n")).alias("device_txn_count_1h"),
         (F.col("now_n") - F.col(f"{_edge(HISTORY_DAYS)}_n")).alias("device_seen_count_30d"),
+        moved,
     )
 
 
-def device_activity(events: DataFrame) -> DataFrame:
-    """The usage of the device, and whether the country changed since it was last used."""
-    moved = with_previous(events, ["device_id"], {"previous_country": "country"}).select(
-        "transaction_id", (F.col("country") != F.col("previous_country")).alias("device_country_change")
-    )
-    return device_usage(events).join(moved, "transaction_id")
-
-
 def merchant_history(events: DataFrame) -> DataFrame:
     """Per merchant: prior transactions, mean amount, last-hour velocity and fraud rate.
 

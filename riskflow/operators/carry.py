@@ -89,6 +89,7 @@ def running_totals(
     measures: Mapping[str, Column],
     probes: Mapping[str, int],
     parts: int | None = None,
+    previous: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Exact totals per key up to several points in time before each transaction.
 
@@ -97,23 +98,30 @@ def running_totals(
     ``time <= event time - offset``, as column ``p_m`` next to ``transaction_id``.
     The difference of two probes is a rolling total. Measures should be whole numbers
     or decimals, so that the differences are exact. ``transaction_id`` must be unique.
+
+    ``previous`` adds columns of the key's preceding row by (event_timestamp, transaction_id), as
+    ``with_previous`` does, from the same parts.
     """
-    names = list(measures)
+    names, previous = list(measures), previous or {}
+    before_it = F.struct(*[F.col(source).alias(new) for new, source in previous.items()]) if previous else F.lit(None)
     typed = events.select(
         *key,
         "transaction_id",
         F.unix_micros("event_timestamp").alias("at"),
         *[measure.alias(name) for name, measure in measures.items()],
+        before_it.alias("current"),
     )
     types = {name: _total_type(typed.schema[name].dataType) for name in names}
+    # Only the rows that add to their key carry measures.
+    held = F.struct(*[F.col(name).cast(types[name]).alias(name) for name in names], "current")
+    added = F.when(F.col("at").isNotNull(), held)
 
     def point(probe: str | None, offset: int) -> Column:
         """What the row adds to its key, or a place where the totals are read."""
-        adds = F.col("at").isNotNull() if probe is None else F.lit(False)
         return F.struct(
             (F.col("at") - F.lit(offset)).alias("seen_at"),
             F.lit(probe).cast("string").alias("probe"),
-            *[F.when(adds, F.col(name)).cast(types[name]).alias(f"add_{name}") for name in names],
+            (added if probe is None else F.lit(None)).cast(_struct_type(typed, types)).alias("adds"),
         )
 
     points = [point(None, 0), *[point(tag, offset) for tag, offset in probes.items()]]
@@ -121,23 +129,23 @@ def running_totals(
     ordering = ["seen_at", "probe", "transaction_id"]
     spread = typed.select(*key, "transaction_id", F.inline(F.array(*points)))
     rows = in_parts(spread, [*key, *ordering], parts)
-    added = [f"add_{name}" for name in names]
-    per_part = rows.groupBy(*key, "carry_part").agg(*[F.sum(c).alias(c) for c in added])
+    latest = F.max_by("adds.current", F.when(F.col("adds").isNotNull(), F.struct(*ordering)))
+    sums = [F.sum(f"adds.{name}").alias(name) for name in names]
+    per_part = rows.groupBy(*key, "carry_part").agg(*sums, latest.alias("current"))
     earlier = W.partitionBy(*key).orderBy("carry_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = [F.sum(name).over(earlier).alias(name) for name in names]
+    last = F.last("current", ignorenulls=True).over(earlier).alias("current")
     carry = per_part.select(
-        *key,
-        "carry_part",
-        F.count(F.lit(1)).over(earlier).alias("parts_before"),
-        *[F.sum(c).over(earlier).alias(c) for c in added],
+        *key, "carry_part", F.count(F.lit(1)).over(earlier).alias("parts_before"), F.struct(*carried, last).alias("adds")
     )
     # A carry row has no time, so it sorts before all rows that have one.
     carry = carry.where("parts_before > 0").drop("parts_before")
-    upto = (
-        W.partitionBy("carry_part", *key)
-        .orderBy(*ordering)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    totals = [F.coalesce(F.sum(f"add_{name}").over(upto), F.lit(0)).alias(name) for name in names]
+    ordered = W.partitionBy("carry_part", *key).orderBy(*ordering)
+    upto = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = [F.coalesce(F.sum(f"adds.{name}").over(upto), F.lit(0)).alias(name) for name in names]
+    if previous:
+        strictly = ordered.rowsBetween(W.unboundedPreceding, -1)
+        totals.append(F.last("adds.current", ignorenulls=True).over(strictly).alias("before"))
     summed = rows.unionByName(carry, allowMissingColumns=True).select(
         "transaction_id", "probe", "seen_at", *totals
     )
@@ -146,11 +154,17 @@ def running_totals(
         here = (F.col("probe") == tag) & F.col("seen_at").isNotNull()
         return F.max(F.when(here, F.col(name))).alias(f"{tag}_{name}")
 
-    return (
-        summed.where(F.col("probe").isNotNull())
-        .groupBy("transaction_id")
-        .agg(*[read(tag, name) for tag in probes for name in names])
-    )
+    own = F.max_by("before", F.when(F.col("probe").isNull() & F.col("seen_at").isNotNull(), F.lit(1))).alias("before")
+    kept = summed.where(F.col("transaction_id").isNotNull()) if previous else summed.where(F.col("probe").isNotNull())
+    found = kept.groupBy("transaction_id").agg(*[read(tag, name) for tag in probes for name in names], *([own] if previous else []))
+    if not previous:
+        return found
+    return found.select("*", *[F.col(f"before.{new}").alias(new) for new in previous]).drop("before")
+
+
+def _struct_type(typed: DataFrame, types: Mapping[str, T.DataType]) -> T.StructType:
+    fields = [T.StructField(name, kind) for name, kind in types.items()]
+    return T.StructType([*fields, T.StructField("current", typed.schema["current"].dataType)])
 
 
 def totals_at(

@@ -56,7 +56,8 @@ def account_sessions(events: DataFrame, gap: str = SESSION_GAP, parts: int | Non
         keys = [F.col("account_id"), F.session_window("event_timestamp", gap)]
         aggregated = events.groupBy(*keys).agg(*_measures())
         return _published(aggregated, "session", F.col("session_window.start"), F.col("session_window.end"))
-    timed = events.where(F.col("event_timestamp").isNotNull())
+    needed = events.select("transaction_id", "account_id", "event_timestamp", "amount", "transaction_type")
+    timed = needed.where(F.col("event_timestamp").isNotNull())
     linked = with_previous(timed, ["account_id"], {"previous_time": "event_timestamp"}, parts)
     apart = F.unix_micros("event_timestamp") - F.unix_micros("previous_time")
     starts = (F.col("previous_time").isNull() | (apart > micros(gap))).cast("int")

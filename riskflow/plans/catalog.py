@@ -485,14 +485,13 @@ def _decided(spark: SparkSession, folder: str) -> DataFrame:
     reads a table.
     """
     events = stored_table(with_transaction_signals(_labelled(spark, folder), SETTINGS), "events")
-    history = B.account_history(events, {"5m": "5 minutes"}, countries="30 minutes")
+    history = B.account_history(events, {"5m": "5 minutes"}, countries="30 minutes", min_km=25.0)
     features = B.with_features(
         events,
         [
             _rounded(history, 4, "amount_zscore").select(
-                "transaction_id", "txn_count_5m", "amount_zscore", "country_count"
+                "transaction_id", "txn_count_5m", "amount_zscore", "country_count", "impossible_travel"
             ),
-            _travel(events).select("transaction_id", "impossible_travel"),
             B.new_pairs(events).select("transaction_id", "new_device_for_account"),
             B.device_usage(events).select("transaction_id", "device_account_count"),
             B.merchant_history(events).select("transaction_id", "merchant_fraud_rate"),
