@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,11 +117,11 @@ def _stream() -> str:
 
 
 def _key_table(spark: SparkSession, key: str) -> DataFrame:
-    """The padded key per kind of entity. As rows of a table it is in no expression, so in no plan or event log."""
+    """The padded key per kind of entity, a local table of the JVM. As rows it is in no expression, so in no plan or event log."""
     data = key.encode()
     block = (hashlib.sha512(data).digest() if len(data) > 128 else data).ljust(128, b"\0")
     pads = [bytes(b ^ mask for b in block) for mask in (0x36, 0x5C)]
-    return spark.createDataFrame([(kind, *pads) for kind in KINDS], "kind string, inner_pad binary, outer_pad binary")
+    return spark.createDataFrame(pa.table({"kind": KINDS, "inner_pad": [pads[0]] * len(KINDS), "outer_pad": [pads[1]] * len(KINDS)}))
 
 
 def _at(i: str) -> str:
