@@ -8,28 +8,32 @@ projected neighbours in order, leaf by leaf of a kd-tree, verifies them on the o
 stops when that test holds.
 
 The upper levels of the tree are fitted on a bounded sample and cut the projected space into
-regions; every row is indexed. A region is a group of tasks: large ones are salted by row count, and
-so are the queries sent to them. Each query first searches its own region; the distance found
-there limits the other regions it is sent to, by the same test. Each task builds the kd-tree of its
-share of a region.
+regions; the rows of a region that is still too large fit a tree of their own on a bounded sample of
+that region. Every row is indexed in the leaf it falls into. Each query first searches its own
+leaf; the distance found there limits the other leaves it is sent to, by the same test. Leaves
+above ``region_rows`` rows and crowds of queries for one leaf are split by count, so that a
+task sees at most about ``region_rows`` of each and builds the kd-tree of its share.
+
+Copies of a vector beyond the first ``k + 1`` ids can be nobody's neighbour, since equal scores go to the
+smaller id; they stay out of the leaves. Queries with equal vectors search once, for ``2 * k`` rows,
+of which each takes those that are not its own.
 
 * vectors that are null, zero, of another length than the most common one, or hold null or
   non-finite components take no part, neither as query nor as candidate;
-* equal scores go to the smaller id; copies of a vector are verified all, since none of them is
-  farther than the k-th found; a repeated id is two candidates, and never its own neighbour;
+* equal scores go to the smaller id; a repeated id is two candidates, and never its own neighbour;
+  one that is asked with two vectors has an answer for each;
 * fewer candidates than wanted: all of them; an empty table: no rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import kept_table
@@ -85,7 +89,8 @@ class Regions:
         return out
 
 
-def fit_regions(sample: np.ndarray, many: int) -> Regions:
+def fit_regions(sample: np.ndarray, many: int, within: tuple[np.ndarray, np.ndarray] | None = None) -> Regions:
+    """At most ``many`` boxes of about equal numbers of sampled points; ``within`` is the box they divide."""
     dims = sample.shape[1]
     splits: list[tuple[int, float, int, int]] = []
     lows, highs = [], []
@@ -108,7 +113,8 @@ def fit_regions(sample: np.ndarray, many: int) -> Regions:
         splits[me] = (dim, value, one, two)
         return me
 
-    grow(sample, max(1, many), np.full(dims, -np.inf), np.full(dims, np.inf))
+    outer = within or (np.full(dims, -np.inf), np.full(dims, np.inf))
+    grow(sample, max(1, many), *outer)
     return Regions(splits, np.array(lows), np.array(highs))
 
 
@@ -145,7 +151,7 @@ def _nearest(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def search(tree: Tree, vectors: np.ndarray, norms: np.ndarray, ids: np.ndarray, query: np.ndarray, norm: float, point: np.ndarray, own: int, k: int, worst: float, stop: float) -> tuple[np.ndarray, np.ndarray]:
+def search(tree: Tree, vectors: np.ndarray, norms: np.ndarray, ids: np.ndarray, query: np.ndarray, norm: float, point: np.ndarray, own: int | None, k: int, worst: float, stop: float) -> tuple[np.ndarray, np.ndarray]:
     """Ids and cosines of the k nearest found; ``worst`` is a k-th cosine known already.
 
     Leaves come in projected order, a few at a time; the test uses the box distance of the next
@@ -159,7 +165,8 @@ def search(tree: Tree, vectors: np.ndarray, norms: np.ndarray, ids: np.ndarray,
         if limit > -2 and away[at] > 0 and away[at] >= stop * max(2 - 2 * limit, ROUNDING):
             break
         rows = np.concatenate([tree.rows[leaf] for leaf in order[at : at + step]])
-        rows = rows[ids[rows] != own]
+        if own is not None:
+            rows = rows[ids[rows] != own]
         scores = (vectors[rows] * query).sum(axis=1) / (norms[rows] * norm)
         both, names = np.concatenate([best, scores]), np.concatenate([best_ids, ids[rows]])
         near = _nearest(both, names, k)
@@ -168,107 +175,237 @@ def search(tree: Tree, vectors: np.ndarray, norms: np.ndarray, ids: np.ndarray,
     return best_ids, best
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def _searched(base: DataFrame, sent: DataFrame, k: int, stop: float) -> DataFrame:
-    """Nearest candidates per query in every (region, salt) that it was sent to."""
+#: What tells two vectors apart, and two candidates.
+SAME = ("one", "two")
+ROW = ("vec_id", *SAME)
+
+
+def _share(share: Column, purpose: str) -> Column:
+    """A share of the candidates, by hash."""
+    return F.pmod(F.xxhash64(*ROW, F.lit(purpose)), F.lit(1 << 20)) < share * (1 << 20)
+
+TREE = "region long, dim array<int>, value array<double>, below array<int>, above array<int>, low array<double>, high array<double>"
+
+
+def _tree_row(region: int, tree: Regions) -> pa.Table:
+    dim, value, below, above = zip(*tree.splits)
+    parts = (np.array(dim, np.int32), np.array(value), np.array(below, np.int32), np.array(above, np.int32), tree.low.ravel(), tree.high.ravel())
+    return pa.table([pa.array([region], pa.int64()), *[pa.array([part]) for part in parts]], names=["region", "dim", "value", "below", "above", "low", "high"])
+
+
+def _tree_of(row: dict, dims: int) -> Regions:
+    splits = list(zip(row["dim"], row["value"], row["below"], row["above"]))
+    return Regions(splits, np.array(row["low"]).reshape(-1, dims), np.array(row["high"]).reshape(-1, dims))
+
 
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            vectors = np.array(left["vector"].tolist(), np.float64)
-            points = np.array(left["point"].tolist(), np.float64)
-            norms, ids = np.sqrt((vectors * vectors).sum(axis=1)), left["vec_id"].to_numpy()
-            tree = Tree(points)
-            for q in right.itertuples(index=False):
-                query = np.asarray(q.vector, np.float64)
-                found, scores = search(tree, vectors, norms, ids, query, math.sqrt((query * query).sum()), np.asarray(q.point, np.float64), q.query_id, k, q.worst, stop)
-                out.append(pd.DataFrame({"query_id": q.query_id, "copy": q.copy, "vec_id": found, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "copy": [], "vec_id": [], "score": []})
+def inner_trees(crowded: DataFrame, counts: dict[int, int], regions: Regions, dims: int, region_rows: int, sample: int) -> DataFrame:
+    """A tree for each region in ``counts``, fitted on at most about ``sample`` of its rows."""
+    taken = crowded.where(_share(F.lit(float(sample)) / F.col("many"), "inner sample"))
 
-    schema = "query_id long, copy long, vec_id long, score double"
-    return base.groupBy("region", "salt").cogroup(sent.groupBy("region", "salt")).applyInPandas(run, schema)
+    def fit(key: tuple, rows: pa.Table) -> pa.Table:
+        region = key[0].as_py()
+        points = _matrix(rows["point"], dims)
+        leaves = min(-(-counts[region] // region_rows), max(1, len(points) // 8))
+        return _tree_row(region, fit_regions(points, leaves, (regions.low[region], regions.high[region])))
 
+    return taken.select("region", "point").groupBy("region").applyInArrow(fit, TREE)
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each query: at most k rows per task and query meet."""
-    rows = found.groupBy("query_id", "copy").agg(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id")).alias("all"))
-    ordered = rows.select("query_id", "copy", F.slice(F.array_sort("all"), 1, k).alias("near"))
-    return ordered.select("query_id", "copy", F.posexplode("near").alias("at", "o")).select(
-        "query_id", "copy", (F.col("at") + 1).alias("rank"), F.col("o.vec_id").alias("vec_id"), (-F.col("o.away")).alias("score")
-    )
+
+def beside_trees(rows: DataFrame, trees: DataFrame, size: int, handle: Callable[[pa.Table, Regions], pa.Table], schema: str, dims: int, by: tuple[str, ...]) -> DataFrame:
+    """Rows of a region next to its tree, about ``size`` rows a group; rows of regions without a tree go."""
+    many = rows.join(F.broadcast(trees.select("region")), "region", "left_semi").groupBy("region").agg(F.ceil(F.count("*") / size).alias("parts"))
+    many = kept_table(many, "parts")  # a row per region, which the first sample bounds
+    dealt = rows.join(F.broadcast(many), "region").withColumn("part", F.pmod(F.xxhash64(*by), "parts")).drop("parts")
+    copies = trees.join(F.broadcast(many), "region").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return handle(left, _tree_of(right.to_pylist()[0], dims)).select(names)
+
+    return dealt.groupBy("region", "part").cogroup(copies.groupBy("region", "part")).applyInArrow(run, schema)
+
+
+def dealt(base: DataFrame, sent: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates and queries by ``(region, leaf, salt, chunk)``: about ``size`` of each meet in a group.
+
+    A leaf with more candidates has several salts, each of which sees all queries of the leaf; a
+    leaf asked more often has several chunks of queries, each of which sees all its candidates.
+    """
+    place = ["region", "leaf"]
+    crowds = base.groupBy(place).agg(F.ceil(F.count("*") / size).alias("salts")).where("salts > 1")
+    asked = sent.groupBy(place).agg(F.ceil(F.count("*") / size).alias("chunks")).where("chunks > 1")
+    split = kept_table(crowds.join(asked, place, "full").select(*place, *[F.coalesce(c, F.lit(1).cast("long")).alias(c) for c in ("salts", "chunks")]), "splits")
+
+    def spread(frame: DataFrame, by: tuple[str, ...], own: str, count: str, other: str, many: str) -> DataFrame:
+        known = frame.join(split, place, "left")
+        known = known.withColumn(own, F.pmod(F.xxhash64(*by, F.lit(own)), F.coalesce(count, F.lit(1))))
+        return known.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(many, F.lit(1)) - 1))).drop("salts", "chunks")
+
+    return spread(base, ROW, "salt", "salts", "chunk", "chunks"), spread(sent, SAME, "chunk", "chunks", "salt", "salts")
+
+
+FOUND = "one long, two long, want int, vec_id long, score double"
+
+
+def _searched(base: DataFrame, sent: DataFrame, size: int, width: int, dims: int, stop: float) -> DataFrame:
+    """Nearest candidates per query in every leaf that it was sent to."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {name: [] for name in ("one", "two", "want", "vec_id", "score")}
+        if left.num_rows and right.num_rows:
+            vectors, points, ids = _matrix(left["vector"], width), _matrix(left["point"], dims), left["vec_id"].to_numpy()
+            norms, tree = np.sqrt((vectors * vectors).sum(axis=1)), Tree(points)
+            asked, at = _matrix(right["vector"], width), _matrix(right["point"], dims)
+            rest = [right[c].to_pylist() for c in ("one", "two", "own", "want", "worst")]
+            for query, point, one, two, own, want, worst in zip(asked, at, *rest):
+                found, scores = search(tree, vectors, norms, ids, query, math.sqrt((query * query).sum()), point, own, want, worst, stop)
+                near = scores >= worst
+                for name, value in (("one", one), ("two", two), ("want", want)):
+                    out[name].append(np.full(near.sum(), value, np.int32 if name == "want" else np.int64))
+                out["vec_id"].append(found[near])
+                out["score"].append(scores[near])
+        empty = {"want": np.int32, "score": np.float64}
+        return pa.table({n: np.concatenate([np.zeros(0, empty.get(n, np.int64)), *v]) for n, v in out.items()})
+
+    left, right = dealt(base, sent, size)
+    group = ["region", "leaf", "salt", "chunk"]
+    return left.groupBy(group).cogroup(right.groupBy(group)).applyInArrow(run, FOUND)
+
+
+def _best(found: DataFrame, query: list[str], k: int) -> DataFrame:
+    """The k nearest of each query; Spark applies the limit before the rows meet, too."""
+    order = Window.partitionBy(query).orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def without_far_copies(rows: DataFrame, k: int) -> DataFrame:
+    """Of equal vectors only those that can be among the k nearest of any row: the k + 1 smallest ids.
+
+    A repeated id keeps k of its rows. Only vectors with more copies are looked at.
+    """
+    often = kept_table(rows.groupBy(*SAME).agg(F.count("*").alias("many")).where(F.col("many") > k + 1).select(*SAME), "copied-vectors")
+    if not often.limit(1).count():
+        return rows
+    copies = rows.join(often, [*SAME], "left_semi")
+    copies = copies.withColumn("place", F.row_number().over(Window.partitionBy(*SAME, "vec_id").orderBy("vec_id"))).where(F.col("place") <= k)
+    copies = copies.withColumn("place", F.dense_rank().over(Window.partitionBy(*SAME).orderBy("vec_id"))).where(F.col("place") <= k + 1)
+    return rows.join(often, [*SAME], "left_anti").unionByName(copies.drop("place")).select(rows.columns)
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, confidence: float = 0.98, region_rows: int = 8192, sample: int = 20_000, seed: int = 5, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the k nearest of each row whose id is a multiple of ``every``.
 
-    ``sample`` bounds the rows that the upper tree levels are fitted on (taken by hash); the number
-    of regions follows the table up to an eighth of it, and salts go on from there.
+    ``sample`` bounds the rows that the upper tree levels, and the inner tree of each crowded region, are
+    fitted on (taken by hash). Each level has at most an eighth of its sample as leaves, 2,500 and
+    2,500 times 2,500 by default; leaves above ``region_rows`` rows after that are split by count.
     """
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{column}`").cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null and size(vector) > 0 and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
     rows = rows.where("exists(vector, x -> x != 0)")
-    lengths = {r.length: r.many for r in rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("many")).collect()}
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not lengths:
-        return vectors.sparkSession.createDataFrame([], schema)
-    width = max(lengths, key=lambda n: (lengths[n], n))
-    total = lengths[width]
+    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("many"))
+    first = lengths.orderBy(F.desc("many"), F.desc("length")).first()
+    if first is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    width, total = first.length, first.many
     plane = np.random.default_rng(seed).standard_normal((width, dims))
     stop = chi_square_point(confidence, dims)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1), width)
+            x = _matrix(batch.column("vector"), width)
             with np.errstate(all="ignore"):
                 x = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
                 points = (x / np.sqrt((x * x).sum(axis=1, keepdims=True))) @ plane
             lists = pa.ListArray.from_arrays(np.arange(0, points.size + 1, dims, dtype=np.int32), points.ravel())
-            yield pa.record_batch([*batch.columns, lists], names=["vec_id", "vector", "point"])
+            yield batch.append_column("point", lists)
 
-    rows = kept_table(rows.where(F.size("vector") == width).mapInArrow(project, "vec_id long, vector array<double>, point array<double>"), "projected")
-    share = min(1.0, sample / total)
-    fitted = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("region sample")), F.lit(1 << 20)) < share * (1 << 20)).orderBy("vec_id").select("point").toArrow()["point"].combine_chunks()
-    regions = fit_regions(_matrix(fitted, dims), min(-(-total // region_rows), max(1, len(fitted) // 8)))
+    fields = "vec_id long, vector array<double>, one long, two long, point array<double>"
+    rows = rows.where(F.size("vector") == width).select("vec_id", "vector", F.xxhash64("vector").alias("one"), F.xxhash64("vector", F.lit("two")).alias("two"))
+    rows = kept_table(rows.mapInArrow(project, fields), "projected")
+    candidates = without_far_copies(rows, k)
+    fitted = _matrix(candidates.where(_share(F.lit(sample / total), "region sample")).select("point").toArrow()["point"], dims)
+    regions = fit_regions(fitted, min(-(-total // region_rows), max(1, len(fitted) // 8)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("region", pa.array(regions.of(_matrix(batch.column(2), dims))))
-
-    placed = rows.mapInArrow(place, "vec_id long, vector array<double>, point array<double>, region long")
-    counts = {r.region: r.many for r in placed.groupBy("region").agg(F.count("*").alias("many")).collect()}
-    salts = F.lit(1)
-    heavy = {r: -(-many // region_rows) for r, many in counts.items() if many > region_rows}
-    if heavy:
-        salts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair]), F.col("region")), F.lit(1))
-    base = placed.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit("salt")), salts))
-
-    def sent_to(queries: DataFrame) -> DataFrame:
-        return queries.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long"))))
+            yield batch.append_column("region", pa.array(regions.of(_matrix(batch.column("point"), dims))))
+
+    base = candidates.mapInArrow(place, fields + ", region long")
+    asked = rows.where(F.col("vec_id") % every == 0)
+    names = asked.select(F.col("vec_id").alias("query_id"), *SAME).distinct()
+    asked = asked.groupBy(*SAME).agg(F.min("vec_id").alias("own"), F.max("vec_id").alias("last"), F.first("vector").alias("vector"), F.first("point").alias("point"))
+    alone = F.col("own") == F.col("last")
+    asked = asked.select("vector", *SAME, "point", F.when(alone, F.col("own")).alias("own"), F.when(alone, F.lit(k)).otherwise(F.lit(2 * k)).alias("want"))
+    query = "vector array<double>, one long, two long, point array<double>, own long, want int"
+    asked = asked.mapInArrow(place, query + ", region long")
+
+    # Regions above the size that a task may hold get a tree of their own.
+    counts = {r.region: r.many for r in base.groupBy("region").agg(F.count("*").alias("many")).where(F.col("many") > region_rows).collect()}
+    split: list[int] = []
+    if counts:
+        sizes = vectors.sparkSession.createDataFrame(list(counts.items()), "region long, many long")
+        base, asked = kept_table(base, "placed"), kept_table(asked, "queries")
+        trees = kept_table(inner_trees(base.join(F.broadcast(sizes), "region"), counts, regions, dims, region_rows, sample), "inner-trees")
+        split = [r.region for r in trees.select("region").collect()]
+    if split:
+        whole = trees.select("region")
+
+        def leaf_of(part: pa.Table, tree: Regions) -> pa.Table:
+            return part.append_column("leaf", pa.array(tree.of(_matrix(part["point"], dims))))
+
+        def leaves(frame: DataFrame, schema: str, by: tuple[str, ...]) -> DataFrame:
+            deep = beside_trees(frame, trees, 4 * region_rows, leaf_of, schema + ", region long, leaf long", dims, by)
+            return frame.join(F.broadcast(whole), "region", "left_anti").withColumn("leaf", F.lit(0).cast("long")).unionByName(deep)
+
+        base, asked = leaves(base, fields, ROW), leaves(asked, query, SAME)
+    else:
+        base, asked = [frame.withColumn("leaf", F.lit(0).cast("long")) for frame in (base, asked)]
+    base, asked = kept_table(base, "leaves"), kept_table(asked, "asked")
+
+    home = kept_table(_best(_searched(base, asked.withColumn("worst", F.lit(-3.0)), region_rows, width, dims, stop), [*SAME], 2 * k), "home-neighbours")
+    # Only a full list says how far the last neighbour is at most.
+    worst = home.where(F.col("rank") == F.col("want")).select(*SAME, F.col("score").alias("worst"))
+    again = asked.join(worst, [*SAME], "left").withColumn("worst", F.coalesce("worst", F.lit(-3.0)))
+    again = again.select("vector", *SAME, "point", "own", "want", F.col("region").alias("home"), F.col("leaf").alias("home_leaf"), "worst")
+
+    def reached(boxes: Regions, rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and boxes that may still hold a nearer neighbour."""
+        away = boxes.distances(_matrix(rows.column("point"), dims))
+        limit = stop * np.maximum(2 - 2 * rows.column("worst").to_numpy(), ROUNDING)
+        return np.nonzero((away < limit[:, None]) | (away == 0))
 
     def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query with every other region that may still hold a nearer neighbour."""
+        """Each query with every region to be searched, its own among them if that has a tree."""
         for batch in batches:
-            away = regions.distances(_matrix(batch.column("point"), dims))
-            limit = stop * np.maximum(2 - 2 * batch.column("worst").to_numpy(), ROUNDING)
-            open_ = (away < limit[:, None]) | (away == 0)
-            open_[np.arange(len(away)), batch.column("region").to_numpy()] = False
-            query, region = np.nonzero(open_)
-            taken = batch.take(pa.array(query))
-            yield taken.set_column(taken.schema.get_field_index("region"), "region", pa.array(region.astype(np.int64)))
-
-    asked = placed.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
-    # Equal rows ask once; a repeated id with another vector asks for itself.
-    asked = asked.withColumn("copy", F.xxhash64("vector")).withColumn("worst", F.lit(-3.0))
-    asked = asked.select("query_id", "copy", "vector", "point", "region", "worst").dropDuplicates(["query_id", "copy"])
-    asked = kept_table(asked, "queries")
-    home = kept_table(_best(_searched(base, sent_to(asked), k, stop), k), "home-neighbours")
-    # Only a full list says how far the k-th neighbour is at most.
-    worst = home.where(F.col("rank") == k).select("query_id", "copy", F.col("score").alias("worst"))
-    again = asked.drop("worst").join(worst, ["query_id", "copy"], "left").withColumn("worst", F.coalesce("worst", F.lit(-3.0)))
-    fields = "query_id long, copy long, vector array<double>, point array<double>, region long, worst double"
-    again = again.select("query_id", "copy", "vector", "point", "region", "worst").mapInArrow(elsewhere, fields)
-    found = _searched(base, sent_to(again), k, stop).unionByName(home.drop("rank"))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                at, region = reached(regions, part)
+                open_ = (region != part.column("home").to_numpy()[at]) | np.isin(region, split)
+                yield part.take(pa.array(at[open_])).append_column("region", pa.array(region[open_].astype(np.int64)))
+
+    def deeper(part: pa.Table, tree: Regions) -> pa.Table:
+        """Each query with every leaf of the region to be searched but its own."""
+        at, leaf = reached(tree, part)
+        other = (part["region"].to_numpy()[at] != part["home"].to_numpy()[at]) | (leaf != part["home_leaf"].to_numpy()[at])
+        return part.take(pa.array(at[other])).append_column("leaf", pa.array(leaf[other].astype(np.int64)))
+
+    carried = query + ", home long, home_leaf long, worst double, region long"
+    again = again.mapInArrow(elsewhere, carried)
+    if not split:
+        again = again.withColumn("leaf", F.lit(0).cast("long"))
+    else:
+        again = kept_table(again, "reached")
+        deep = beside_trees(again, trees, region_rows, deeper, carried + ", leaf long", dims, SAME)
+        again = again.join(F.broadcast(whole), "region", "left_anti").withColumn("leaf", F.lit(0).cast("long")).unionByName(deep)
+    again = kept_table(again.drop("home", "home_leaf"), "sent")
+    found = _searched(base, again, region_rows, width, dims, stop).unionByName(home.drop("rank"))
+    best = _best(found, [*SAME], 2 * k).drop("rank", "want")
+    answers = _best(best.join(names, [*SAME]).where("vec_id != query_id"), ["query_id", *SAME], k)
+    return answers.select("query_id", "rank", "vec_id", "score")

@@ -305,6 +305,44 @@ def test_nearest(spark):
     assert stable_search.nearest(frame.where("vec_id in (0, 7)")).count() == 1
 
 
+def test_nearest_splits_crowded_regions(spark):
+    """Inner trees, crowds of candidates and of queries; a repeated id; a clashing extra column."""
+    rng = np.random.default_rng(2)
+    x = 5 + 0.2 * rng.standard_normal((4000, 12))
+    x[1000:2500] = x[0]  # copies
+    x[2500:2900] = x[2500] * np.linspace(1, 2, 400)[:, None]  # one direction, no copies
+    rows = [(i, v.tolist(), i) for i, v in enumerate(x)] + [(50, x[50].tolist(), 0), (100, x[3].tolist(), 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, region long").repartition(5)
+    found = stable_search.nearest(frame, region_rows=100, sample=64).toPandas()
+    ids = np.array([r[0] for r in rows])
+    all_ = np.array([r[1] for r in rows])
+    unit = all_ / np.linalg.norm(all_, axis=1, keepdims=True)
+    hits = wanted = 0
+    for q in range(0, 4000, 50):
+        for v in {tuple(r[1]) for r in rows if r[0] == q}:
+            score = (unit @ (np.array(v) / np.linalg.norm(v))).round(10)
+            best = np.lexsort((ids, -score))
+            best = [j for j in best if ids[j] != q][:5]
+            mine = found[found.query_id == q]
+            assert len(mine) == (10 if q == 100 else 5)
+            hits += sum(any(abs(score[j] - s) < 1e-9 for s in mine.score) for j in best)
+            wanted += 5
+    assert hits >= 0.9 * wanted
+    assert found[found.query_id == 1050].sort_values("rank").vec_id.tolist() == [0, 1000, 1001, 1002, 1003]
+    assert not (found.query_id == found.vec_id).any()
+
+
+def test_search_groups_are_bounded(spark):
+    base = spark.range(5000).selectExpr("id vec_id", "id one", "id two", "0L region", "if(id < 4000, 0L, id % 10) leaf")
+    sent = spark.range(3000).selectExpr("id one", "id two", "0L region", "if(id < 2500, 0L, 3L) leaf")
+    left, right = stable_search.dealt(base, sent, 100)
+    group = ["region", "leaf", "salt", "chunk"]
+    for frame in (left, right):
+        assert frame.groupBy(group).count().agg({"count": "max"}).first()[0] < 200
+    pairs = left.join(right.withColumnRenamed("one", "query").drop("two"), group).groupBy("leaf").agg({"*": "count"}).collect()
+    assert dict(pairs) == {0: 4100 * 2500, 3: 100 * 500}
+
+
 def plain_counts(text):
     text = text or ""
     words = [w.decode() for w in text.encode().split()]
