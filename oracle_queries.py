@@ -127,95 +127,6 @@ def canonical(amount="amount::VARCHAR", currency="currency", latitude="latitude:
     )
 
 
-# --- synthetic source -------------------------------------------------------------
-
-
-def drawn(word: str, number: int) -> str:
-    return f"CAST('0x' || substr({word}, {number * 6 + 1}, 6) AS BIGINT)"
-
-
-def below(word: str, number: int, limit: str) -> str:
-    return f"({drawn(word, number)} * {limit} // 16777216)"
-
-
-def uniform(word: str, number: int, low: str, high: str) -> str:
-    return f"({low} + ({high} - {low}) * (CAST({drawn(word, number)} AS DOUBLE) / 16777216))"
-
-
-GENERATED = f"""
-WITH d AS (SELECT event_id + 1 AS id, sha256('42:' || (event_id + 1)) AS w FROM events),
-p AS (
-  SELECT id, w, {below("w", 0, "100")} AS a, {below("w", 1, "50")} AS m,
-    {drawn("w", 2)} AS ch, {drawn("w", 3)} AS ty
-  FROM d
-),
-q AS (
-  SELECT *, a % 6 + 1 AS ci, m % 10 + 1 AS mi, sha256('42:devices:' || a) AS dw FROM p
-),
-r AS (
-  SELECT *,
-    list_extract(['IN','US','GB','DE','SG','AU'], ci) AS country,
-    list_extract(['INR','USD','GBP','EUR','SGD','AUD'], ci) AS currency,
-    list_extract([12.9716, 40.7128, 51.5074, 52.5200, 1.3521, -33.8688]::DOUBLE[], ci) AS lat,
-    list_extract([77.5946, -74.0060, -0.1278, 13.4050, 103.8198, 151.2093]::DOUBLE[], ci) AS lon,
-    list_extract(['ELECTRONICS','GROCERY','RESTAURANT','FUEL','TRAVEL','CLOTHING',
-                  'ENTERTAINMENT','HEALTH','JEWELRY','UTILITIES'], mi) AS category,
-    list_extract([50, 8, 10, 20, 80, 15, 8, 15, 100, 20]::DOUBLE[], mi) AS low,
-    list_extract([2500, 150, 120, 100, 3000, 400, 200, 500, 8000, 300]::DOUBLE[], mi) AS high,
-    CASE WHEN ch < round(0.4 * 16777216) THEN 'ECOMMERCE' WHEN ch < round(0.7 * 16777216) THEN 'POS'
-         WHEN ch < round(0.95 * 16777216) THEN 'MOBILE' ELSE 'ATM' END AS channel,
-    {below("dw", 0, "3")} AS extras, a % 150 AS d0, {below("dw", 1, "150")} AS d1, {below("dw", 2, "150")} AS d2
-  FROM q
-),
-s AS (
-  SELECT *,
-    CASE WHEN extras = 0 THEN [d0]
-         WHEN extras = 1 THEN CASE WHEN d1 = d0 THEN [d0] ELSE [d0, d1] END
-         WHEN d1 = d0 AND d2 = d0 THEN [d0]
-         WHEN d1 = d0 THEN [d0, d2]
-         WHEN d2 IN (d0, d1) THEN [d0, d1]
-         ELSE [d0, d1, d2] END AS devices
-  FROM r
-)
-SELECT CAST(1 AS INTEGER) AS schema_version,
-  'txn_' || CASE WHEN length(id::VARCHAR) < 6 THEN lpad(id::VARCHAR, 6, '0') ELSE id::VARCHAR END AS transaction_id,
-  'acct_' || (1001 + a) AS account_id,
-  make_timestamp((1767225605 + (id - 1) * 1802 + {below("w", 7, "1798")}) * 1000000) AS event_timestamp,
-  greatest(0.01::DOUBLE, round({uniform("w", 4, "low", "high")}, 2)) AS amount,
-  currency,
-  'm_' || lpad((m + 1)::VARCHAR, 3, '0') AS merchant_id,
-  category AS merchant_category,
-  'dev_' || lpad((list_extract(devices, {below("w", 8, "len(devices)")} + 1) + 1)::VARCHAR, 3, '0') AS device_id,
-  round(lat + {uniform("w", 5, "-0.15::DOUBLE", "0.15::DOUBLE")}, 6) AS latitude,
-  round(lon + {uniform("w", 6, "-0.15::DOUBLE", "0.15::DOUBLE")}, 6) AS longitude,
-  country, channel,
-  CASE WHEN channel = 'ATM' THEN 'WITHDRAWAL' WHEN ty < round(0.88 * 16777216) THEN 'PURCHASE'
-       WHEN ty < round(0.93 * 16777216) THEN 'REFUND' WHEN ty < round(0.97 * 16777216) THEN 'WITHDRAWAL'
-       ELSE 'TRANSFER' END AS transaction_type
-FROM s
-"""
-
-ANOMALIES = f"""
-WITH {TX},
-w AS (SELECT *, sha256('42:anomaly:' || transaction_id) AS w FROM tx),
-m AS (
-  SELECT *, CASE WHEN CAST({drawn("w", 0)} AS DOUBLE) / 16777216 < 0.05
-    THEN list_extract(['geo','device','amount','velocity'], {drawn("w", 1)} % 4 + 1) END AS anomaly
-  FROM w
-),
-c AS (
-  SELECT *, unnest(CASE WHEN anomaly = 'velocity' THEN [0,1,2,3,4,5] ELSE [0] END) AS copy FROM m
-)
-SELECT transaction_id || CASE WHEN copy > 0 THEN '_' || copy ELSE '' END AS transaction_id,
-  event_timestamp + to_seconds(7 * copy) AS event_timestamp,
-  CAST(CASE WHEN anomaly = 'amount' THEN amount * 25 ELSE amount END AS DOUBLE) AS amount,
-  CASE WHEN anomaly = 'device' THEN 'dev_x' || substr(w, 13, 6) ELSE device_id END AS device_id,
-  CASE WHEN anomaly = 'geo' THEN -latitude ELSE latitude END AS latitude,
-  round(CASE WHEN anomaly = 'geo' THEN longitude - 180 ELSE longitude END, 6) AS longitude,
-  anomaly, anomaly IS NOT NULL AS is_fraud
-FROM c
-"""
-
 # --- behaviour ----------------------------------------------------------------------
 
 LABELLED = """
@@ -605,7 +516,7 @@ ORACLE: dict[str, str] = {
     "upsert_transactions": f"""WITH {TX}, u AS (SELECT *, event_id % 2 = 0 OR event_id % 3 = 0 AS updated FROM tx)
       SELECT transaction_id, account_id, CAST(CASE WHEN updated THEN amount + 1 ELSE amount END AS DOUBLE) AS amount,
         CASE WHEN updated THEN event_timestamp + INTERVAL '1 hour' ELSE event_timestamp END AS processed_at FROM u""",
-    "model_logistic_summary": MODEL_SUMMARY,
+    "model_logistic_summary": MODEL_SUMMARY.replace("AS in_range", "AS in_range, count(*) AS by_formula"),
     "model_boosted_trees_summary": MODEL_SUMMARY,
 }
 

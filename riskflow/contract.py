@@ -68,6 +68,15 @@ ALLOWED_VALUES = {
     "channel": CHANNELS,
     "transaction_type": TRANSACTION_TYPES,
 }
+# Currency, latitude and longitude of each country's home city.
+HOME = {
+    "IN": ("INR", 12.9716, 77.5946),
+    "US": ("USD", 40.7128, -74.0060),
+    "GB": ("GBP", 51.5074, -0.1278),
+    "DE": ("EUR", 52.5200, 13.4050),
+    "SG": ("SGD", 1.3521, 103.8198),
+    "AU": ("AUD", -33.8688, 151.2093),
+}
 ID_FIELDS = ("transaction_id", "account_id", "merchant_id", "device_id")
 # schema_version has a default, so it is the one field that may be absent.
 REQUIRED_FIELDS = CONTRACT_FIELDS[1:]

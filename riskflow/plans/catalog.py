@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskflow.contract import COUNTRIES
+from riskflow.contract import COUNTRIES, HOME
 from riskflow.functions.geo import grid_cell, haversine_km
 from riskflow.functions.wire import canonical_value, keyed_records
 from riskflow.operators import behaviour as B
@@ -37,7 +37,6 @@ from riskflow.plans.merge import merge_into, start_merge
 from riskflow.plans.pipeline import build_lake, refine, upsert
 from riskflow.session import configure, shared_folder, stored_table
 from riskflow.settings import FeatureSettings
-from riskflow.sources.generator import HOME
 from riskflow.sources.records import FAULT_CASES, peek_records, raw_records, with_faults
 from riskflow.sources.tables import read_table, read_transactions, transactions_from_events
 from riskflow.streaming.history import (
@@ -571,16 +570,29 @@ def _model_scores(kind: str) -> Query:
         early = stored.where(at < cutoff)
         model = models.train(early, names, kind)
         scored = models.score(model, stored, names)
-        return scored.select("transaction_id", "is_fraud", "fraud_probability")
+        columns = ["transaction_id", "is_fraud", "fraud_probability"]
+        if kind == "logistic":
+            scored = scored.withColumn("formula_probability", models.logistic_probability(model, names))
+            columns.append("formula_probability")
+        return scored.select(*columns)
 
     return query
 
 
 def q_model_summary(kind: str) -> Query:
-    """What holds for any model's scores: every row once, labels kept, probabilities in range."""
+    """What holds for a model's scores: every row once, labels kept, probabilities in range.
+
+    A logistic model's are also what its weights say: ``by_formula`` counts the rows whose probability, written
+    out from the fitted weights and medians, is the model's own.
+    """
+    checks = []
+    if kind == "logistic":
+        apart = F.abs(F.col("fraud_probability") - F.col("formula_probability"))
+        checks.append(F.count_if(apart < 1e-9).alias("by_formula"))
 
     def query(spark, folder):
         return _model_scores(kind)(spark, folder).agg(
+            *checks,
             F.count(F.lit(1)).alias("rows_scored"),
             F.count_distinct("transaction_id").alias("ids"),
             F.count("is_fraud").alias("labelled"),

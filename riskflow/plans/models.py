@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -59,3 +59,23 @@ def score(model: PipelineModel, rows: DataFrame, features: Sequence[str]) -> Dat
     kept = [F.col(name) for name in rows.columns]
     probability = vector_to_array("probability")[1].alias("fraud_probability")
     return model.transform(numeric).select(*kept, probability)
+
+
+def logistic_weights(model: PipelineModel, features: Sequence[str]) -> tuple[float, dict[str, float], dict[str, float]]:
+    """Intercept, weight per unit of each feature, and what stands for a missing value of it."""
+    imputer, _, scaler, regression = model.stages
+    middle = imputer.surrogateDF.first().asDict()
+    weights = regression.coefficients.toArray()
+    per_unit = {name: float(w / sd) if sd else 0.0 for name, w, sd in zip(features, weights, scaler.std.toArray())}
+    return float(regression.intercept), per_unit, {name: float(middle[name]) for name in features}
+
+
+def logistic_probability(model: PipelineModel, features: Sequence[str]) -> Column:
+    """A logistic model as one column expression: scores rows in generated code, without vectors."""
+    intercept, weights, middle = logistic_weights(model, features)
+    total = F.lit(intercept)
+    for name in features:
+        value = F.col(name).cast("double")
+        known = F.when(value.isNull() | F.isnan(value), F.lit(middle[name])).otherwise(value)
+        total = total + known * F.lit(weights[name])
+    return 1 / (1 + F.exp(-total))

@@ -6,14 +6,8 @@ from riskflow.functions.wire import keyed_records
 from riskflow.operators.validate import validate_events
 from riskflow.session import shared_folder
 from riskflow.settings import FeatureSettings, LakeSettings, LogSettings, StreamSettings
-from riskflow.sources.generator import (
-    TICKET_RANGE,
-    GeneratorSettings,
-    synthesize,
-    transactions,
-    with_anomalies,
-)
 from riskflow.sources.log import log_options, read_log
+from tests.synthetic import TICKET_RANGE, GeneratorSettings, synthesize, transactions, with_anomalies
 
 
 def test_same_seed_same_rows_on_any_partitioning(spark):
