@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.session import shared_folder
+from riskflow.session import stored_table
 
 # The six ASCII white-space characters that separate words and pad lines.
 WHITE = " \t\n\x0b\x0c\r"
@@ -55,14 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept_table(frame: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame once below the shared checkpoint folder and read it back.
-
-    The files outlive a lost executor, and the result starts without lineage.
-    """
-    path = shared_folder(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+#: Written once below the shared checkpoint folder and read back: outlives a lost executor, without lineage.
+kept_table = stored_table
 
 
 def release_shuffles(spark: SparkSession) -> None:
