@@ -4,7 +4,9 @@ Texts are cut into blocks of words. Each source has an exact quota of blocks; a
 output shards splits the vector of quotas, at every node by a multivariate-hypergeometric draw
 seeded by the node's place, down to one quota per source and shard. A shard then owns a range of
 each source's blocks in their permuted order, disjoint from all other shards, and shuffles them
-locally. Any task can walk the tree on its own, so nothing but the sources' totals is shared.
+locally. Any task can walk the tree on its own, so nothing but the sources' totals is shared. Many
+sources are dealt into a fixed number of groups: the tree's draws are of groups first, then, given
+those, of each group's sources, which is the same distribution and needs one group's totals at a time.
 
 * null or empty text has size 0 and gives no block; a null source is a source of its own, last;
 * rows equal in key, source and text are told apart by a running number, and each is mixed;
@@ -22,10 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import WORD, kept_table, packed
+from riskflow.operators.ordered import running_over_values
 
 KEYS = ("doc_id", "source", "mark", "copy")
 #: Source tables up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
+#: Sources whose totals a task may hold; of more sources there are as many groups.
+TREE_SOURCES = 1_000
+#: Blocks of one group that a task deals, and bytes of tree nodes that it remembers.
+GROUP_BLOCKS, NODE_BYTES = 200_000, 64 << 20
 
 
 def document_sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -47,25 +54,28 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), tot
     Sources in code point order, null last, weigh ``weights`` in turn and share ``total`` times all
     words. No target exceeds ``most`` times its source; the excess goes to the others by weight.
     Closed form: with sources sorted by limit over weight, the first ones are at their limits and
-    the rest share what remains. The window holds one row per source.
+    the rest share what remains. Both orders are summed in ranges, never over all sources in one task.
     """
+    last = F.col("source").isNull()
     ranked = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    ranked = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(number - 1, F.lit(len(weights))) + 1))
-    ranked = ranked.withColumn("limit", F.col("source_size") * F.lit(most))
-    order = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = ranked.select("*", F.struct(last.alias("last"), "source").alias("value"), F.lit(1).alias("one"))
+    ranked = running_over_values(ranked, {"one": "number"})
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("number") - 1, F.lit(len(weights))) + 1).cast("int"))
+    ranked = ranked.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * F.lit(most)).alias("limit"))
+    order = F.struct((F.col("limit") / F.col("weight")).alias("ratio"), last.alias("last"), "source")
+    ranked = kept_table(running_over_values(ranked.withColumn("value", order), {"limit": "limits", "weight": "weights"}), "mix-levels")
+    words, weight_sum = ranked.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
     ranked = (
-        ranked.withColumn("rest", F.sum("source_size").over(every) * F.lit(total) - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
-        .withColumn("weights", F.sum("weight").over(after))
+        ranked.withColumn("rest", F.lit(words) * F.lit(total) - (F.col("limits") - F.col("limit")))
+        .withColumn("weights", F.lit(weight_sum) - (F.col("weights") - F.col("weight")))
         .withColumn("open", F.col("rest") * F.col("weight") / F.col("weights") <= F.col("limit"))
     )
     # The first open source in order has the largest rest among the open ones.
-    level = F.max(F.when(F.col("open"), F.struct("rest", "weights"))).over(every)
-    ranked = ranked.withColumn("level", level)
-    share = F.col("level.rest") * F.col("weight") / F.col("level.weights")
-    return ranked.select("source", "source_size", F.when(F.col("level").isNull(), F.col("limit")).otherwise(F.least("limit", share)).alias("target"))
+    level = ranked.agg(F.max(F.when(F.col("open"), F.struct("rest", "weights")))).first()[0]
+    target = F.col("limit")
+    if level is not None:
+        target = F.least(target, F.lit(level.rest) * F.col("weight") / F.lit(level.weights))
+    return ranked.select("source", "source_size", target.alias("target"))
 
 
 def _with_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
@@ -153,8 +163,9 @@ def split_quotas(quotas: np.ndarray, many: int, rng: np.random.Generator) -> np.
 class SplittingTree:
     """Quotas per source, split among shards; nodes are drawn when they are first needed."""
 
-    def __init__(self, quotas: np.ndarray, shards: int, seed: int, remembered: int = 100_000) -> None:
-        self.quotas, self.shards, self.seed, self.remembered = quotas.astype(np.int64), shards, seed, remembered
+    def __init__(self, quotas: np.ndarray, shards: int, seed: int) -> None:
+        self.quotas, self.shards, self.seed = quotas.astype(np.int64), shards, seed
+        self.remembered = max(64, NODE_BYTES // (8 * max(1, len(quotas))))
         self.left: dict[tuple[int, int], np.ndarray] = {}
 
     def _left(self, first: int, shards: int, quotas: np.ndarray) -> np.ndarray:
@@ -185,15 +196,34 @@ class SplittingTree:
         return out
 
 
-def deal_to_shards(blocks: DataFrame, shard_blocks: int = 4096, seed: int = 11) -> DataFrame:
-    """The blocks with their ``shard`` and their ``place`` in it.
+class GroupTree:
+    """The quotas of one group's sources, split among shards by what the tree of groups gives the group."""
 
-    ``blocks`` is read twice and should be a written table. The driver gets one row per source.
-    """
-    totals = blocks.groupBy("source").agg(F.count("*").alias("many")).orderBy(F.col("source").asc_nulls_last()).collect()
-    quotas = np.array([r.many for r in totals], np.int64)
-    numbers = {r.source: i for i, r in enumerate(totals)}
-    shards = max(1, -(-int(quotas.sum()) // shard_blocks)) if len(quotas) else 1
+    def __init__(self, groups: SplittingTree, group: int, quotas: np.ndarray) -> None:
+        self.groups, self.group, self.quotas = groups, group, quotas.astype(np.int64)
+
+    def shard_of(self, source: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Shard of each (source number in the group, rank); every node is visited once, with all its rows."""
+        out, tree = np.zeros(len(rank), np.int64), self.groups
+        todo = [(0, tree.shards, tree.quotas, self.quotas, np.arange(len(rank)), rank.astype(np.int64))]
+        while todo:
+            first, shards, quotas, own, rows, rest = todo.pop()
+            if not len(rows):
+                continue
+            if shards == 1:
+                out[rows] = first
+                continue
+            left = tree._left(first, shards, quotas)
+            own_left = split_quotas(own, int(left[self.group]), np.random.default_rng([tree.seed, first, shards, self.group]))
+            mine = own_left[source[rows]]
+            low = rest < mine
+            todo.append((first, shards // 2, left, own_left, rows[low], rest[low]))
+            todo.append((first + shards // 2, shards - shards // 2, quotas - left, own - own_left, rows[~low], rest[~low] - mine[~low]))
+        return out
+
+
+def _dealt_at_once(blocks: DataFrame, totals: list, shards: int, seed: int, schema: str) -> DataFrame:
+    quotas, numbers = np.array([r.many for r in totals], np.int64), {r.source: i for i, r in enumerate(totals)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = SplittingTree(quotas, shards, seed)
@@ -201,8 +231,47 @@ def deal_to_shards(blocks: DataFrame, shard_blocks: int = 4096, seed: int = 11)
             source = np.array([numbers[s] for s in batch.column("source").to_pylist()], np.int64)
             yield batch.append_column("shard", pa.array(tree.shard_of(source, batch.column("rank").to_numpy())))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields)
-    dealt = blocks.mapInArrow(run, f"{schema}, shard long")
+    return blocks.mapInArrow(run, schema)
+
+
+def _dealt_in_groups(blocks: DataFrame, totals: DataFrame, groups: int, shards: int, seed: int, schema: str) -> DataFrame:
+    """Blocks next to the totals of their group's sources, in parts of bounded size."""
+    of = F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(groups)).alias("group")
+    totals = totals.select("source", "many", of)
+    sums = totals.groupBy("group").agg(F.sum("many").alias("many"))
+    quotas = np.zeros(groups, np.int64)
+    for r in sums.collect():  # at most ``groups`` rows
+        quotas[r.group] = r.many
+    parts = F.broadcast(sums.select(F.col("group"), F.ceil(F.col("many") / F.lit(GROUP_BLOCKS)).alias("parts")))
+    key = F.xxhash64(F.lit(seed), *KEYS, "pass", "block")
+    rows = blocks.withColumn("group", of).join(parts, "group").withColumn("part", F.pmod(key, "parts")).drop("parts")
+    known = totals.join(parts, "group").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    names = [*blocks.columns, "shard"]
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("source")  # nulls last
+        numbers = {s: i for i, s in enumerate(right["source"].to_pylist())}
+        tree = GroupTree(SplittingTree(quotas, shards, seed), key[0].as_py(), right["many"].to_numpy())
+        source = np.array([numbers[s] for s in left["source"].to_pylist()], np.int64)
+        return left.append_column("shard", pa.array(tree.shard_of(source, left["rank"].to_numpy()))).select(names)
+
+    return rows.groupBy("group", "part").cogroup(known.groupBy("group", "part")).applyInArrow(run, schema)
+
+
+def deal_to_shards(blocks: DataFrame, shard_blocks: int = 4096, seed: int = 11, tree_sources: int = TREE_SOURCES) -> DataFrame:
+    """The blocks with their ``shard`` and their ``place`` in it.
+
+    ``blocks`` is read twice and should be a written table. The driver gets a row per source, or one per
+    group if there are more than ``tree_sources``.
+    """
+    totals = kept_table(blocks.groupBy("source").agg(F.count("*").alias("many")), "mix-totals")
+    sums = totals.agg(F.count("*").alias("sources"), F.sum("many").alias("blocks")).first()
+    shards = max(1, -(-(sums.blocks or 0) // shard_blocks))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields) + ", shard long"
+    if sums.sources <= tree_sources:
+        dealt = _dealt_at_once(blocks, totals.orderBy(F.col("source").asc_nulls_last()).collect(), shards, seed, schema)
+    else:
+        dealt = _dealt_in_groups(blocks, totals, tree_sources, shards, seed, schema)
     local = Window.partitionBy("shard").orderBy(_number(seed + 1, *KEYS, "pass", "block"), *KEYS, "pass", "block")
     return dealt.withColumn("place", F.row_number().over(local) - 1)
 

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskflow.llm import byte_bpe, html_tree, langid, line_dedup, mixing, parity_join, pii, quality_forest, stable_search, warc
@@ -261,6 +262,27 @@ def test_mix_is_written_in_shards(spark, tmp_path):
     assert collections.Counter(r.doc_id for r in rows) == collections.Counter(r.doc_id for r in blocks.collect())
 
 
+def test_many_sources_are_dealt_in_groups(spark):
+    """More sources than a task holds, one of them with a third of the blocks, one null."""
+    sources = [None, *["hot"] * 40, *[f"s{i}" for i in range(60)]]
+    rows = [(i, sources[i % len(sources)], i, 1, 0, 0, 1, i // len(sources)) for i in range(len(sources) * 12)]
+    blocks = spark.createDataFrame(rows, "doc_id long, source string, mark long, copy int, pass int, block int, words long, rank long")
+    rank = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
+    blocks = blocks.withColumn("rank", rank.cast("long")).repartition(5)
+    dealt = mixing.deal_to_shards(blocks, 64, tree_sources=7).toPandas()
+    assert sorted(dealt.doc_id) == [r[0] for r in rows] and dealt.shard.nunique() == -(-len(rows) // 64)
+    sizes = dealt.groupby("shard").size()
+    assert sizes.max() - sizes.min() <= len(sizes).bit_length()
+    for _, own in dealt.groupby("shard"):
+        assert sorted(own.place) == list(range(len(own)))
+    # A shard owns a range of each source's ranks; the hot source is in each.
+    ranges = dealt.groupby(["shard", "source"])["rank"]
+    assert (ranges.max() - ranges.min() + 1 == ranges.size()).all()
+    assert dealt[dealt.source == "hot"].shard.nunique() == len(sizes)
+    again = mixing.deal_to_shards(blocks.repartition(3), 64, tree_sources=7).toPandas()
+    assert dict(zip(again.doc_id, again.shard)) == dict(zip(dealt.doc_id, dealt.shard))
+
+
 def test_splitting_tree_is_exact():
     quotas = np.array([1000, 0, 37, 5000])
     tree = mixing.SplittingTree(quotas, 13, 1)
