@@ -338,7 +338,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
             yield batch.append_column("region", pa.array(regions.of(_matrix(batch.column("point"), dims))))
 
     base = candidates.mapInArrow(place, fields + ", region long")
+    # An id with several vectors asks alone with each, since its own rows may be any number of the nearest.
     asked = rows.where(F.col("vec_id") % every == 0)
+    several = asked.groupBy("vec_id").agg(F.min("one").alias("low"), F.max("one").alias("high")).where("low != high")
+    asked = asked.join(several, "vec_id", "left").select("*", *[F.when(F.col("low").isNull(), F.col(c)).otherwise(F.xxhash64(c, "vec_id")).alias(f"asked_{c}") for c in SAME])
+    asked = asked.select("vec_id", "vector", "point", *[F.col(f"asked_{c}").alias(c) for c in SAME])
     names = asked.select(F.col("vec_id").alias("query_id"), *SAME).distinct()
     asked = asked.groupBy(*SAME).agg(F.min("vec_id").alias("own"), F.max("vec_id").alias("last"), F.first("vector").alias("vector"), F.first("point").alias("point"))
     alone = F.col("own") == F.col("last")

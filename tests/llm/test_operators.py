@@ -352,6 +352,10 @@ def test_nearest_splits_crowded_regions(spark):
     assert hits >= 0.9 * wanted
     assert found[found.query_id == 1050].sort_values("rank").vec_id.tolist() == [0, 1000, 1001, 1002, 1003]
     assert not (found.query_id == found.vec_id).any()
+    # Rows of one id crowd around a vector that another id has too.
+    near = [(100, [1.0, 0.001 * j]) for j in range(30)] + [(150, [1.0, 0.0])] + [(7 + j, [1.0, 1.0 + j]) for j in range(5)]
+    few = stable_search.nearest(spark.createDataFrame(near, "vec_id long, embedding array<double>")).groupBy("query_id").count().collect()
+    assert dict(few) == {100: 30 * 5, 150: 5}
 
 
 def test_search_groups_are_bounded(spark):
