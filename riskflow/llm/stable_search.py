@@ -377,7 +377,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
     # Only a full list says how far the last neighbour is at most.
     worst = home.where(F.col("rank") == F.col("want")).select(*SAME, F.col("score").alias("worst"))
     again = asked.join(worst, [*SAME], "left").withColumn("worst", F.coalesce("worst", F.lit(-3.0)))
-    again = again.select("vector", *SAME, "point", "own", "want", F.col("region").alias("home"), F.col("leaf").alias("home_leaf"), "worst")
+    # Vectors follow when the leaves are known; a query may reach many.
+    again = again.select(*SAME, "point", "own", "want", F.col("region").alias("home"), F.col("leaf").alias("home_leaf"), "worst")
 
     def reached(boxes: Regions, rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """Rows and boxes that may still hold a nearer neighbour."""
@@ -392,7 +393,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
                 part = batch.slice(start, 512)
                 at, region = reached(regions, part)
                 open_ = (region != part.column("home").to_numpy()[at]) | np.isin(region, split)
-                yield part.take(pa.array(at[open_])).append_column("region", pa.array(region[open_].astype(np.int64)))
+                at, region = at[open_], region[open_].astype(np.int64)
+                for few in range(0, len(at), 8192):
+                    yield part.take(pa.array(at[few : few + 8192])).append_column("region", pa.array(region[few : few + 8192]))
 
     def deeper(part: pa.Table, tree: Regions) -> pa.Table:
         """Each query with every leaf of the region to be searched but its own."""
@@ -400,15 +403,15 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, dims: int = 8, conf
         other = (part["region"].to_numpy()[at] != part["home"].to_numpy()[at]) | (leaf != part["home_leaf"].to_numpy()[at])
         return part.take(pa.array(at[other])).append_column("leaf", pa.array(leaf[other].astype(np.int64)))
 
-    carried = query + ", home long, home_leaf long, worst double, region long"
+    carried = query.removeprefix("vector array<double>, ") + ", home long, home_leaf long, worst double, region long"
     again = again.mapInArrow(elsewhere, carried)
     if not split:
         again = again.withColumn("leaf", F.lit(0).cast("long"))
     else:
         again = kept_table(again, "reached")
-        deep = beside_trees(again, trees, region_rows, deeper, carried + ", leaf long", dims, SAME)
+        deep = beside_trees(again, trees, max(1, region_rows // 8), deeper, carried + ", leaf long", dims, SAME)
         again = again.join(F.broadcast(whole), "region", "left_anti").withColumn("leaf", F.lit(0).cast("long")).unionByName(deep)
-    again = kept_table(again.drop("home", "home_leaf"), "sent")
+    again = kept_table(again.drop("home", "home_leaf").join(asked.select(*SAME, "vector"), [*SAME]), "sent")
     found = _searched(base, again, region_rows, width, dims, stop).unionByName(home.drop("rank"))
     best = _best(found, [*SAME], 2 * k).drop("rank", "want")
     answers = _best(best.join(names, [*SAME]).where("vec_id != query_id"), ["query_id", *SAME], k)
