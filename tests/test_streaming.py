@@ -120,6 +120,30 @@ def test_gold_from_silver_equals_gold_from_values(spark, tmp_path):
     assert batch.count() == first.count()
 
 
+def remembered_ids(*queries):
+    """(de-duplication states, rows in them) of finished queries, at their fullest."""
+    states = {}
+    for query in queries:
+        for progress in query.recentProgress:
+            for place, operator in enumerate(progress["stateOperators"]):
+                if operator["operatorName"].startswith("dedupe"):
+                    key = (query.name, place)
+                    states[key] = max(states.get(key, 0), operator["numRowsTotal"])
+    return len(states), sum(states.values())
+
+
+def test_lake_remembers_ids_once(spark, tmp_path):
+    """Silver, and Gold of two sizes: from values each holds all ids, from the Silver table only Silver does."""
+    rows = [event(f"t{n}", f"10:{n % 60:02d}", f"{n}.25") for n in range(60)]
+    feed(events(spark, *rows, *rows[:20]), tmp_path / "in")
+    silver = silver_run(spark, tmp_path)
+    apart = remembered_ids(silver, gold_run(spark, tmp_path))
+    stream = silver_stream(spark, str(tmp_path / "silver"), "10 minutes")
+    from_silver = run(start_gold(account_window_features(stream), str(tmp_path / "gold2"), str(tmp_path / "cp2"), None))
+    together = remembered_ids(silver, from_silver)
+    assert apart == (3, 3 * 60) and together == (1, 60)
+
+
 def test_router_writes_each_record_once(spark, tmp_path):
     records = raw(spark, value(), value(currency="ZZZ"), b"{not-json", None)
     for _ in range(2):
