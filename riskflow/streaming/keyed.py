@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
+from pyspark.shuffle import ExternalSorter
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -26,6 +27,8 @@ from riskflow.operators.carry import micros
 from riskflow.streaming.queries import start_table
 
 HOURS = 24
+#: MB a Python worker may hold before a key's rows of a micro-batch are sorted on disk.
+SORT_MEMORY = 384
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _CARRIED = "event_micros long, latitude double, longitude double, country string"
 _NEWEST = f"transaction_id string, {_CARRIED}, per_hour array<long>"
@@ -50,12 +53,16 @@ def _time(micros_: int | None) -> datetime | None:
     return None if micros_ is None else _EPOCH + timedelta(microseconds=micros_)
 
 
-def _in_order(rows: Iterator[Row]) -> tuple[list[Row], list[Row]]:
-    """A key's rows of one micro-batch by time and id, and those without a time."""
-    timed, untimed = [], []
-    for row in rows:
-        (untimed if row.event_micros is None else timed).append(row)
-    return sorted(timed, key=lambda r: (r.event_micros, r.transaction_id or "")), untimed
+def _place(row: Row) -> tuple[bool, int, str]:
+    return row.event_micros is not None, row.event_micros or 0, row.transaction_id or ""
+
+
+def _in_order(rows: Iterator[Row], memory: int = SORT_MEMORY) -> Iterator[Row]:
+    """A key's rows of one micro-batch by time and id, those without a time first.
+
+    Spark's own sorter spills when the worker holds more than ``memory`` MB, whatever a key's number of rows.
+    """
+    return iter(ExternalSorter(memory).sorted(rows, key=_place))
 
 
 class _Idle(StatefulProcessor):
@@ -85,13 +92,14 @@ class AccountState(_Idle):
         self.newest = handle.getValueState("newest", _NEWEST)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        timed, untimed = _in_order(rows)
         known = self.newest.get() if self.newest.exists() else None
         last, hours = (tuple(known[:5]), list(known[5])) if known else (None, [0] * HOURS)
-        before = last[1] if last else None
-        for row in untimed:
-            yield self._row(row, None, [0] * HOURS, None)
-        for row in timed:
+        before, timed = last[1] if last else None, False
+        for row in _in_order(rows):
+            if row.event_micros is None:
+                yield self._row(row, None, [0] * HOURS, None)
+                continue
+            timed = True
             hour = row.event_micros // 3_600_000_000 % HOURS
             yield self._row(row, last, hours, hour)
             hours[hour] += 1
@@ -123,15 +131,15 @@ class PairState(_Idle):
         self.newest = handle.getValueState("newest", "event_micros long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        timed, untimed = _in_order(rows)
         known = self.newest.get()[0] if self.newest.exists() else None
-        for row in untimed:
-            yield _PAIR_ROW(row.transaction_id, row.pair, row.account_id, row.value, False)
-        for place, row in enumerate(timed):
-            yield _PAIR_ROW(row.transaction_id, row.pair, row.account_id, row.value, known is None and place == 0)
-        if timed and (known is None or timed[-1].event_micros > known):
-            self.newest.update((timed[-1].event_micros,))
-            self._wait(timed[-1].event_micros, known)
+        newest = None
+        for row in _in_order(rows):
+            first = known is None and newest is None and row.event_micros is not None
+            yield _PAIR_ROW(row.transaction_id, row.pair, row.account_id, row.value, first)
+            newest = row.event_micros
+        if newest is not None and (known is None or newest > known):
+            self.newest.update((newest,))
+            self._wait(newest, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.newest.exists() and self._due(self.newest.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 
 
+import random
+
 import pytest
+from pyspark import shuffle
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from riskflow.contract import transaction_schema
 from riskflow.operators import behaviour as B
 from riskflow.operators.parse import with_event_time
 from riskflow.operators.sessions import account_sessions, sliding_windows
-from riskflow.streaming.keyed import account_state, pair_state, pairs_by_transaction, start_keyed, temporal_stream, travel_stream
+from riskflow.streaming.keyed import _in_order, account_state, pair_state, pairs_by_transaction, start_keyed, temporal_stream, travel_stream
 from tests.helpers import event, events
 
 
@@ -100,3 +104,14 @@ def test_sliding_windows(spark):
     found = {r.window_start.strftime("%H:%M"): (r.txn_count, float(r.amount_sum)) for r in sliding_windows(events(spark, *rows)).collect()}
     assert found == {"00:40": (1, 5.0), "00:50": (2, 12.0), "01:00": (2, 12.0), "01:10": (1, 7.0)}
     assert sliding_windows(events(spark, *rows)).agg(F.sum("txn_count")).first()[0] == 6
+
+
+def test_rows_of_a_key_are_sorted_on_disk():
+    """No list of all rows of a key: beyond the worker's memory the sorter spills."""
+    made_row = Row("transaction_id", "event_micros")
+    many = list(range(300_000))
+    random.Random(3).shuffle(many)
+    spilled = shuffle.DiskBytesSpilled
+    found = _in_order((made_row(f"t{n:06d}", None if n < 2 else n // 3) for n in many), 1)
+    assert not isinstance(found, list) and shuffle.DiskBytesSpilled > spilled
+    assert all(row.transaction_id == f"t{n:06d}" for n, row in enumerate(found))
