@@ -2,8 +2,8 @@
 
 Each text yields counts (words, symbols, repeated lines, repeated word windows, capitals and so
 on). Trees split random features at random values; texts that are isolated after few splits are
-anomalies. The forest is grown on a bounded sample of labelled rows that pass the base rules, and
-its threshold is calibrated on their labels. All texts are counted and judged, whole.
+anomalies. Each tree draws its rows among all labelled rows that pass the base rules, and the
+threshold is calibrated on the labels of all of them. All texts are counted and judged, whole.
 
 * null text counts as empty: no words, so the base rules fail it;
 * rows that repeat a key are judged each; a key labelled twice takes its worst label;
@@ -14,7 +14,7 @@ its threshold is calibrated on their labels. All texts are counted and judged, w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import words_of
+from riskflow.llm.common import kept_table, words_of
+from riskflow.operators.ordered import running_over_values
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_marks")
 BASE_RULES = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
@@ -191,27 +192,47 @@ def calibrate(good: np.ndarray, bad: np.ndarray, keep: float = 0.995) -> float:
     return float(cuts[last : last + 2].mean())
 
 
-def fit_forest(counts: DataFrame, labels: DataFrame, sample: int = 20_000, **options) -> Forest | None:
-    """Forest and threshold from at most about ``sample`` labelled rows of each kind.
+def _with_score(rows: DataFrame, forest: Forest, name: str) -> DataFrame:
+    """``rows`` with the forest's score of their counts."""
 
-    ``labels`` holds ``doc_id`` and ``quality`` (1 good, 0 bad). The sample is taken by hash, so
-    reruns agree; None if one kind is missing.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = forest.scores(features({n: batch.column(n).to_numpy() for n in COUNTS}))
+            yield batch.append_column(name, pa.array(scores))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{schema}, {name} double")
+
+
+def calibrate_rows(scored: DataFrame, keep: float = 0.995) -> float:
+    """``calibrate`` over a table of any size: ``value`` is a row's score, ``good`` whether its label is."""
+    points = scored.groupBy("value").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    curve = kept_table(running_over_values(points, {"good": "good_upto", "bad": "bad_upto"}), "quality-curve")
+    good, bad = curve.agg(F.max("good_upto"), F.max("bad_upto")).first()
+    kept = F.col("good_upto") / F.lit(good)
+    gain = (F.lit(1.0) - F.col("bad_upto") / F.lit(bad)) + kept
+    last = curve.where(kept >= keep).orderBy(gain.desc(), F.desc("value")).first()["value"]
+    following = curve.where(F.col("value") > last).agg(F.min("value")).first()[0]
+    return last if following is None else (last + following) / 2
+
+
+def fit_forest(counts: DataFrame, labels: DataFrame, trees: int = 100, rows: int = 256, seed: int = 17) -> Forest | None:
+    """Forest and threshold from all labelled rows that pass the base rules.
+
+    ``labels`` holds ``doc_id`` and ``quality`` (1 good, 0 bad). By the method each tree sees ``rows`` rows only: they
+    are drawn among all labelled rows by hash, so reruns agree. The threshold is exact on all of
+    them, whatever their number. None if one kind is missing.
     """
     labelled = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    joined = counts.where(f"not ({BASE_RULES})").join(labelled, "doc_id")
+    joined = kept_table(counts.where(f"not ({BASE_RULES})").join(labelled, "doc_id").select("doc_id", "quality", *COUNTS), "quality-labelled")
     found = {r.quality: r.many for r in joined.groupBy("quality").agg(F.count("*").alias("many")).collect()}
     if not (found.get(0) and found.get(1)):
         return None
-    share = F.when(F.col("quality") == 1, min(1.0, sample / found[1])).otherwise(min(1.0, sample / found[0]))
-    taken = joined.where(F.pmod(F.xxhash64("doc_id", F.lit("quality sample")), F.lit(1 << 20)) < share * (1 << 20)).orderBy("doc_id").toArrow()
-    if not taken.num_rows:
-        return None
-    x, good = features({n: taken[n].to_numpy() for n in COUNTS}), taken["quality"].to_numpy() == 1
-    if good.all() or not good.any():
-        return None
-    forest = grow_forest(x, **options)
-    scores = forest.scores(x)
-    return Forest(forest.feature, forest.value, forest.left, forest.right, forest.roots, forest.usual, calibrate(scores[good], scores[~good]))
+    draw = F.xxhash64("doc_id", F.lit("quality draw"))
+    drawn = joined.orderBy(draw, *COUNTS).limit(trees * rows).orderBy("doc_id", *COUNTS).toArrow()
+    forest = grow_forest(features({n: drawn[n].to_numpy() for n in COUNTS}), trees, rows, seed)
+    scored = _with_score(joined, forest, "value").select("value", (F.col("quality") == 1).alias("good"))
+    return replace(forest, threshold=calibrate_rows(scored))
 
 
 def judge(counts: DataFrame, forest: Forest | None) -> DataFrame:
@@ -220,10 +241,4 @@ def judge(counts: DataFrame, forest: Forest | None) -> DataFrame:
     if forest is None:
         return base.withColumn("anomaly", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = forest.scores(features({n: batch.column(n).to_numpy() for n in COUNTS}))
-            yield batch.append_column("anomaly", pa.array(scores))
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(run, f"{schema}, anomaly double").withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= forest.threshold))
+    return _with_score(base, forest, "anomaly").withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= forest.threshold))

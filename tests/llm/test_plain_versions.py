@@ -5,6 +5,7 @@ import hmac
 import math
 
 import numpy as np
+import pytest
 import regex
 from pyspark.sql import functions as F
 
@@ -176,3 +177,16 @@ def test_judged_rows_equal_plain_scores(spark):
         score = 2 ** (-total / len(forest.roots) / forest.usual)
         assert math.isclose(rows["anomaly"][i].as_py(), score, rel_tol=1e-12)
         assert rows["kept"][i].as_py() == (not rows["base_failed"][i].as_py() and score <= forest.threshold)
+
+
+def test_threshold_of_all_labelled_rows(spark):
+    """The threshold comes from every labelled row, as sorting all their scores gives it."""
+    many = 45_000  # more than 20,000 of a kind
+    values = {"n_words": "100", "n_lines": "10", "word_chars": "case when id % 9 = 0 then 1300 + id % 700 else 500 end"}
+    counts = spark.range(many).selectExpr("id as doc_id", *[f"cast({values.get(n, '0')} as long) as {n}" for n in quality_forest.COUNTS])
+    labels = spark.range(many).selectExpr("id as doc_id", "case when id % 9 = 0 and id % 700 > 100 then 0 else 1 end as quality")
+    forest = quality_forest.fit_forest(counts, labels)
+    rows = counts.join(labels, "doc_id").toArrow()
+    scores = forest.scores(quality_forest.features({n: rows[n].to_numpy() for n in quality_forest.COUNTS}))
+    good = rows["quality"].to_numpy() == 1
+    assert forest.threshold == pytest.approx(quality_forest.calibrate(scores[good], scores[~good]), abs=1e-12)
