@@ -14,6 +14,8 @@ Rows without a time belong to no history: they stay in the result with NULLs.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,6 +25,10 @@ from pyspark.sql import types as T
 from riskflow.session import stored_table
 
 MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+# Rows of a key in one part of running totals, the sampled rows of a part, and how many cuts may fall on one instant.
+PART_ROWS = 100_000
+MARKS = 64
+CROWDED = 8
 
 
 def micros(span: str) -> int:
@@ -83,6 +89,35 @@ def with_previous(
     return linked.unionByName(untimed, allowMissingColumns=True)
 
 
+def _cuts(timed: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``key`` and ``cuts``: the times at which a key with many rows is cut, one per ``PART_ROWS`` rows.
+
+    They come from the times of a hash sample, as those of Spark's range partitioner; the sample decides where a
+    key is cut and nothing else. ``repeated`` counts cuts that fall on an instant that has one already.
+    """
+    marks = min(MARKS, PART_ROWS)
+    drawn = timed.where(F.pmod(F.xxhash64("transaction_id", "at"), F.lit(PART_ROWS // marks)) == 0)
+    times = drawn.groupBy(*key).agg(F.sort_array(F.collect_list("at")).alias("times"))
+    every = F.filter("times", lambda _, n: (n > 0) & (n % marks == 0))
+    cuts = times.select(*key, F.array_distinct(every).alias("cuts"), F.size(every).alias("repeated"))
+    return cuts.where("repeated > 0").withColumn("repeated", F.col("repeated") - F.size("cuts"))
+
+
+def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Rows of one key; a missing key is a key of its own, as in a window."""
+    return reduce(and_, [one.eqNullSafe(other) for one, other in zip(left, right)])
+
+
+def _part_of(at: Column, cuts: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` (``most`` or fewer) are not after ``at``, by bisection."""
+    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
+
+    def further(found: Column, stride: Column) -> Column:
+        return found + F.when(F.get(cuts, found + stride - 1) <= at, stride).otherwise(0)
+
+    return F.when(cuts.isNull(), 0).otherwise(F.aggregate(strides, F.lit(0), further))
+
+
 def running_totals(
     events: DataFrame,
     key: Sequence[str],
@@ -101,8 +136,107 @@ def running_totals(
 
     ``previous`` adds columns of the key's preceding row by (event_timestamp, transaction_id), as
     ``with_previous`` does, from the same parts.
+
+    A row adds to probe ``p`` from ``offset`` after its time on, so each row finds its totals where it
+    stands. Keys are cut in time; with ``parts``, or where one instant holds many parts, by the range partitioner.
     """
     names, previous = list(measures), previous or {}
+    if parts:
+        return _totals_by_range(events, key, measures, probes, parts, previous)
+    before_it = F.struct(*[F.col(source).alias(new) for new, source in previous.items()]) if previous else F.lit(None)
+    typed = events.select(
+        *key,
+        "transaction_id",
+        F.unix_micros("event_timestamp").alias("at"),
+        *[measure.alias(name) for name, measure in measures.items()],
+        before_it.alias("current"),
+    )
+    types = {name: _total_type(typed.schema[name].dataType) for name in names}
+    typed = typed.withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
+    timed = typed.where("at is not null")
+    newest = timed.agg(F.max("at")).first()[0]
+    cuts = stored_table(_cuts(timed, key), "cuts")
+    most, repeated = cuts.agg(F.max(F.size("cuts")), F.max("repeated")).first()
+    if (repeated or 0) >= CROWDED:
+        return _totals_by_range(events, key, measures, probes, None, previous)
+
+    # Kind 0 is the row itself, which the probes of its own time read; others are its later effect on a probe.
+    kinds = {tag: kind for kind, tag in enumerate((tag for tag, offset in probes.items() if offset > 1), 1)}
+    points = [F.struct(F.lit(0).alias("kind"), F.col("at").alias("seen_at"))]
+    points += [F.struct(F.lit(kind).alias("kind"), (F.col("at") + probes[tag]).alias("seen_at")) for tag, kind in kinds.items()]
+    spread = timed.select(*key, "transaction_id", *names, "current", F.inline(F.array(*points)))
+    # Nobody reads after the newest row.
+    spread = spread.where((F.col("kind") == 0) | (F.col("seen_at") <= F.lit(newest))).withColumns(
+        {name: F.when(F.col("kind") == 0, F.col(name)) for name in ("transaction_id", "current")}
+    )
+    if most:
+        of_key = cuts.select(*[F.col(name).alias(f"cut_{name}") for name in key], "cuts")
+        same = _same([F.col(name) for name in key], [F.col(f"cut_{name}") for name in key])
+        spread = spread.join(F.broadcast(of_key), same, "left").withColumn("part", _part_of(F.col("seen_at"), F.col("cuts"), most))
+    else:
+        spread = spread.withColumn("part", F.lit(0))
+
+    ordered = W.partitionBy(*key, "part").orderBy("seen_at")
+    frames = {
+        tag: ordered.rangeBetween(W.unboundedPreceding, -1 if offset == 1 else 0) for tag, offset in probes.items()
+    }
+
+    def of_kind(name: str, kind: int) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col(name)))
+
+    summed = spread.select(
+        *key, "part", "kind", "seen_at", "transaction_id", "current",
+        *[of_kind(name, kinds.get(tag, 0)).over(frames[tag]).alias(f"{tag}_{name}") for tag in probes for name in names],
+    ).where("kind = 0")
+    if previous:
+        summed = summed.withColumn("before", F.lag("current").over(W.partitionBy(*key, "part").orderBy("seen_at", "transaction_id")))
+    if most:
+        # At most one row per cut, so it may be broadcast.
+        place = [F.col(name) for name in (*key, "part")]
+        carry_place = [F.col(f"carry_{name}") for name in (*key, "part")]
+        crossing = spread.where("cuts is not null")
+        held = [of_kind(name, kind).alias(f"kind{kind}_{name}") for kind in (0, *kinds.values()) for name in names]
+        per_part = crossing.groupBy(*key, "part").agg(*held)
+        per_part = per_part.select(*[one.alias(f"carry_{name}") for name, one in zip((*key, "part"), place)], *per_part.columns[len(place):])
+        if previous:
+            last = crossing.where("kind = 0").groupBy(*key, "part").agg(
+                F.max_by("current", F.struct("seen_at", "transaction_id")).alias("last_before")
+            )
+            per_part = per_part.join(last, _same(place, carry_place), "left").drop(*key, "part")
+        earlier = W.partitionBy(*carry_place[:-1]).orderBy("carry_part").rowsBetween(W.unboundedPreceding, -1)
+        carry = per_part.select(
+            *carry_place,
+            *[F.sum(f"kind{kind}_{name}").over(earlier).alias(f"kind{kind}_{name}") for kind in (0, *kinds.values()) for name in names],
+            *([F.last("last_before", ignorenulls=True).over(earlier).alias("last_before")] if previous else []),
+        )
+        summed = summed.join(F.broadcast(carry), _same(place, carry_place), "left")
+
+    def total(tag: str, name: str) -> Column:
+        nothing = F.lit(0).cast(types[name])
+        own = F.coalesce(F.col(f"{tag}_{name}"), nothing)
+        # The sum keeps its type: a decimal sum would widen it.
+        return ((own + F.coalesce(F.col(f"kind{kinds.get(tag, 0)}_{name}"), nothing)) if most else own).cast(types[name])
+
+    found = summed.select("transaction_id", *[total(tag, name).alias(f"{tag}_{name}") for tag in probes for name in names],
+        *([(F.coalesce("before", "last_before") if most else F.col("before")).alias("before")] if previous else []),
+    ).unionByName(typed.where("at is null").select("transaction_id"), allowMissingColumns=True)
+    if previous:
+        found = found.where("transaction_id is not null")
+    # Dealt before they are grouped: ids are unique, so a map-side step would only sort them once more.
+    found = found.repartition("transaction_id").groupBy("transaction_id").agg(*[F.max(name).alias(name) for name in found.columns[1:]])
+    return found.select("*", *[F.col(f"before.{new}").alias(new) for new in previous]).drop("before")
+
+
+def _totals_by_range(
+    events: DataFrame,
+    key: Sequence[str],
+    measures: Mapping[str, Column],
+    probes: Mapping[str, int],
+    parts: int | None,
+    previous: Mapping[str, str],
+) -> DataFrame:
+    """``running_totals`` in parts of Spark's range partitioner, which also cuts a single instant."""
+    names = list(measures)
     before_it = F.struct(*[F.col(source).alias(new) for new, source in previous.items()]) if previous else F.lit(None)
     typed = events.select(
         *key,

@@ -477,11 +477,11 @@ def q_temporal(spark, folder):
     return B.temporal(read_transactions(spark, folder), unusual_share=0.06)
 
 
-def _decided(spark: SparkSession, folder: str) -> DataFrame:
+def _decided(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """All features, rules, score and decision; the model is a fixed curve of the z-score.
 
-    Events are read and derived once and the decided rows are written once: each report on them
-    reads a table.
+    Events are read and derived once and the decided rows are written once, with those ``columns`` that
+    the report reads (all without): each report on them reads a table.
     """
     events = stored_table(with_transaction_signals(_labelled(spark, folder), SETTINGS), "events")
     history = B.account_history(events, {"5m": "5 minutes"}, countries="30 minutes", min_km=25.0)
@@ -499,51 +499,52 @@ def _decided(spark: SparkSession, folder: str) -> DataFrame:
     curve = half_up(1 / (1 + F.exp(-F.coalesce("amount_zscore", F.lit(0.0)))), 6)
     scored = rules.apply_rules(features).withColumn("model_probability", curve)
     score = half_up(rules.risk_score(F.col("model_probability"), F.col("rule_risk_total")), 6)
-    return stored_table(rules.decide(scored.withColumn("risk_score", score)), "decided")
+    decided = rules.decide(scored.withColumn("risk_score", score))
+    return stored_table(decided.select(*columns) if columns else decided, "decided")
 
 
 def q_rule_hits(spark, folder):
-    hits = _decided(spark, folder).select("transaction_id", F.explode("rule_hits").alias("hit"))
+    hits = _decided(spark, folder, "transaction_id", "rule_hits").select("transaction_id", F.explode("rule_hits").alias("hit"))
     return hits.groupBy("hit.reason_code", "hit.severity").agg(
         F.count(F.lit(1)).alias("hits"), F.sum("hit.risk_delta").alias("risk_total")
     )
 
 
 def q_risk_decision(spark, folder):
-    return _decided(spark, folder).select(
-        "transaction_id", "rule_risk_total", "model_probability", "risk_score", "decision", "reason_codes"
+    return _decided(
+        spark, folder, "transaction_id", "rule_risk_total", "model_probability", "risk_score", "decision", "reason_codes"
     )
 
 
 def q_alerts(spark, folder):
-    found = rules.alerts(_decided(spark, folder), min_risk=0.6, start=HALF_WAY)
-    return found.select("transaction_id", "account_id", "event_timestamp", "risk_score", "decision")
+    decided = _decided(spark, folder, "transaction_id", "account_id", "event_timestamp", "risk_score", "decision")
+    return rules.alerts(decided, min_risk=0.6, start=HALF_WAY)
 
 
 def q_score_by_channel(spark, folder):
-    return _rounded(marts.score_by_channel(_decided(spark, folder)), 6, "avg_risk_score")
+    return _rounded(marts.score_by_channel(_decided(spark, folder, "channel", "risk_score", "decision")), 6, "avg_risk_score")
 
 
 def q_account_risk(spark, folder):
-    return _rounded(marts.account_risk_summary(_decided(spark, folder)), 6, "avg_risk_score")
+    return _rounded(marts.account_risk_summary(_decided(spark, folder, "account_id", "event_timestamp", "risk_score", "decision")), 6, "avg_risk_score")
 
 
 def q_false_positive_trend(spark, folder):
-    return _rounded(marts.false_positive_trend(_decided(spark, folder)), 6, "false_positive_rate")
+    return _rounded(marts.false_positive_trend(_decided(spark, folder, "event_timestamp", "is_fraud", "decision")), 6, "false_positive_rate")
 
 
 def q_threshold_metrics(spark, folder):
-    metrics = evaluate.threshold_metrics(_decided(spark, folder))
+    metrics = evaluate.threshold_metrics(_decided(spark, folder, "risk_score", "is_fraud"))
     return _rounded(metrics, 6, "precision", "recall", "f1", "false_positive_rate", "false_negative_rate")
 
 
 def q_best_threshold(spark, folder):
-    best = evaluate.best_threshold(evaluate.threshold_metrics(_decided(spark, folder)))
+    best = evaluate.best_threshold(evaluate.threshold_metrics(_decided(spark, folder, "risk_score", "is_fraud")))
     return best.select("threshold", "expected_cost")
 
 
 def q_curve_areas(spark, folder):
-    return _rounded(evaluate.curve_areas(_decided(spark, folder)), 6, "roc_auc", "pr_auc")
+    return _rounded(evaluate.curve_areas(_decided(spark, folder, "risk_score", "is_fraud")), 6, "roc_auc", "pr_auc")
 
 
 def _model_scores(kind: str) -> Query:

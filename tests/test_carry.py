@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskflow.operators import behaviour as B
+from riskflow.operators import carry
 from riskflow.operators.carry import in_parts, running_totals, with_previous
 from tests.helpers import event, events
 
@@ -126,3 +127,31 @@ def test_impossible_travel_without_elapsed_time(spark):
     assert rows["a"].impossible_travel is None
     assert rows["b"].impossible_travel is True and rows["b"].implied_speed_kmh is None
     assert rows["c"].impossible_travel is False
+
+
+@pytest.mark.parametrize("part_rows", [5, 40, 100_000])
+def test_totals_of_keys_cut_in_time(spark, rows, part_rows, monkeypatch):
+    """Keys cut into many parts, one of them missing: totals and previous rows as from the range partitioner."""
+    frame = events(spark, *rows).withColumn("account_id", F.when(F.col("account_id") != "a", F.col("account_id")))
+    frame = frame.withColumn("event_timestamp", F.when(F.col("transaction_id") != "t007", F.col("event_timestamp")))
+    arguments = (
+        ["account_id"],
+        {"n": F.lit(1), "sum": F.col("amount"), "squares": (F.col("amount") * 100).cast("decimal(19,0)") * 2},
+        {"now": 0, "prior": 1, "hour": 3_600_000_001, "month": 2_592_000_000_001},
+    )
+    previous = {"before_time": "event_timestamp", "before_amount": "amount"}
+    want = carry.running_totals(frame, *arguments, 7, previous)
+    monkeypatch.setattr(carry, "PART_ROWS", part_rows)
+    monkeypatch.setattr(carry, "CROWDED", 1_000)
+    found = carry.running_totals(frame, *arguments, previous=previous)
+    assert found.count() == len(rows) and found.schema == want.schema
+    assert found.exceptAll(want).count() == 0
+
+
+def test_totals_shuffle_one_row_per_effect(spark, rows):
+    """Only effects that somebody can read are spread, and no row is gathered again from its probes."""
+    frame = events(spark, *rows)
+    totals = carry.running_totals(frame, ["account_id"], {"n": F.lit(1)}, {"now": 0, "prior": 1, "year": 31_536_000_000_001})
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 0 and "probe" not in plan
+    assert {r.year_n for r in totals.collect()} == {0}
