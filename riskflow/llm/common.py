@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.session import stored_table
+from riskflow.session import ship_package, stored_table
 
 # The six ASCII white-space characters that separate words and pad lines.
 WHITE = " \t\n\x0b\x0c\r"
@@ -24,21 +20,6 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, unless they inherit a path that has it."""
-    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
-    inherited = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
-    if context.master.startswith("local") and root in [p.resolve() for p in inherited]:
-        return
-    if context.applicationId not in _shipped:
-        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-"), "riskflow"), "zip", root, "riskflow")
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-
-
-_shipped: set[str] = set()
-
-
 def prepare(spark: SparkSession) -> None:
     """What Python tasks of a session need: this package, and batches bounded in bytes.
 

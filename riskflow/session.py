@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +75,18 @@ def stored_table(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they inherit a path that has it."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    inherited = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    if context.master.startswith("local") and root in [p.resolve() for p in inherited]:
+        return
+    if context.applicationId not in _shipped:
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-"), "riskflow"), "zip", root, "riskflow")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()

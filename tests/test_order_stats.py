@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pytest
 
+from riskflow.operators import order_stats
 from riskflow.operators.order_stats import amount_order
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
@@ -80,3 +81,36 @@ def test_one_instant_and_nothing(spark):
     assert amount_order(frame(spark, [])).count() == 0
     bare = [{"transaction_id": "x", "account_id": "a", "event_timestamp": None, "amount": None}]
     assert amount_order(frame(spark, bare)).first().prior_amount_count == 0
+
+
+@pytest.mark.parametrize(
+    "bin_rows, shared, amounts",
+    [
+        (3_000_000, 50_000, (1, 10**12 - 1, -(10**11))),
+        (3_000_000, 30, range(100, 60_000, 7)),
+        (70, 30, range(100, 60_000, 7)),
+        (16, 4, (*range(-2_000, 2_000, 9), *(77,) * 300)),  # one amount fills more than a bin
+    ],
+)
+def test_accounts_of_all_sizes(spark, monkeypatch, bin_rows, shared, amounts):
+    """Small accounts share a task, larger ones have their own, the largest are cut into bins until these fit."""
+    monkeypatch.setattr(order_stats, "BIN_ROWS", bin_rows)
+    monkeypatch.setattr(order_stats, "SHARED_ROWS", shared)
+    rng = random.Random(bin_rows)
+    rows = made(rng, 200, 3, amounts) + [dict(r, transaction_id=f"b{n}", account_id=None) for n, r in enumerate(made(rng, 25, 1, amounts))]
+    want = plain(rows, 120, 0.5)
+    found = amount_order(frame(spark, rows), "2 hours").collect()
+    assert len(found) == len(rows)
+    for r in found:
+        got = (r.prior_amount_count, r.amount_percentile, r.rolling_median, r.amount_vs_median)
+        for one, other in zip(got, want[r.transaction_id]):
+            assert one is other if other is None else one == pytest.approx(other, rel=1e-9)
+
+
+def test_small_accounts_need_no_digits(spark, monkeypatch):
+    """Accounts that fit a task are read in one pass; passes over digits are for larger ones."""
+    monkeypatch.setattr(order_stats, "_window_counts", None)
+    rows = made(random.Random(5), 100, 3, range(1, 10**6))
+    assert {r.transaction_id: r.prior_amount_count for r in amount_order(frame(spark, rows), "2 hours").collect()} == {
+        name: found[0] for name, found in plain(rows, 120, 0.5).items()
+    }
