@@ -1,8 +1,8 @@
 """Isolation forest in column expressions.
 
 Trees grow from a bounded, repeatable sample of rows: random splits between the smallest and largest value
-of a random feature, down to single rows or the usual depth. They are a small table of nodes; scoring walks it
-with array functions, so rows are scored in the scan that reads them, without Python workers or a join.
+of a random feature, down to single rows or the usual depth. They are small tables of nodes, filled up to full
+trees so that a step is one comparison and the sides follow from the place; scoring walks them with array functions, so rows are scored in the scan that reads them, without Python workers or a join.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Node of a tree: the feature and value of its split, and where its sides are; a leaf has the rest of the path.
-NODES = "array<array<struct<f:int,cut:double,low:int,high:int,rest:double>>>"
+#: A full tree: feature and value of each split, the sides of ``n`` being ``2n + 1`` and ``2n + 2``, and the path of each end.
+FULL_TREES = "array<struct<f:array<int>,cut:array<double>,path:array<double>>>"
 
 
 def usual_path(n: int) -> float:
@@ -75,23 +75,45 @@ def fit_forest(
     return Forest(tuple(features), tuple(grown), held, depth)
 
 
+def _full(tree: Sequence[dict], depth: int) -> dict[str, list]:
+    """A tree filled up to ``depth``: below a leaf both sides lead to its path."""
+    inner = (1 << depth) - 1
+    full = {"f": [0] * inner, "cut": [0.0] * inner, "path": [0.0] * (inner + 1)}
+
+    def fill(place: int, node: dict, level: int, steps: int) -> None:
+        if level == depth:
+            full["path"][place - inner] = steps + node["rest"]
+            return
+        sides = [node, node]
+        if node["f"]:
+            full["f"][place], full["cut"][place] = node["f"] - 1, node["cut"]
+            sides = [tree[node["low"] - 1], tree[node["high"] - 1]]
+        for side, below in enumerate(sides, 1):
+            fill(2 * place + side, below, level + 1, steps + bool(node["f"]))
+
+    fill(0, tree[0], 0, 0)
+    return full
+
+
 def anomaly_score(forest: Forest) -> Column:
     """``2 ** -(average path / usual path)``: near 1 for rows that few splits set apart, below 0.5 for usual ones."""
     values = F.array(*[F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in forest.features])
-    trees = F.from_json(F.lit(json.dumps(forest.trees)), NODES)  # a constant of the plan
+    full = [_full(tree, forest.depth) for tree in forest.trees]
+    trees = F.from_json(F.lit(json.dumps(full)), FULL_TREES)  # a constant of the plan
+    levels = F.array(*[F.lit(0)] * forest.depth)
+
+    def walked(value: Column) -> Column:
+        def path(tree: Column) -> Column:
+            def step(at: Column, _: Column) -> Column:
+                low = F.get(value, F.get(tree["f"], at)) <= F.get(tree["cut"], at)
+                return at + at + F.when(low, 1).otherwise(2)
 
-    def path(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            node = F.element_at(tree, at["node"])
-            side = F.when(F.element_at(values, node["f"]) <= node["cut"], node["low"]).otherwise(node["high"])
-            inner = node["f"] > 0
-            return F.struct(F.when(inner, side).otherwise(at["node"]).alias("node"), (at["steps"] + inner.cast("int")).alias("steps"))
+            return F.get(tree["path"], F.aggregate(levels, F.lit(0), step) - ((1 << forest.depth) - 1))
 
-        start = F.struct(F.lit(1).alias("node"), F.lit(0).alias("steps"))
-        end = F.aggregate(F.sequence(F.lit(1), F.lit(forest.depth)), start, step)
-        return F.transform(F.array(end), lambda e: e["steps"] + F.element_at(tree, e["node"])["rest"])[0]
+        return F.aggregate(F.transform(trees, path), F.lit(0.0), lambda a, b: a + b)
 
-    total = F.aggregate(F.transform(trees, path), F.lit(0.0), lambda a, b: a + b)
+    # Bound once per row, not built again at every step.
+    total = F.transform(F.array(values), walked)[0]
     usual = usual_path(forest.sample) or 1.0
     return F.pow(F.lit(2.0), -total / F.lit(len(forest.trees) * usual)).alias("anomaly_score")
 

@@ -78,6 +78,27 @@ def test_forest_scores(spark):
     assert forest.score_forest(none, table).select("anomaly_score").distinct().count() == 1
 
 
+def test_forest_step_builds_no_rows(spark):
+    """A step of the walk is a comparison of places in full trees, whatever the shape; unbalanced trees keep their paths."""
+    leaf = {"f": 0, "cut": 0.0, "low": 0, "high": 0}
+    tree = (
+        {"f": 2, "cut": 1.5, "rest": 0.0, "low": 2, "high": 3},
+        leaf | {"rest": 0.25},
+        {"f": 1, "cut": -1.0, "rest": 0.0, "low": 4, "high": 5},
+        leaf | {"rest": 0.0},
+        leaf | {"rest": 2.0},
+    )
+    grown = forest.Forest(("a", "b"), (tree, (leaf | {"rest": 3.0},)), 8, 3)
+    rows = [("x", 0.0, 1.5), ("y", -1.0, 2.0), ("z", -0.9, 1.6), ("n", None, None), ("nan", float("nan"), float("nan"))]
+    scored = forest.score_forest(grown, spark.createDataFrame(rows, "transaction_id string, a double, b double"))
+    want = {"x": 4.25, "y": 5.0, "z": 7.0, "n": 4.25, "nan": 7.0}
+    assert {r.transaction_id: r.anomaly_score for r in scored.collect()} == {
+        name: pytest.approx(2 ** (-total / 2 / forest.usual_path(8))) for name, total in want.items()
+    }
+    plan = scored._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "named_struct" not in plan and "steps" not in plan
+
+
 def test_history_survives_restarts(spark, tmp_path):
     """Three runs of one router, one micro-batch each: every batch is there, and the rates are those of a count."""
     schema = raw(spark).schema
