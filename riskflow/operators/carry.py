@@ -189,7 +189,9 @@ def running_totals(
         *[of_kind(name, kinds.get(tag, 0)).over(frames[tag]).alias(f"{tag}_{name}") for tag in probes for name in names],
     ).where("kind = 0")
     if previous:
-        summed = summed.withColumn("before", F.lag("current").over(W.partitionBy(*key, "part").orderBy("seen_at", "transaction_id")))
+        line = W.partitionBy(*key, "part").orderBy("seen_at", "transaction_id")
+        again = F.coalesce(F.lag("transaction_id").over(line) == F.col("transaction_id"), F.lit(False))
+        summed = summed.withColumns({"before": F.lag("current").over(line), "again": again})
     if most:
         # At most one row per cut, so it may be broadcast.
         place = [F.col(name) for name in (*key, "part")]
@@ -217,14 +219,18 @@ def running_totals(
         # The sum keeps its type: a decimal sum would widen it.
         return ((own + F.coalesce(F.col(f"kind{kinds.get(tag, 0)}_{name}"), nothing)) if most else own).cast(types[name])
 
-    found = summed.select("transaction_id", *[total(tag, name).alias(f"{tag}_{name}") for tag in probes for name in names],
-        *([(F.coalesce("before", "last_before") if most else F.col("before")).alias("before")] if previous else []),
-    ).unionByName(typed.where("at is null").select("transaction_id"), allowMissingColumns=True)
+    totals = [total(tag, name).alias(f"{tag}_{name}") for tag in probes for name in names]
+    if previous:
+        # Of copies of a row the last one counts, which follows another copy.
+        before = F.coalesce("before", "last_before") if most else F.col("before")
+        totals.append(F.struct("seen_at", "again", before.alias("row")).alias("before"))
+    found = summed.select("transaction_id", *totals)
+    found = found.unionByName(typed.where("at is null").select("transaction_id"), allowMissingColumns=True)
     if previous:
         found = found.where("transaction_id is not null")
     # Dealt before they are grouped: ids are unique, so a map-side step would only sort them once more.
     found = found.repartition("transaction_id").groupBy("transaction_id").agg(*[F.max(name).alias(name) for name in found.columns[1:]])
-    return found.select("*", *[F.col(f"before.{new}").alias(new) for new in previous]).drop("before")
+    return found.select("*", *[F.col(f"before.row.{new}").alias(new) for new in previous]).drop("before")
 
 
 def _totals_by_range(

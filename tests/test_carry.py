@@ -155,3 +155,10 @@ def test_totals_shuffle_one_row_per_effect(spark, rows):
     plan = totals._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 0 and "probe" not in plan
     assert {r.year_n for r in totals.collect()} == {0}
+
+
+def test_copies_of_a_row_follow_each_other(spark):
+    """Two copies of a row are one result, and its previous row is the other copy."""
+    rows = [event("a", "10:00", country="IN"), event("b", "10:05", country="US"), event("b", "10:05", country="US"), event("c", "10:06")]
+    found = carry.running_totals(events(spark, *rows), ["account_id"], {"n": F.lit(1)}, {"now": 0}, previous={"from": "country"})
+    assert {r.transaction_id: (r.now_n, r["from"]) for r in found.collect()} == {"a": (1, None), "b": (3, "US"), "c": (4, "US")}
