@@ -552,7 +552,9 @@ def _model_scores(kind: str) -> Query:
     names = ["txn_count_5m", "amount_vs_recent_average", "seconds_since_previous_txn"]
 
     def query(spark, folder):
-        events = _labelled(spark, folder)
+        # Read by three features and the table itself, so the labels are joined once.
+        used = ["transaction_id", "account_id", "event_timestamp", "amount", "latitude", "longitude", "country", "is_fraud"]
+        events = stored_table(_labelled(spark, folder).select(*used), "model-events")
         table = B.with_features(
             events.select("transaction_id", "event_timestamp", "is_fraud"),
             [

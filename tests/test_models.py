@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskflow.operators.evaluate import curve_areas
-from riskflow.plans import models
+from riskflow.plans import catalog, models
 
 FEATURES = ["x", "y"]
 
@@ -35,3 +36,24 @@ def test_logistic_scores_follow_from_the_weights(spark):
     assert weights["x"] > 0 > weights["y"] and set(middle) == set(FEATURES)
     scored = models.score(model, rows, FEATURES).withColumn("formula", models.logistic_probability(model, FEATURES))
     assert scored.where(F.abs(F.col("formula") - F.col("fraud_probability")) > 1e-9).count() == 0
+
+
+def test_labels_are_joined_once(spark, tmp_path, monkeypatch):
+    """The features of a model read events that are stored with their labels, one row per event."""
+    events = spark.range(40).selectExpr(
+        "id as event_id", "timestamp_ntz '2024-01-02' + make_dt_interval(0, 0, id) as ts", "id % 4 as user_id",
+        "'view' as event_type", "double(id) as value", "'{\"k\": 3}' as props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(0, 40, 2).selectExpr("id as doc_id", "id % 4 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+
+    def read_by(events, *_):
+        seen.append(events)
+        raise StopIteration
+
+    monkeypatch.setattr(catalog.B, "rolling_velocity", read_by)
+    with pytest.raises(StopIteration):
+        catalog.QUERIES["model_boosted_trees"](spark, str(tmp_path))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and (seen[0].count(), seen[0].where("is_fraud is not null").count()) == (40, 20)
